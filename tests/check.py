@@ -6,7 +6,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from tickloom.session import builder  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 from tests.compare import connect, differences  # noqa: E402
@@ -17,7 +17,7 @@ def main() -> int:
     parts = sys.argv[2:]
     d = f"/root/testdata/{sf}"
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder().master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

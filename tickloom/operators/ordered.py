@@ -32,46 +32,38 @@ _BUCKET, _KIND, _AT = "_bucket", "_kind", "_at"
 _ENTRY, _HISTORY = 0, -100
 
 
-def with_bucket(
-    df: DataFrame,
-    *,
-    key: str = "ticker",
-    at: str = "ts_us",
-    bucket_s: int = BUCKET_S,
-    hot_rows: int | None = HOT_BUCKET_ROWS,
-) -> DataFrame:
-    """Add ``_bucket``, the start (epoch µs) of the row's time bucket.
+def hot_buckets(
+    df: DataFrame, key: str, at: str, bucket_s: int, hot_rows: int | None
+) -> DataFrame | None:
+    """The (key, bucket) pairs with more than ``hot_rows`` rows and the width to cut them to.
 
-    A (key, bucket) with more than ``hot_rows`` rows is cut into equal narrower ones.
-    The table of such buckets has at most rows/hot_rows entries (500,000 for 10^12
-    rows), which bounds the broadcast.
+    At most rows/hot_rows pairs can be that full (500,000 for 10^12 rows), which bounds
+    the broadcast of this table.
     """
-    width = bucket_s * 1_000_000
-    offset = F.pmod(F.col(at), F.lit(width))
-    start = F.col(at) - offset
     if hot_rows is None:
-        return df.withColumn(_BUCKET, start)
-    hot = (
+        return None
+    width = bucket_s * 1_000_000
+    start = F.col(at) - F.pmod(F.col(at), F.lit(width))
+    narrow = F.floor(F.lit(width) / F.ceil(F.col("_n") / hot_rows))
+    return (
         df.groupBy(F.col(key).alias("_hot_key"), start.alias("_hot_start"))
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .select(
-            "_hot_key",
-            "_hot_start",
-            F.greatest(F.lit(1), F.floor(F.lit(width) / F.ceil(F.col("_n") / hot_rows)))
-            .cast("bigint")
-            .alias("_step"),
-        )
+        .select("_hot_key", "_hot_start", F.greatest(F.lit(1), narrow).cast("bigint").alias("_step"))
     )
+
+
+def with_bucket(df: DataFrame, hot: DataFrame | None, key: str, at: str, bucket_s: int) -> DataFrame:
+    """Add ``_bucket``, the start (epoch µs) of the row's time bucket."""
+    width = bucket_s * 1_000_000
+    offset = F.pmod(F.col(at), F.lit(width))
+    start = F.col(at) - offset
+    if hot is None:
+        return df.withColumn(_BUCKET, start)
     step = F.coalesce(F.col("_step"), F.lit(width))
-    return (
-        df.join(
-            F.broadcast(hot),
-            (F.col(key) == F.col("_hot_key")) & (start == F.col("_hot_start")),
-            "left",
-        )
-        .withColumn(_BUCKET, start + offset - F.pmod(offset, step))
-        .drop("_hot_key", "_hot_start", "_step")
+    same = (F.col(key) == F.col("_hot_key")) & (start == F.col("_hot_start"))
+    return df.join(F.broadcast(hot), same, "left").select(
+        *df.columns, (start + offset - F.pmod(offset, step)).alias(_BUCKET)
     )
 
 
@@ -155,7 +147,8 @@ def over_time(
         )
     else:
         rows = rows.withColumn(_KIND, F.lit(_ENTRY)).withColumn(_AT, F.col(ts))
-    rows = with_bucket(rows, key=key, at=_AT, bucket_s=bucket_s, hot_rows=hot_rows)
+    hot = hot_buckets(rows, key, _AT, bucket_s, hot_rows)
+    rows = with_bucket(rows, hot, key, _AT, bucket_s)
 
     parts = [rows]
     if spans_s:
@@ -185,28 +178,30 @@ def over_time(
         )
         parts.append(carried)
     if history:
-        entries = rows.filter(F.col(_KIND) == _ENTRY)
+        entries = with_bucket(df.select(key, ts, seq, *history_cols), hot, key, ts, bucket_s)
         parts.append(_history_rows(entries, key, ts, seq, history, list(history_cols)))
 
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p, allowMissingColumns=True)
 
-    if row_exprs:
-        tick = F.col(_KIND).isin(_ENTRY, _HISTORY)
-        w = Window.partitionBy(key, _BUCKET, tick).orderBy(ts, seq)
-        both = both.select("*", *[f(w).alias(c) for c, f in row_exprs.items()])
-    sums = []
+    # Both windows are partitioned alike, so the second one only sorts again.
+    sums = {}
     if spans_s:
         upto = Window.partitionBy(key, _BUCKET).orderBy(_AT).rangeBetween(
             Window.unboundedPreceding, Window.currentRow
         )
-        sums = [
-            F.sum(_signed([_ENTRY, -i], i, names[m])).over(upto).alias(f"{m}_{s}")
+        sums = {
+            f"{m}_{s}": F.sum(_signed([_ENTRY, -i], i, names[m])).over(upto)
             for i, s in enumerate(spans_s, start=1)
             for m in measures
-        ]
-    return both.select(*df.columns, *row_exprs, *sums, _KIND).filter(F.col(_KIND) == _ENTRY).drop(_KIND)
+        }
+        both = both.select("*", *[c.alias(n) for n, c in sums.items()])
+        both = both.filter(F.col(_KIND).isin(_ENTRY, _HISTORY))
+    w = Window.partitionBy(key, _BUCKET).orderBy(ts, seq)
+    return both.select(*df.columns, *sums, *[f(w).alias(c) for c, f in row_exprs.items()], _KIND).filter(
+        F.col(_KIND) == _ENTRY
+    ).drop(_KIND)
 
 
 def running(
@@ -221,10 +216,8 @@ def running(
 ) -> DataFrame:
     """Add running sums from the first row of the key up to and including this one."""
     names = {m: f"_m_{m}" for m in measures}
-    rows = with_bucket(
-        df.select("*", *[c.alias(names[m]) for m, c in measures.items()]),
-        key=key, at=ts, bucket_s=bucket_s, hot_rows=hot_rows,
-    )
+    rows = df.select("*", *[c.alias(names[m]) for m, c in measures.items()])
+    rows = with_bucket(rows, hot_buckets(df, key, ts, bucket_s, hot_rows), key, ts, bucket_s)
     before = Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(key, _BUCKET)
@@ -268,7 +261,7 @@ def last_known(
     order = F.struct(*[F.col(c) for c in right_order])
     r = right.select(key, at, order.alias("_ord"), F.col(value).alias("_val"), F.lit(0).alias(_KIND))
     rows = left.withColumn(_KIND, F.lit(1)).unionByName(r, allowMissingColumns=True)
-    rows = with_bucket(rows, key=key, at=at, bucket_s=bucket_s, hot_rows=hot_rows)
+    rows = with_bucket(rows, hot_buckets(rows, key, at, bucket_s, hot_rows), key, at, bucket_s)
     before = Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(key, _BUCKET)

@@ -64,44 +64,51 @@ def score(
     negators = lexicon.filter(F.col("role") == "negator").select("token").distinct()
     boosters = lexicon.filter(F.col("role") == "booster").select("token").distinct()
 
+    # One row per token, plus one without a token so that texts without hits stay. Tokens
+    # outside the lexicon are dropped right after the first join, and the words before a
+    # hit are read from the text's token array, so the rest works on hits only.
     toks = F.col("_toks")
-    shifted = [
-        F.concat(F.array_repeat(F.lit(""), i), toks).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)
-    ]
-    # Each token with the ones before it; arrays_zip pads, and padding has no token.
     t = (
         df.select(*keys, *carry, tokens("text").alias("_toks"))
-        .select(*keys, *carry, F.explode_outer(F.arrays_zip(toks.alias("token"), *shifted)).alias("_t"))
-        .select(*keys, *carry, "_t.*")
+        .select(
+            *keys,
+            *carry,
+            "_toks",
+            F.posexplode(F.concat(toks, F.array(F.lit(None).cast("string")))).alias("_pos", "token"),
+        )
+        .join(hint(words), "token", "left")
+        .filter(F.col("valence").isNotNull() | F.col("token").isNull())
+        .select(
+            *keys,
+            *carry,
+            F.when(F.col("token").isNull(), F.size(toks).cast("bigint")).alias("n_tokens"),
+            "valence",
+            *[F.get(toks, F.col("_pos") - i).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)],
+        )
     )
-    t = t.join(hint(words), "token", "left")
-    hit = F.col("valence").isNotNull()
     for i in range(1, LOOK_BACK + 1):
-        mark = negators.select(F.col("token").alias(f"_w{i}"), F.lit(1).alias(f"neg{i}"))
-        t = t.join(hint(mark), hit & (F.col(f"p{i}") == F.col(f"_w{i}")), "left").drop(f"_w{i}")
-    mark = boosters.select(F.col("token").alias("_wb"), F.lit(1).alias("boost"))
-    t = t.join(hint(mark), hit & (F.col("p1") == F.col("_wb")), "left")
-
-    negated = F.coalesce(*[F.col(f"neg{i}") for i in range(1, LOOK_BACK + 1)]).isNotNull()
-    valence = F.col("valence") + F.when(F.col("boost").isNotNull(), F.signum("valence") * BOOSTER_SHIFT).otherwise(
-        0
-    ).cast("bigint")
-    micro = valence * F.when(negated, NEGATION_FACTOR).otherwise(1000)
-    t = t.select(*keys, *carry, "token", hit.alias("_hit"), micro.alias("_m"))
+        mark = negators.select(F.col("token").alias(f"p{i}"), F.lit(True).alias(f"neg{i}"))
+        t = t.join(hint(mark), f"p{i}", "left")
+    t = t.join(hint(boosters.select(F.col("token").alias("p1"), F.lit(True).alias("boost"))), "p1", "left")
+
+    negated = F.coalesce(*[F.col(f"neg{i}") for i in range(1, LOOK_BACK + 1)], F.lit(False))
+    shift = F.when(F.col("boost"), F.signum("valence") * BOOSTER_SHIFT).otherwise(0).cast("bigint")
+    micro = (F.col("valence") + shift) * F.when(negated, NEGATION_FACTOR).otherwise(1000)
+    t = t.select(*keys, *carry, "n_tokens", micro.alias("_m"))
 
     m, zero = F.col("_m"), F.lit(0).cast("bigint")
     agg = t.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in carry],
-        F.count("token").alias("n_tokens"),
-        F.coalesce(F.sum(F.col("_hit").cast("bigint")), zero).alias("n_hits"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.count("_m").alias("n_hits"),
         F.coalesce(F.sum("_m"), zero).alias("raw_score"),
         # Shares weigh each hit by its valence plus one, and each other token by one.
         F.coalesce(F.sum(F.when(m > 0, m + 1_000_000)), zero).alias("_pos"),
         F.coalesce(F.sum(F.when(m < 0, 1_000_000 - m)), zero).alias("_neg"),
-        F.count(F.when(F.col("token").isNotNull() & (~F.col("_hit") | (m == 0)), 1)).alias("_neu"),
+        F.count(F.when(m != 0, 1)).alias("_charged"),
     )
     s = F.col("raw_score").cast("double")
-    neu = F.col("_neu") * 1_000_000
+    neu = (F.col("n_tokens") - F.col("_charged")) * 1_000_000
     total = (F.col("_pos") + F.col("_neg") + neu).cast("double")
 
     def share(x: Column) -> Column:

@@ -7,6 +7,25 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Recommended when the session is built; the cluster's own settings win elsewhere.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # Recording a Python call site for every column makes building large plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def builder(app: str = "tickloom") -> SparkSession.Builder:
+    """A session builder with the recommended settings."""
+    b = SparkSession.builder.appName(app)
+    for k, v in SETTINGS.items():
+        b = b.config(k, v)
+    return b
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """All event times are UTC; the zone must not depend on the cluster's machines."""
