@@ -41,10 +41,6 @@ def tokens(text: Column | str) -> Column:
     return F.array_remove(F.split(F.lower(t), r"[^\p{L}]+"), "")
 
 
-def _small(lexicon: DataFrame, limit: int) -> bool:
-    return lexicon.limit(limit + 1).count() <= limit
-
-
 def score(
     df: DataFrame,
     lexicon: DataFrame,
@@ -59,7 +55,8 @@ def score(
     integers (millionths) until the last step, so they do not depend on row order.
     Lexicons above ``broadcast_rows`` rows are joined by shuffle instead.
     """
-    hint = F.broadcast if _small(lexicon, broadcast_rows) else (lambda d: d)
+    small = lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows
+    hint = F.broadcast if small else (lambda d: d)
     words = lexicon.filter(F.col("role") == "word").select("token", "valence")
     negators = lexicon.filter(F.col("role") == "negator").select("token").distinct()
     boosters = lexicon.filter(F.col("role") == "booster").select("token").distinct()

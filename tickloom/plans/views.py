@@ -101,11 +101,11 @@ scored AS (
     "bars": """days AS (
   SELECT o_orderpriority AS idx, o_orderdate::DATE AS d, arg_min(o_totalprice, o_orderkey) AS open,
          max(o_totalprice) AS high, min(o_totalprice) AS low, arg_max(o_totalprice, o_orderkey) AS close,
-         CASE WHEN day(o_orderdate::DATE) % 10 = 0 THEN 0 ELSE count(*) END::BIGINT AS volume
-  FROM orders GROUP BY ALL),
+         count(*) AS orders
+  FROM orders GROUP BY o_orderpriority, o_orderdate::DATE),
 bars AS (
-  SELECT idx AS "index", strftime(d, '%d/%m/%y') AS date, d, open, high, low, close, close AS adj_close, volume,
-         close * 0.5 AS close_usd
+  SELECT idx AS "index", strftime(d, '%d/%m/%y') AS date, d, open, high, low, close, close AS adj_close,
+         CASE WHEN day(d) % 10 = 0 THEN 0 ELSE orders END AS volume, close * 0.5 AS close_usd
   FROM days)""",
 }
 

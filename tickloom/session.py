@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Recommended when the session is built; the cluster's own settings win elsewhere.
 SETTINGS = {
@@ -44,3 +45,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that it is computed once and
+    survives the loss of executors."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
+    return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
