@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.rules import iso_time, parse_time, timestamp
-from tickloom.sources.schemas import DEAD_LETTER_BODY
+from tickloom.sources.schemas import LETTER_FIELDS
 
 # Fixed values.
 MAX_RETRIES = 3
@@ -66,11 +66,15 @@ def attributes(df: DataFrame) -> DataFrame:
 
 def read_bodies(df: DataFrame, body: str = "body", now_us: Column | None = None) -> DataFrame:
     """JSON bodies as dead letters; missing fields get defaults."""
-    j = df.withColumn("_j", F.from_json(body, DEAD_LETTER_BODY))
+    names = [f"_{c}" for c in LETTER_FIELDS]
+    j = df.select("*", F.json_tuple(body, *LETTER_FIELDS).alias(*names))
     now = F.lit(None).cast("bigint") if now_us is None else now_us
 
     def text(c: str) -> Column:
-        return F.coalesce(f"_j.{c}", F.lit("")).alias(c)
+        return F.coalesce(f"_{c}", F.lit("")).alias(c)
+
+    def number(c: str, kind: str) -> Column:
+        return F.coalesce(F.col(f"_{c}").try_cast(kind), F.lit(0).cast(kind)).alias(c)
 
     return j.select(
         *[c for c in df.columns if c != body],
@@ -78,12 +82,12 @@ def read_bodies(df: DataFrame, body: str = "body", now_us: Column | None = None)
         text("error_reason"),
         text("error_type"),
         text("topic"),
-        F.coalesce("_j.offset", F.lit(0).cast("bigint")).alias("offset"),
-        F.coalesce("_j.partition", F.lit(0)).alias("partition"),
-        F.col("_j.ticker").alias("ticker"),
-        F.coalesce("_j.retry_count", F.lit(0)).alias("retry_count"),
-        F.coalesce(parse_time("_j.first_failed_at"), now).alias("first_failed_us"),
-        F.coalesce(parse_time("_j.last_failed_at"), now).alias("last_failed_us"),
+        number("offset", "bigint"),
+        number("partition", "int"),
+        F.col("_ticker").alias("ticker"),
+        number("retry_count", "int"),
+        F.coalesce(parse_time("_first_failed_at"), now).alias("first_failed_us"),
+        F.coalesce(parse_time("_last_failed_at"), now).alias("last_failed_us"),
     )
 
 

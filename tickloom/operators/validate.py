@@ -15,7 +15,7 @@ from tickloom.functions.rules import (
     trade_event_id,
     whole_number,
 )
-from tickloom.sources.schemas import MARKET_RAW, NEWS_MESSAGE, TICK_RAW
+from tickloom.sources.schemas import MARKET_FIELDS, NEWS_FIELDS, TICK_FIELDS
 
 # The accepted ticker pattern and event types.
 TICKER_PATTERN = "^[A-Z]{1,5}$"
@@ -39,37 +39,39 @@ def decode_messages(df: DataFrame, value: str = "value", out: str = "raw") -> Da
     return df.withColumn(out, text).filter(F.col(out).isNotNull()).drop(*([value] if value != out else []))
 
 
-def _json(raw: str, schema: str) -> Column:
-    return F.from_json(raw, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+def _fields(df: DataFrame, raw: str, names: list[str]) -> DataFrame:
+    """Top-level JSON fields as text columns ``_<name>``.
+
+    ``json_tuple`` parses a message once. Being a generator it also stops filters on the
+    parsed values from being pushed below it, which would parse every message again.
+    """
+    return df.select("*", F.json_tuple(raw, *names).alias(*[f"_{n}" for n in names]))
 
 
-def _object_error(raw: str) -> Column:
+def _object_error(raw: str, names: list[str]) -> Column:
     """json for text that does not parse, unknown for JSON that is no object."""
-    other = ~F.trim(raw).startswith("{")
-    return (
-        F.when(other & F.try_parse_json(raw).isNotNull(), "unknown")
-        .when(other | F.col("_j._corrupt").isNotNull() | F.col("_j").isNull(), "json")
+    nothing = F.coalesce(*[F.col(f"_{n}") for n in names]).isNull()
+    return F.when(nothing & F.try_parse_json(raw).isNull(), "json").when(
+        nothing & ~F.ltrim(raw).startswith("{"), "unknown"
     )
 
 
-def market_events(df: DataFrame, raw: str = "raw") -> DataFrame:
+def market_events(df: DataFrame, raw: str = "raw", at: str = "ts_us") -> DataFrame:
     """Parse and check raw JSON market messages.
 
-    Adds ticker, price, volume, ts_us, event_type, sequence_number and ``error_field``,
+    Adds ticker, price, volume, ``at``, event_type, sequence_number and ``error_field``,
     the first failing field in record order (null for a valid message).
     """
-    j = df.withColumn("_j", _json(raw, MARKET_RAW))
-    parsed = j.select(
+    parsed = _fields(df, raw, MARKET_FIELDS).select(
         *df.columns,
-        _object_error(raw).alias("_object"),
-        F.col("_j.ticker").alias("ticker"),
-        finite("_j.price").alias("price"),
-        whole_number("_j.volume").alias("volume"),
-        parse_time("_j.timestamp").alias("ts_us" if "ts_us" not in df.columns else "event_us"),
-        F.col("_j.event_type").alias("event_type"),
-        whole_number("_j.sequence_number").alias("sequence_number"),
+        _object_error(raw, MARKET_FIELDS).alias("_object"),
+        F.col("_ticker").alias("ticker"),
+        finite("_price").alias("price"),
+        whole_number("_volume").alias("volume"),
+        parse_time("_timestamp").alias(at),
+        F.col("_event_type").alias("event_type"),
+        whole_number("_sequence_number").alias("sequence_number"),
     )
-    at = "ts_us" if "ts_us" not in df.columns else "event_us"
 
     def fails(ok: Column, field: str) -> Column:
         return F.when(~F.coalesce(ok, F.lit(False)), field)
@@ -164,36 +166,34 @@ def news(df: DataFrame, received: str | None = None) -> DataFrame:
 
 def news_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Raw JSON news messages as canonical news; messages that are not JSON are dropped."""
-    j = df.withColumn("_j", _json(raw, NEWS_MESSAGE))
-    return j.filter(_object_error(raw).isNull()).select(
+    j = _fields(df, raw, NEWS_FIELDS)
+    return j.filter(_object_error(raw, NEWS_FIELDS).isNull()).select(
         *[c for c in df.columns if c != raw],
-        F.col("_j.article_id").alias("id"),
-        F.col("_j.ticker").alias("ticker"),
-        F.col("_j.headline").alias("headline"),
-        F.col("_j.summary").alias("summary"),
-        F.col("_j.source").alias("source"),
-        parse_time("_j.published_at").alias("ts_us"),
+        F.col("_article_id").alias("id"),
+        F.col("_ticker").alias("ticker"),
+        F.col("_headline").alias("headline"),
+        F.col("_summary").alias("summary"),
+        F.col("_source").alias("source"),
+        parse_time("_published_at").alias("ts_us"),
     )
 
 
 def tick_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Raw JSON ticks (trades and quotes mixed) as one wide typed frame."""
-    j = df.withColumn("_j", _json(raw, TICK_RAW))
-    return j.select(
+    return _fields(df, raw, TICK_FIELDS).select(
         *df.columns,
-        _object_error(raw).alias("_object"),
-        F.col("_j.ticker").alias("ticker"),
-        finite("_j.price").alias("price"),
-        whole_number("_j.size").alias("size"),
-        parse_time("_j.timestamp").alias("ts_us"),
-        F.col("_j.exchange").alias("exchange"),
-        F.col("_j.trade_id").alias("trade_id"),
-        F.col("_j.conditions").alias("conditions"),
-        whole_number("_j.sequence").alias("sequence"),
-        finite("_j.bid_price").alias("bid_price"),
-        finite("_j.ask_price").alias("ask_price"),
-        whole_number("_j.bid_size").alias("bid_size"),
-        whole_number("_j.ask_size").alias("ask_size"),
+        F.col("_ticker").alias("ticker"),
+        finite("_price").alias("price"),
+        whole_number("_size").alias("size"),
+        parse_time("_timestamp").alias("ts_us"),
+        F.col("_exchange").alias("exchange"),
+        F.col("_trade_id").alias("trade_id"),
+        F.from_json("_conditions", "array<string>").alias("conditions"),
+        whole_number("_sequence").alias("sequence"),
+        finite("_bid_price").alias("bid_price"),
+        finite("_ask_price").alias("ask_price"),
+        whole_number("_bid_size").alias("bid_size"),
+        whole_number("_ask_size").alias("ask_size"),
     )
 
 

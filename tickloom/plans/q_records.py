@@ -50,7 +50,7 @@ def news_from_documents(spark, d):
 
 
 def _checked(spark, d):
-    return validate.market_events(src.ticks_json(spark, d))
+    return validate.market_events(src.ticks_json(spark, d), at="event_us")
 
 
 @query(

@@ -123,7 +123,7 @@ def feature_rows(spark, d):
 
 
 def _letters(spark, d):
-    bad = validate.invalid_only(validate.market_events(src.ticks_json(spark, d)))
+    bad = validate.invalid_only(validate.market_events(src.ticks_json(spark, d), at="event_us"))
     return deadletter.dead_letters(
         bad,
         failed_us=F.col("ts_us") + 1_000_000,
@@ -200,12 +200,12 @@ def dlq_retry(spark, d):
     bodies = deadletter.attributes(letters.withColumn("retry_count", count)).select("body")
 
     def lenient(df):
-        checked = validate.market_events(df.select("*", F.col("original_message").alias("raw")).drop("ticker"))
+        checked = validate.market_events(df.drop("ticker"), "original_message")
         ok = F.col("error_field").isNull() | (F.col("error_field") == "ticker")
-        return checked.select(*[c for c in df.columns if c in checked.columns], ok.alias("ok"))
+        return checked.withColumn("ok", ok)
 
     now = F.col("first_failed_us") + 4_000_000
-    out = deadletter.retry(deadletter.read_bodies(bodies).drop("ticker"), lenient, now_us=now)
+    out = deadletter.retry(deadletter.read_bodies(bodies), lenient, now_us=now)
     return out.select("offset", "action", "retry_count", "last_failed_us")
 
 

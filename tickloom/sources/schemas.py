@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
-# Raw messages are read with every field as text, so that a wrong type is a failed
+# Fields of raw JSON messages. They are read as text, so that a wrong type is a failed
 # check on one field and not a lost message.
-MARKET_RAW = (
-    "ticker string, price string, volume string, timestamp string, "
-    "event_type string, sequence_number string, _corrupt string"
-)
-TICK_RAW = (
-    "ticker string, price string, size string, timestamp string, exchange string, trade_id string, "
-    "conditions array<string>, sequence string, bid_price string, ask_price string, bid_size string, "
-    "ask_size string, _corrupt string"
-)
-ARTICLE_RAW = (
-    "id string, headline string, summary string, url string, source string, datetime string, "
-    "category string, _corrupt string"
-)
-NEWS_MESSAGE = (
-    "article_id string, ticker string, headline string, summary string, source string, url string, "
-    "published_at string, ingested_at string, category string, _corrupt string"
-)
+MARKET_FIELDS = ["ticker", "price", "volume", "timestamp", "event_type", "sequence_number"]
+TICK_FIELDS = [
+    "ticker",
+    "price",
+    "size",
+    "timestamp",
+    "exchange",
+    "trade_id",
+    "conditions",
+    "sequence",
+    "bid_price",
+    "ask_price",
+    "bid_size",
+    "ask_size",
+]
+NEWS_FIELDS = [
+    "article_id",
+    "ticker",
+    "headline",
+    "summary",
+    "source",
+    "url",
+    "published_at",
+    "ingested_at",
+    "category",
+]
+LETTER_FIELDS = [
+    "original_message",
+    "error_reason",
+    "error_type",
+    "topic",
+    "offset",
+    "partition",
+    "ticker",
+    "retry_count",
+    "first_failed_at",
+    "last_failed_at",
+]
 
 MARKET_EVENT = "ticker string, price double, volume bigint, ts_us bigint, event_type string, sequence_number bigint"
 TICK = "ticker string, price double, size bigint, ts_us bigint, seq bigint"
@@ -33,10 +54,6 @@ DEAD_LETTER = (
     "original_message string, error_reason string, error_type string, topic string, offset bigint, "
     "partition int, ticker string, retry_count int, first_failed_us bigint, last_failed_us bigint"
 )
-DEAD_LETTER_BODY = (
-    "original_message string, error_reason string, error_type string, topic string, offset bigint, "
-    "partition int, ticker string, retry_count int, first_failed_at string, last_failed_at string"
-)
 BAR = (
     "index string, date string, open double, high double, low double, close double, adj_close double, "
     "volume string, close_usd double"
