@@ -1 +1,119 @@
-"""Queries to come."""
+"""Streams run over the given tables until their end."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickloom.functions import rules
+from tickloom.operators import anomaly
+from tickloom.plans.catalogue import query
+from tickloom.session import shared_folder
+from tickloom.sources import adapters as src
+from tickloom.streaming import streams
+
+ONCE = {"availableNow": True}
+
+
+def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    schema = spark.read.parquet(f"{d}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(d)
+
+
+def tick_stream(spark, d, delay: str = streams.DELAY) -> DataFrame:
+    return streams.timed(src.ticks_of(table_stream(spark, d, "events")).drop("k"), delay)
+
+
+def news_stream(spark, d, delay: str = streams.DELAY) -> DataFrame:
+    return streams.timed(src.news_of(table_stream(spark, d, "documents")), delay)
+
+
+@query()
+def stream_vwap_1min(spark, d):
+    return streams.run_once(streams.vwap(tick_stream(spark, d)), "stream_vwap")
+
+
+@query()
+def stream_avg_hopping(spark, d):
+    return streams.run_once(streams.mean_price_hopping(tick_stream(spark, d)), "stream_hopping")
+
+
+@query()
+def stream_enrich(spark, d):
+    return streams.run_once(streams.enrich(tick_stream(spark, d)), "stream_enrich")
+
+
+@query()
+def stream_correlations(spark, d):
+    s = streams.correlations(tick_stream(spark, d), news_stream(spark, d), src.lexicon(spark), strong_only=False)
+    return streams.run_once(s, "stream_correlations")
+
+
+@query()
+def stream_asof(spark, d):
+    s = streams.asof(news_stream(spark, d), streams.enrich(tick_stream(spark, d)))
+    return streams.run_once(s, "stream_asof")
+
+
+@query()
+def stream_dedup(spark, d):
+    n = news_stream(spark, d)
+    twice = n.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    return streams.run_once(streams.first_seen(twice, ["id"]).select("id", "ticker", "ts_us"), "stream_dedup")
+
+
+@query()
+def stream_dlq_split(spark, d):
+    """Counts of valid rows and dead letters of a forked stream."""
+    raw = src.ticks_json_of(src.ticks_of(table_stream(spark, d, "events")).drop("k")).select(
+        "raw",
+        F.lit("market.trades").alias("topic"),
+        F.pmod("seq", F.lit(6)).cast("int").alias("partition"),
+        F.col("seq").alias("offset"),
+        (F.col("ts_us") + 1_000_000).alias("received_us"),
+    )
+    root = shared_folder(spark, "stream_split")
+    streams.start_split(raw, root, f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    valid = spark.read.parquet(f"{root}/valid").select(F.lit("valid").alias("side"))
+    dead = spark.read.parquet(f"{root}/dead_letters").select(F.lit("dead letter").alias("side"))
+    return valid.unionByName(dead).groupBy("side").agg(F.count("*").alias("n"))
+
+
+@query()
+def stream_anomaly(spark, d):
+    e = streams.enrich(tick_stream(spark, d))
+    f = e.select(
+        *anomaly.ID,
+        "price",
+        F.col("size").cast("double").alias("volume"),
+        "vwap_1min",
+        "volume_zscore",
+        "momentum",
+        F.lit(0.0).alias("bid_ask_spread"),
+        F.col("trade_count_60s").cast("double").alias("trade_frequency"),
+    )
+    root = shared_folder(spark, "stream_anomaly")
+    streams.start_anomalies(f, root, f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{root}/scores").drop("batch", *anomaly.FEATURES_7D)
+
+
+@query()
+def stream_archive(spark, d):
+    """Rows per archived hour of a tick stream."""
+    root = shared_folder(spark, "stream_archive")
+    t = src.ticks_of(table_stream(spark, d, "events")).drop("k")
+    streams.start_archive(t, f"{root}/data", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{root}/data").groupBy("hour").agg(F.count("*").alias("n"))
+
+
+@query()
+def stream_insert_if_absent(spark, d):
+    """Trades of a stream put into a keyed table, by day and shard."""
+    root = shared_folder(spark, "stream_insert")
+    t = src.ticks_of(table_stream(spark, d, "events")).drop("k")
+    twice = t.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    streams.start_insert_if_absent(
+        twice, f"{root}/data", f"{root}/checkpoint", ["ticker", "ts_us", "seq"], ["copy"], trigger=ONCE
+    ).awaitTermination()
+    pk = rules.sequence_shard_key().alias("pk")
+    return spark.read.parquet(f"{root}/data").groupBy(pk).agg(F.count("*").alias("n"))
