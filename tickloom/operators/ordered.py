@@ -38,18 +38,34 @@ def hot_buckets(
     """The (key, bucket) pairs with more than ``hot_rows`` rows and the width to cut them to.
 
     At most rows/hot_rows pairs can be that full (500,000 for 10^12 rows), which bounds
-    the broadcast of this table.
+    the broadcast of this table. The width follows from the busiest of 6,000 slots of the
+    bucket, so a burst of a few seconds is cut as well as an even stream. The second count
+    reads rows of full buckets only; without any, Spark drops it at run time.
     """
     if hot_rows is None:
         return None
     width = bucket_s * 1_000_000
-    start = F.col(at) - F.pmod(F.col(at), F.lit(width))
-    narrow = F.floor(F.lit(width) / F.ceil(F.col("_n") / hot_rows))
+    slot = max(1, width // 6000)
+    offset = F.pmod(F.col(at), F.lit(width))
+    rows = df.select(
+        F.col(key).alias("_hot_key"),
+        (F.col(at) - offset).alias("_hot_start"),
+        F.floor(offset / slot).alias("_slot"),
+    )
+    pair = ["_hot_key", "_hot_start"]
+    full = rows.groupBy(*pair).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
     return (
-        df.groupBy(F.col(key).alias("_hot_key"), start.alias("_hot_start"))
+        rows.join(F.broadcast(full), pair)
+        .groupBy(*pair, "_slot")
         .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select("_hot_key", "_hot_start", F.greatest(F.lit(1), narrow).cast("bigint").alias("_step"))
+        .groupBy(*pair)
+        .agg(F.max("_n").alias("_n"))
+        .select(
+            *pair,
+            F.greatest(F.lit(1), F.least(F.lit(width), F.floor(F.lit(slot * hot_rows) / F.col("_n"))))
+            .cast("bigint")
+            .alias("_step"),
+        )
     )
 
 

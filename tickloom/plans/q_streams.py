@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from tickloom.functions import rules
 from tickloom.operators import anomaly
 from tickloom.plans.catalogue import query
+from tickloom.plans.views import sql
 from tickloom.session import shared_folder
 from tickloom.sources import adapters as src
+from tickloom.sources import readers, schemas
 from tickloom.streaming import streams
 
 ONCE = {"availableNow": True}
 
+# A finite stream ends with its watermark 10 s before its last row (the earlier one of
+# two streams), and windows that end after it stay open.
+_TICKS_END = "(SELECT max(ts_us) // 1000 * 1000 - 10000000 FROM ticks)"
+_NEWS_END = "(SELECT max(ts_us) // 1000 * 1000 - 10000000 FROM news)"
+_BOTH_END = f"least({_TICKS_END}, {_NEWS_END})"
+
 
 def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
@@ -28,41 +36,75 @@ def news_stream(spark, d, delay: str = streams.DELAY) -> DataFrame:
     return streams.timed(src.news_of(table_stream(spark, d, "documents")), delay)
 
 
-@query()
+@query(
+    sql(
+        "ticks",
+        f"""SELECT ticker, w AS window_start_us, w + 60000000 AS window_end_us,
+       CASE WHEN sum(size) > 0 THEN sum(price * size) / sum(size)::DOUBLE ELSE 0.0 END AS vwap, sum(size)::BIGINT AS volume, count(*) AS trade_count
+FROM (SELECT *, ts_us - ts_us % 60000000 AS w FROM ticks) WHERE w + 60000000 <= {_TICKS_END} GROUP BY ticker, w""",
+    )
+)
 def stream_vwap_1min(spark, d):
     return streams.run_once(streams.vwap(tick_stream(spark, d)), "stream_vwap")
 
 
-@query()
+@query(
+    sql(
+        "ticks",
+        f"""SELECT ticker, w AS window_start_us, w + 300000000 AS window_end_us, sum(price) / count(*) AS avg_price, count(*) AS trade_count
+FROM (SELECT *, ts_us - ts_us % 60000000 - i * 60000000 AS w FROM ticks, range(5) r(i)) WHERE w + 300000000 <= {_TICKS_END} GROUP BY ticker, w""",
+    )
+)
 def stream_avg_hopping(spark, d):
     return streams.run_once(streams.mean_price_hopping(tick_stream(spark, d)), "stream_hopping")
 
 
-@query()
+@query(
+    sql(
+        "enriched",
+        """SELECT ticker, ts_us, seq, price, size, vwap_1min, vwap_5min, avg_price_5min, trade_count_60s, volume_zscore, momentum
+FROM enriched""",
+    )
+)
 def stream_enrich(spark, d):
-    return streams.run_once(streams.enrich(tick_stream(spark, d)), "stream_enrich")
+    return streams.run_once(streams.enrich(tick_stream(spark, d)), "stream_enrich").drop("ts")
 
 
-@query()
+@query(
+    sql(
+        "tradewin newswin",
+        f"""SELECT ticker, max_zscore AS volume_zscore, best_compound AS sentiment_compound, trade_count, news_count,
+       had_strong_sentiment AND max_zscore > 2.0 AS is_strong, window_start_us, window_start_us + 60000000 AS window_end_us
+FROM tradewin JOIN newswin USING (ticker, window_start_us) WHERE window_start_us + 60000000 <= {_BOTH_END}""",
+    )
+)
 def stream_correlations(spark, d):
     s = streams.correlations(tick_stream(spark, d), news_stream(spark, d), src.lexicon(spark), strong_only=False)
     return streams.run_once(s, "stream_correlations")
 
 
-@query()
+@query(
+    sql(
+        "linked",
+        f"""SELECT id, ticker, ts_us, volume_zscore FROM linked
+WHERE volume_zscore IS NOT NULL AND ts_us - ts_us % 60000000 + 60000000 <= {_BOTH_END} - 60000000""",
+    )
+)
 def stream_asof(spark, d):
     s = streams.asof(news_stream(spark, d), streams.enrich(tick_stream(spark, d)))
     return streams.run_once(s, "stream_asof")
 
 
-@query()
+@query(sql("news", "SELECT id, ticker, ts_us FROM news"))
 def stream_dedup(spark, d):
     n = news_stream(spark, d)
     twice = n.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
     return streams.run_once(streams.first_seen(twice, ["id"]).select("id", "ticker", "ts_us"), "stream_dedup")
 
 
-@query()
+@query(
+    sql("ticks", "SELECT CASE WHEN seq % 50 = 0 THEN 'dead letter' ELSE 'valid' END AS side, count(*) AS n FROM ticks GROUP BY 1")
+)
 def stream_dlq_split(spark, d):
     """Counts of valid rows and dead letters of a forked stream."""
     raw = src.ticks_json_of(src.ticks_of(table_stream(spark, d, "events")).drop("k")).select(
@@ -97,16 +139,20 @@ def stream_anomaly(spark, d):
     return spark.read.parquet(f"{root}/scores").drop("batch", *anomaly.FEATURES_7D)
 
 
-@query()
+@query(
+    sql("ticks", "SELECT strftime(make_timestamp(ts_us), '%H') AS hour, count(*) AS n FROM ticks GROUP BY 1")
+)
 def stream_archive(spark, d):
     """Rows per archived hour of a tick stream."""
     root = shared_folder(spark, "stream_archive")
     t = src.ticks_of(table_stream(spark, d, "events")).drop("k")
     streams.start_archive(t, f"{root}/data", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
-    return spark.read.parquet(f"{root}/data").groupBy("hour").agg(F.count("*").alias("n"))
+    return readers.archive(spark, f"{root}/data", schemas.TICK).groupBy("hour").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(
+    sql("ticks", "SELECT ticker || '#' || (seq % 8) AS pk, count(*) AS n FROM ticks GROUP BY 1")
+)
 def stream_insert_if_absent(spark, d):
     """Trades of a stream put into a keyed table, by day and shard."""
     root = shared_folder(spark, "stream_insert")
