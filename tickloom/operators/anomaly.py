@@ -189,8 +189,10 @@ def score(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
             s = raw - offset
             parts.append(rows.assign(version=v, raw_score=raw, score=s, is_anomaly=s < 0, warming_up=False))
         if not parts:
-            return pd.DataFrame({c: [] for c in names})
-        return pd.concat(parts)[names]
+            parts = [
+                pdf.iloc[:0].assign(version=0, raw_score=0.0, score=0.0, is_anomaly=False, warming_up=True)
+            ]
+        return pd.concat(parts, ignore_index=True)[names]
 
     return _blocks(df.select(*keep), forest).groupBy("ticker", "_block").applyInPandas(run, out)
 
@@ -212,7 +214,8 @@ def fit(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
                 continue
             (f, t, val), psi, offset = _fit(train, ticker, v, forest)
             rows += [(ticker, v, i, f[i], t[i], val[i], psi, offset) for i in range(len(f))]
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in MODEL.split(", ")])
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in MODEL.split(", ")])
+        return out.astype({"version": "int64", "tree": "int32", "psi": "int32", "offset": "float64"})
 
     keep = ["ticker", "ordinal", *forest.features]
     return _blocks(df.select(*keep), forest).groupBy("ticker", "_block").applyInPandas(run, MODEL)
@@ -244,7 +247,7 @@ def score_with(
     """
     names = list(forest.features)
     rows = df.withColumn("_chunk", F.floor(F.col("ordinal") / chunk))
-    wanted = rows.select("ticker", "_chunk").distinct()
+    wanted = rows.select(F.col("ticker").alias("ticker"), F.col("_chunk").alias("_chunk")).distinct()
     spread = wanted.join(models, "ticker")
     out = (
         "ticker string, ts_us bigint, seq bigint, ordinal bigint, version bigint, raw_score double, "
@@ -253,8 +256,6 @@ def score_with(
     cols = [c.split()[0] for c in out.split(", ")]
 
     def run(pdf: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        if not len(pdf):
-            return pd.DataFrame({c: [] for c in cols})
         if not len(model):
             return pdf.assign(version=0, raw_score=0.0, score=0.0, is_anomaly=False, warming_up=True)[cols]
         model = model.sort_values("tree")
