@@ -111,7 +111,7 @@ def vectors(spark, n=750, parts=3):
     rows = []
     for t in ("A", "B"):
         x = rng.normal(size=(n, 7))
-        x[[300, 555]] += 15
+        x[[i for i in (300, 555) if i < n]] += 15
         rows += [(t, i, i, i + 1, *map(float, x[i])) for i in range(n)]
     ddl = "ticker string, ts_us bigint, seq bigint, ordinal bigint, " + ", ".join(f"{c} double" for c in anomaly.FEATURES_7D)
     return spark.createDataFrame(rows, ddl).repartition(parts)
