@@ -1,7 +1,8 @@
 """Isolation trees in numpy (Liu, Ting, Zhou 2008): the small per-group helper.
 
 A tree is kept in heap order: node i has children 2i+1 and 2i+2. ``feature`` is -1 at a
-leaf, ``value`` is the leaf's path length.
+leaf, ``value`` is the leaf's path length. Leaves above the last level hand their value
+down their left edge, so that every row takes the same number of steps.
 """
 
 from __future__ import annotations
@@ -62,6 +63,9 @@ def grow(x: np.ndarray, trees: int, sample: int, seed: int) -> tuple[np.ndarray,
         right = rows[np.arange(len(rows)), f[group]] > cut[group]
         tree, node = slot // nodes, slot % nodes
         slot = tree * nodes + 2 * node + 1 + right
+    for level in range(depth):
+        i = np.arange(2**level - 1, 2 ** (level + 1) - 1)
+        value[:, 2 * i + 1] = np.where(feature[:, i] < 0, value[:, i], value[:, 2 * i + 1])
     return feature, threshold, value
 
 
@@ -70,17 +74,14 @@ def score(
 ) -> np.ndarray:
     """-2^(-mean path / expected path): near -1 is isolated, near -0.4 is usual."""
     trees, nodes = feature.shape
-    tree = np.arange(trees) * nodes
-    flat_f, flat_t = feature.ravel(), threshold.ravel()
-    at = np.broadcast_to(tree, (len(x), trees)).copy()
-    row = np.arange(len(x))[:, None]
-    while True:
-        f = flat_f[at]
-        inner = f >= 0
-        if not inner.any():
-            break
-        right = x[row, np.maximum(f, 0)] > flat_t[at]
-        node = at - tree
-        at = np.where(inner, tree + 2 * node + 1 + right, at)
-    depth = value.ravel()[at].mean(axis=1)
-    return -np.power(2.0, -depth / max(float(average_path(np.array(psi))), 1e-12))
+    depth = int(np.log2(nodes + 1)) - 1
+    cells, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+    total = np.zeros(len(x))
+    for f, t, v in zip(feature, threshold, value, strict=True):
+        cut = np.where(f < 0, np.inf, t)
+        column = np.maximum(f, 0)
+        node = np.zeros(len(x), dtype=np.int64)
+        for _ in range(depth):
+            node = 2 * node + 1 + (cells.take(first + column.take(node)) > cut.take(node))
+        total += v.take(node)
+    return -np.power(2.0, -total / trees / max(float(average_path(np.array(psi))), 1e-12))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, GroupedData, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions import iforest
@@ -47,7 +47,7 @@ class Forest:
     interval: int = 1000
     warmup: int = 500
     seed: int = 42
-    block: int = 20
+    block: int = 10
 
 
 def features_7d(ticks: DataFrame, **opts) -> DataFrame:
@@ -126,12 +126,18 @@ def training_counts(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
     )
 
 
-def _blocks(df: DataFrame, forest: Forest) -> DataFrame:
-    """Rows copied to the blocks that train on or score them (about 1.25 copies each)."""
+def _blocks(df: DataFrame, forest: Forest) -> GroupedData:
+    """Rows copied to the blocks that train on or score them (about 1.5 copies each).
+
+    Fitting costs far more than its bytes suggest, so the number of partitions is given;
+    Spark would merge them by size.
+    """
     n, i = F.col("ordinal"), forest.interval
-    first = F.floor(F.floor((n - 1) / i) / forest.block)
-    last = F.floor(F.floor((n + forest.window - 1) / i) / forest.block)
-    return df.select("*", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("_block"))
+    first = F.floor(F.floor((n - 1) / i) / forest.block).cast("bigint")
+    last = F.floor(F.floor((n + forest.window - 1) / i) / forest.block).cast("bigint")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = df.select("*", F.explode(F.sequence(first, last)).alias("_block"))
+    return copies.repartition(parts, "ticker", "_block").groupBy("ticker", "_block")
 
 
 def _fit(x: np.ndarray, ticker: str, version: int, forest: Forest):
@@ -194,7 +200,7 @@ def score(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
             ]
         return pd.concat(parts, ignore_index=True)[names]
 
-    return _blocks(df.select(*keep), forest).groupBy("ticker", "_block").applyInPandas(run, out)
+    return _blocks(df.select(*keep), forest).applyInPandas(run, out)
 
 
 MODEL = (
@@ -218,7 +224,7 @@ def fit(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
         return out.astype({"version": "int64", "tree": "int32", "psi": "int32", "offset": "float64"})
 
     keep = ["ticker", "ordinal", *forest.features]
-    return _blocks(df.select(*keep), forest).groupBy("ticker", "_block").applyInPandas(run, MODEL)
+    return _blocks(df.select(*keep), forest).applyInPandas(run, MODEL)
 
 
 def save(models: DataFrame, root: str) -> None:

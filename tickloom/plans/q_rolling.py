@@ -112,9 +112,17 @@ def trade_rate_running(spark, d):
     return rolling.running_trade_rate(src.ticks(spark, d)).select("ticker", "ts_us", "seq", "trade_rate")
 
 
-@query()
+@query(
+    sql(
+        "ticks",
+        f"""SELECT {_ID}, array_to_string(list(size) OVER w, ',') AS sizes
+FROM ticks WINDOW w AS (PARTITION BY ticker ORDER BY ts_us, seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+    )
+)
 def size_ring(spark, d):
-    return rolling.recent_sizes(src.ticks(spark, d)).select("ticker", "ts_us", "seq", "sizes")
+    r = rolling.recent_sizes(src.ticks(spark, d))
+    sizes = F.array_join(F.transform("sizes", lambda s: s.cast("string")), ",")
+    return r.select("ticker", "ts_us", "seq", sizes.alias("sizes"))
 
 
 @query(

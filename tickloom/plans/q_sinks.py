@@ -209,7 +209,13 @@ def dlq_retry(spark, d):
     return out.select("offset", "action", "retry_count", "last_failed_us")
 
 
-@query()
+@query(
+    sql(
+        "ticks",
+        """SELECT ticker AS key, '{"ticker":"' || ticker || '","price":' || price::VARCHAR || ',"size":' || size || ',"ts_us":' || ts_us
+       || ',"seq":' || seq || '}' AS value FROM ticks""",
+    )
+)
 def trades_to_json(spark, d):
     return sinks.as_messages(src.ticks(spark, d))
 
