@@ -8,15 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Recommended when the session is built; the cluster's own settings win elsewhere.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+# Recommended when the session is built.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     # Recording a Python call site for every column makes building large plans slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -29,8 +30,13 @@ def builder(app: str = "tickloom") -> SparkSession.Builder:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """All event times are UTC; the zone must not depend on the cluster's machines."""
+    """Set what results depend on, in a session built elsewhere.
+
+    All event times are UTC, whatever zone the machines are in, and per-ticker streaming
+    state needs the RocksDB store.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(STATE_STORE, ROCKSDB)
     return spark
 
 

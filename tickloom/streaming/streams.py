@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.functions.exact import exact, notional, ratio
 from tickloom.functions.rules import STRONG_SENTIMENT, UNUSUAL_Z, timestamp
 from tickloom.operators import anomaly, deadletter, sentiment, validate
-from tickloom.session import shared_folder
+from tickloom.session import broadcast_if_small, shared_folder
 from tickloom.sources import sinks
 from tickloom.streaming.state import OUTPUT, EnrichTicks
 
@@ -142,30 +142,45 @@ def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(keys))
 
 
+def _launch(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Start a query with no more state partitions than the cluster has cores.
+
+    A new query takes its partition count from ``spark.sql.shuffle.partitions``, and each
+    partition of each stateful step is a store that is committed in every micro-batch.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def start(df: DataFrame, root: str, *, name: str, trigger: dict | None = None) -> StreamingQuery:
     """Append a stream to Parquet files, exactly once."""
-    return (
+    writer = (
         df.writeStream.format("parquet")
         .option("path", f"{root}/data")
         .option("checkpointLocation", f"{root}/checkpoint")
         .queryName(name)
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "5 minutes"}))
-        .start()
     )
+    return _launch(df.sparkSession, writer)
 
 
 def start_archive(ticks: DataFrame, root: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
     """Archive a tick stream under year/month/day/hour folders."""
-    return (
+    writer = (
         sinks.dated(ticks)
         .writeStream.format("parquet")
         .partitionBy(*sinks.HOUR_PARTS)
         .option("path", root)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 minutes"}))
-        .start()
     )
+    return _launch(ticks.sparkSession, writer)
 
 
 def start_insert_if_absent(
@@ -176,7 +191,8 @@ def start_insert_if_absent(
     def put(batch: DataFrame, _: int) -> None:
         sinks.append_new(batch, root, keys, order)
 
-    return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return _launch(df.sparkSession, writer)
 
 
 def start_split(messages: DataFrame, root: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
@@ -201,7 +217,8 @@ def start_split(messages: DataFrame, root: str, checkpoint: str, *, trigger: dic
         finally:
             checked.unpersist()
 
-    return messages.writeStream.foreachBatch(fork).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = messages.writeStream.foreachBatch(fork).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return _launch(messages.sparkSession, writer)
 
 
 def start_anomalies(
@@ -234,7 +251,7 @@ def start_anomalies(
             seen = counts.filter(F.col("batch") < batch_id).groupBy("ticker").agg(F.max("seen").alias("seen"))
             numbered = (
                 ordinals(rows)
-                .join(F.broadcast(seen), "ticker", "left")
+                .join(broadcast_if_small(seen), "ticker", "left")
                 .withColumn("seen", F.coalesce("seen", F.lit(0).cast("bigint")))
                 .withColumn("ordinal", F.col("ordinal") + F.col("seen"))
             )
@@ -247,14 +264,15 @@ def start_anomalies(
         stored = spark.read.parquet(f"{root}/features").filter(F.col("batch") <= batch_id)
         need = F.col("_before") - forest.window - forest.interval
         recent = (
-            stored.join(F.broadcast(ends.select("ticker", "_before")), "ticker")
+            stored.join(broadcast_if_small(ends.select("ticker", "_before")), "ticker")
             .filter(F.col("ordinal") > need)
             .withColumn("emit", F.col("batch") == batch_id)
         )
         scored = anomaly.score(recent.select(*anomaly.ID, "ordinal", *names, "emit"), forest)
         scored.write.mode("overwrite").parquet(f"{root}/scores/batch={batch_id}")
 
-    return features.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = features.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return _launch(features.sparkSession, writer)
 
 
 def _schema(ddl: str):
