@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.functions.exact import exact, notional, ratio
 from tickloom.functions.rules import STRONG_SENTIMENT, UNUSUAL_Z, timestamp
-from tickloom.operators import anomaly, deadletter, sentiment, validate
+from tickloom.operators import anomaly, deadletter, rolling, sentiment, validate
 from tickloom.session import broadcast_if_small, shared_folder
 from tickloom.sources import sinks
 from tickloom.streaming.state import OUTPUT, EnrichTicks
@@ -189,7 +189,11 @@ def start_insert_if_absent(
     """Insert new keys of a stream into a day-partitioned table; replays add nothing."""
 
     def put(batch: DataFrame, _: int) -> None:
-        sinks.append_new(batch, root, keys, order)
+        rows = batch.persist()
+        try:
+            sinks.append_new(rows, root, keys, order)
+        finally:
+            rows.unpersist()
 
     writer = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**trigger)
     return _launch(df.sparkSession, writer)
@@ -231,56 +235,50 @@ def start_anomalies(
 ) -> StreamingQuery:
     """Score a feature stream, refitting each ticker's forest as its events add up.
 
-    A micro-batch numbers its rows on from the last ones, adds them to the stored
-    features, and scores them with the same operator as a batch job, which reads just the
-    stored rows that train the versions in question. Every folder belongs to one batch
+    A micro-batch numbers its rows on from the last ones and scores them with the same
+    operator as a batch job, together with the ``recent`` rows that train the versions in
+    question. Those are handed on from batch to batch, at most window + interval rows per
+    ticker, so a batch never reads the whole history. Every folder belongs to one batch
     and is overwritten when that batch is repeated.
     """
     spark = features.sparkSession
     names = list(forest.features)
+    row = [*anomaly.ID, "ordinal", *names]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        from tickloom.operators.rolling import ordinals
-
-        counts = sinks.existing(spark, f"{root}/counts", _schema("ticker string, seen bigint, batch bigint"))
-        rows = batch.select(*anomaly.ID, *names)
-        if counts is None:
-            numbered = ordinals(rows).withColumn("seen", F.lit(0).cast("bigint"))
-        else:
-            # One row per ticker and batch; the newest before this batch counts.
-            seen = counts.filter(F.col("batch") < batch_id).groupBy("ticker").agg(F.max("seen").alias("seen"))
-            numbered = (
-                ordinals(rows)
-                .join(broadcast_if_small(seen), "ticker", "left")
-                .withColumn("seen", F.coalesce("seen", F.lit(0).cast("bigint")))
-                .withColumn("ordinal", F.col("ordinal") + F.col("seen"))
+        def folder(what: str, of: int = batch_id) -> str:
+            return f"{root}/{what}/batch={of}"
+
+        # Written once: the stateful steps before must not run again for each use.
+        batch.select(*anomaly.ID, *names).write.mode("overwrite").parquet(folder("incoming"))
+        incoming = spark.read.parquet(folder("incoming"))
+        numbered = rolling.ordinals(incoming)
+        recent = sinks.existing(spark, folder("recent", batch_id - 1), numbered.select(*row).schema)
+        if incoming.isEmpty():
+            # A batch that only moves the watermark hands the rows on.
+            if recent is not None:
+                recent.write.mode("overwrite").parquet(folder("recent"))
+            return
+        if recent is not None:
+            seen = recent.groupBy("ticker").agg(F.max("ordinal").alias("_seen"))
+            numbered = numbered.join(broadcast_if_small(seen), "ticker", "left").withColumn(
+                "ordinal", F.col("ordinal") + F.coalesce("_seen", F.lit(0).cast("bigint"))
             )
-        here = f"{root}/features/batch={batch_id}"
-        numbered.write.mode("overwrite").parquet(here)
-        now = spark.read.parquet(here)
-        ends = now.groupBy("ticker").agg(F.max("ordinal").alias("seen"), F.max("seen").alias("_before"))
-        ends.select("ticker", "seen").write.mode("overwrite").parquet(f"{root}/counts/batch={batch_id}")
-
-        stored = spark.read.parquet(f"{root}/features").filter(F.col("batch") <= batch_id)
-        need = F.col("_before") - forest.window - forest.interval
-        recent = (
-            stored.join(broadcast_if_small(ends.select("ticker", "_before")), "ticker")
-            .filter(F.col("ordinal") > need)
-            .withColumn("emit", F.col("batch") == batch_id)
+        numbered.select(*row).write.mode("overwrite").parquet(folder("features"))
+        rows = spark.read.parquet(folder("features")).withColumn("emit", F.lit(True))
+        if recent is not None:
+            rows = rows.unionByName(recent.withColumn("emit", F.lit(False)))
+        anomaly.score(rows, forest).write.mode("overwrite").parquet(folder("scores"))
+        last = rows.groupBy("ticker").agg(F.max("ordinal").alias("_last"))
+        kept = rows.join(broadcast_if_small(last), "ticker").filter(
+            F.col("ordinal") > F.col("_last") - forest.window - forest.interval
         )
-        scored = anomaly.score(recent.select(*anomaly.ID, "ordinal", *names, "emit"), forest)
-        scored.write.mode("overwrite").parquet(f"{root}/scores/batch={batch_id}")
+        kept.select(*row).write.mode("overwrite").parquet(folder("recent"))
 
     writer = features.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
     return _launch(features.sparkSession, writer)
 
 
-def _schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
-
-
 def run_once(df: DataFrame, name: str) -> DataFrame:
     """Run a stream over what is there now and give back what it wrote."""
     spark = df.sparkSession
