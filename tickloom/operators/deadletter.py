@@ -27,7 +27,7 @@ def dead_letters(
 ) -> DataFrame:
     """Failing rows (raw, error_field, error_reason, ticker) as dead letters of a queue.
 
-    Long messages are cut to the size a queue takes; the archive keeps them whole.
+    Long messages are cut to the size a queue takes.
     """
 
     def lit(x: Column | str) -> Column:

@@ -56,7 +56,10 @@ def news_asof_zscore(spark, d):
     return correlate.asof_backward(n, z, ["volume_zscore"], tolerance_s=60)
 
 
-@query(sql("signals", "SELECT id, compound, volume_zscore, correlation_strength AS strength FROM signals"))
+@query(
+    sql("signals", "SELECT id, compound, volume_zscore, correlation_strength AS strength FROM signals"),
+    name="correlation_strength",
+)
 def correlation_strength_by_article(spark, d):
     z = rolling.zscore_prior(src.ticks(spark, d))
     j = correlate.asof_backward(_scored(spark, d), z, ["volume_zscore"], tolerance_s=60)
