@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.rules import ALERTS, window_start
-from tickloom.session import broadcast_if_small, checkpointed
+from tickloom.session import checkpointed
 
 SAMPLES = 100
 HEALTHY_P99_MS = 200.0
@@ -112,7 +112,7 @@ def feature_stats(df: DataFrame, cols: list[str], by: str = "ticker") -> DataFra
 
 def standardize(df: DataFrame, stats: DataFrame, cols: list[str], by: str = "ticker") -> DataFrame:
     """(x - mean) / deviation per ticker; a deviation of 0 counts as 1."""
-    small = broadcast_if_small(checkpointed(stats.select(by, *[f"{c}_{n}" for c in cols for n in ("mean", "std")])))
+    small = checkpointed(stats.select(by, *[f"{c}_{n}" for c in cols for n in ("mean", "std")]))
     joined = df.join(small, by)
     scaled = {
         c: (F.col(c) - F.col(f"{c}_mean")) / F.when(F.col(f"{c}_std") == 0, 1.0).otherwise(F.col(f"{c}_std"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.rules import expires_at, iso_time, parse_time, sequence_shard_key, shard_key
 from tickloom.operators.validate import clean_ticker
-from tickloom.session import broadcast_if_small
 
 
 def _from_ns(ns: str, received: str | None) -> Column:
@@ -90,7 +89,7 @@ def in_universe(df: DataFrame, tickers: Sequence[str] | DataFrame) -> DataFrame:
     """Rows of allowed tickers. A list becomes a pushed-down filter, a table a semi join."""
     if not isinstance(tickers, DataFrame):
         return df.filter(F.col("ticker").isin(list(tickers)))
-    return df.join(broadcast_if_small(tickers), "ticker", "left_semi")
+    return df.join(tickers, "ticker", "left_semi")
 
 
 def sort_key_parts(df: DataFrame, sk: str = "sk", default: Column | None = None) -> DataFrame:

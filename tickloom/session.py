@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Recommended when the session is built.
 SETTINGS = {
@@ -20,6 +22,8 @@ SETTINGS = {
     STATE_STORE: ROCKSDB,
 }
 
+_shipped: set[str] = set()
+
 
 def builder(app: str = "tickloom") -> SparkSession.Builder:
     """A session builder with the recommended settings."""
@@ -30,38 +34,64 @@ def builder(app: str = "tickloom") -> SparkSession.Builder:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what results depend on, in a session built elsewhere.
+    """Set what results depend on, in a session built elsewhere, and ship the package.
 
     All event times are UTC, whatever zone the machines are in, and per-ticker streaming
     state needs the RocksDB store.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(STATE_STORE, ROCKSDB)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers unpickle library functions by name, so they must be able to import the
+    package wherever they run.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tickloom-"), "tickloom_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
-    Where ``spark.checkpoint.dir`` is unset (local tests) a temporary folder is made
-    and kept for the whole session.
+    Only a ``local`` master may leave ``spark.checkpoint.dir`` unset; a temporary folder
+    is then made and kept for the whole session. On a cluster such a folder would be
+    another one on each machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all machines of {master} share")
         base = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that it is computed once and
-    survives the loss of executors."""
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read back, so that its
+    lineage ends there and lost executors cost no recomputation."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
-    return df.checkpoint()
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder; for small shared results."""
+    return stored(df, "checkpoint")

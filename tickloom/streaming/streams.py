@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tickloom.functions.exact import exact, notional, ratio
 from tickloom.functions.rules import STRONG_SENTIMENT, UNUSUAL_Z, timestamp
 from tickloom.operators import anomaly, deadletter, rolling, sentiment, validate
-from tickloom.session import broadcast_if_small, shared_folder
+from tickloom.session import shared_folder
 from tickloom.sources import sinks
 from tickloom.streaming.state import OUTPUT, EnrichTicks
 
@@ -261,7 +261,7 @@ def start_anomalies(
             return
         if recent is not None:
             seen = recent.groupBy("ticker").agg(F.max("ordinal").alias("_seen"))
-            numbered = numbered.join(broadcast_if_small(seen), "ticker", "left").withColumn(
+            numbered = numbered.join(seen, "ticker", "left").withColumn(
                 "ordinal", F.col("ordinal") + F.coalesce("_seen", F.lit(0).cast("bigint"))
             )
         numbered.select(*row).write.mode("overwrite").parquet(folder("features"))
@@ -270,7 +270,7 @@ def start_anomalies(
             rows = rows.unionByName(recent.withColumn("emit", F.lit(False)))
         anomaly.score(rows, forest).write.mode("overwrite").parquet(folder("scores"))
         last = rows.groupBy("ticker").agg(F.max("ordinal").alias("_last"))
-        kept = rows.join(broadcast_if_small(last), "ticker").filter(
+        kept = rows.join(last, "ticker").filter(
             F.col("ordinal") > F.col("_last") - forest.window - forest.interval
         )
         kept.select(*row).write.mode("overwrite").parquet(folder("recent"))
