@@ -100,3 +100,15 @@ def ranked(df: DataFrame, key: list[str], bucket: Column, order: list[str]) -> D
     inside = Window.partitionBy(*key, "_bucket").orderBy(*order)
     joined = df.join(before, [*key, "_bucket"])
     return joined.withColumn("rank", F.col("_before") + F.row_number().over(inside)).drop("_bucket", "_before")
+
+
+def within(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """A stored ``df`` marked for broadcast if its rows take at most ``limit`` bytes, else
+    as it is, to be joined by shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``dropped`` (one id column, no repeats)."""
+    gone = stored(dropped.select(F.col(dropped.columns[0]).alias("_gone")), "dropped")
+    return docs.join(within(gone, 16), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import native  # noqa: F401
+from tickloom.llm import native, scans  # noqa: F401
 from tickloom.plans.catalogue import Query
 
 
