@@ -1,10 +1,11 @@
-"""Registry of the text queries and their SQL twins."""
+"""All text queries, the pipeline included, and their SQL twins."""
 
 from __future__ import annotations
 
-from tickloom.llm import native, scans  # noqa: F401
+import corpus_pipeline
+from tickloom.llm import native, scans, substrings  # noqa: F401
 from tickloom.plans.catalogue import Query
 
 
 def load() -> dict[str, Query]:
-    return native.QUERIES
+    return native.QUERIES | {"pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
