@@ -28,7 +28,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import arrow_rows, only, stored, text_of
+from tickloom.llm.common import arrow_rows, only, stored, text_of, within
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 8
@@ -159,7 +159,8 @@ def revealing(docs: DataFrame, hits: DataFrame, total: int, alpha: float, min_do
     of_entity = flat.filter("term is null").groupBy("entity").agg(F.count("*").alias("ne"))
     pairs = flat.filter("term is not null").groupBy("entity", "term").agg(F.count("*").alias("net"))
     pairs = stored(pairs.filter(F.col("net") >= min_docs).join(of_entity.filter(F.col("ne") >= min_docs), "entity"), "pairs")
-    wanted = pairs.select("term").distinct()
+    # Broadcast while it is small, so that the words of the corpus need not shuffle.
+    wanted = within(stored(pairs.select("term").distinct(), "terms"), 96)
     words = docs.select(F.array_distinct(F.split(F.lower(text_of(f"`{text_col}`")), r"[^\p{L}]+")).alias("w"))
     df = words.select(F.explode("w").alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("nt"))
     pmi = F.log2(F.lit(float(total)) * F.col("net") / (F.col("ne") * F.greatest("nt", "net")))
