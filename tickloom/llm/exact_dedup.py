@@ -87,7 +87,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = marked(slim, twice, words)
     maybe = rows.filter("_maybe")
     groups = _groups(maybe)
-    copies = maybe.join(groups, "text_sha256").select(
+    # Written first, so that a join with a frequent digest can be split.
+    copies = maybe.join(stored(groups, "groups"), "text_sha256").select(
         F.col("_id").alias("doc_id"),
         F.col("_best.i").alias("keep_id"),
         "group_size",

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import arrow_rows, only, stored, text_of, within
 
 HOT = 4096
+#: Repeated anchors are broadcast up to this size in memory, beyond it they are joined by shuffle.
+MAX_ANCHOR_BYTES = 160 << 20
 #: Units scanned at once, so that a long document takes bounded memory besides its text.
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -251,7 +253,7 @@ def repeated(
         F.max("_id").alias("last_id"),
     )
     again = seen.filter("anchor_id < last_id" if earlier else "n > 1").select("anchor", "mixed", "anchor_id")
-    occ = stored(occ.join(within(stored(again, "anchors"), 32), "anchor"), "occurrences")
+    occ = stored(occ.join(within(stored(again, "anchors"), 104, MAX_ANCHOR_BYTES), "anchor"), "occurrences")
     reach = length - 1
     alike = occ.filter("not mixed")
     alike = alike.filter("_id > anchor_id") if earlier else alike
