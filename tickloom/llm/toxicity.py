@@ -45,6 +45,8 @@ MIN_SHARE = 0.005
 MIN_DOCS = 3
 MIN_CONTEXTS = 0.3
 MIN_WEIGHT = 2.0
+#: And its log-likelihood ratio against equal use in both classes is this large.
+MIN_EVIDENCE = 25.0
 #: Characters that are written for letters.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -193,6 +195,17 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return slim.join(within(known, 16), "_id").select("toxic", "text")
 
 
+def evidence(in_toxic: int, in_clean: int, toxic: int, clean: int) -> float:
+    """Dunning's log-likelihood ratio of a word's document counts in the two classes."""
+    both = in_toxic + in_clean
+    out = 0.0
+    for seen, of in ((in_toxic, toxic), (in_clean, clean)):
+        for n, share in ((seen, both), (of - seen, toxic + clean - both)):
+            expected = of * share / (toxic + clean)
+            out += 2 * n * math.log(n / expected) if n > 0 and expected > 0 else 0.0
+    return out
+
+
 def learn(known: DataFrame) -> tuple[dict[str, float], float]:
     """Weights of lexicon words, and the log-odds of a text without any of them."""
     sizes = dict(map(tuple, known.groupBy((F.col("toxic") == 1).alias("t")).count().collect()))
@@ -225,7 +238,8 @@ def learn(known: DataFrame) -> tuple[dict[str, float], float]:
     among = dict(map(tuple, other.collect()))
     rate = {w: ((df[w] + 0.5) / (toxic + 1), (among.get(w, 0) + 0.5) / (clean + 1)) for w in df}
     weights = {w: math.log(p) - math.log(q) for w, (p, q) in rate.items()}
-    weights = {w: x for w, x in weights.items() if x >= MIN_WEIGHT}
+    sure = {w: evidence(df[w], among.get(w, 0), toxic, clean) >= MIN_EVIDENCE for w in df}
+    weights = {w: x for w, x in weights.items() if x >= MIN_WEIGHT and sure[w]}
     # What the absence of all words says.
     absent = sum(math.log1p(-rate[w][0]) - math.log1p(-rate[w][1]) for w in sorted(weights))
     weights = {w: weights[w] - math.log1p(-rate[w][0]) + math.log1p(-rate[w][1]) for w in sorted(weights)}
