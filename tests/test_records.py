@@ -9,12 +9,12 @@ from tickloom.functions import rules
 from tickloom.operators import bars, deadletter, keyed, monitor, normalize, serving, validate
 
 OK = {
-    "ticker": "AAPL",
-    "price": 150.25,
-    "volume": 100,
-    "timestamp": "2024-01-15T10:30:00Z",
+    "ticker": "LOOM",
+    "price": 37.5,
+    "volume": 240,
+    "timestamp": "2023-11-07T14:05:09Z",
     "event_type": "trade",
-    "sequence_number": 1,
+    "sequence_number": 88,
 }
 
 
@@ -50,6 +50,9 @@ TEXTS = [(json.dumps(m), f) for m, f in CASES] + [
     ("[1, 2]", "unknown"),
     ("3", "unknown"),
     ("null", "unknown"),
+    (json.dumps(OK) + " xyz", "json"),
+    (json.dumps(OK) + ", {}", "json"),
+    (json.dumps(OK).replace('"', "'"), "json"),
 ]
 
 
@@ -64,6 +67,36 @@ def test_market_messages(spark):
     assert bad.filter(F.col("error_reason").isNull()).count() == 0
 
 
+def test_prices_must_be_finite(spark):
+    kind = "ticker string, price double, size bigint, bid_price double, ask_price double, bid_size bigint, ask_size bigint"
+    inf, nan = float("inf"), float("nan")
+    rows = [("A", p, 1, p, 1.0, 1, 1) for p in (1.0, inf, nan)]
+    df = spark.createDataFrame(rows, kind)
+    assert [r["valid"] for r in validate.trades(df).collect()] == [True, False, False]
+    assert [r["valid"] for r in validate.quotes(df).collect()] == [True, False, False]
+
+
+def test_long_dead_letters_can_be_retried(spark):
+    text = json.dumps({**OK, "price": -1, "note": "x" * 20_000})
+    bad = validate.invalid_only(validate.market_events(spark.createDataFrame([(text,)], "raw string")))
+    letters = deadletter.dead_letters(bad, failed_us=F.lit(1))
+    assert [r["original_message"] for r in letters.collect()] == [text]
+    short = deadletter.dead_letters(bad, failed_us=F.lit(1), max_chars=50)
+    assert [len(r["original_message"]) for r in short.collect()] == [50]
+
+
+def test_latency_ranks_are_exact(spark):
+    import math
+    import random
+
+    r = random.Random(2)
+    rows = [("a", r.expovariate(0.01)) for _ in range(2001)] + [("b", 5.0)] * 100 + [("c", 1.25), ("c", None)]
+    got = {x["key"]: (x["p50_ms"], x["p99_ms"], x["n"]) for x in monitor.latency_by_key(spark.createDataFrame(rows, "key string, latency_ms double")).collect()}
+    for key in "abc":
+        v = sorted(x for k, x in rows if k == key and x is not None)
+        assert got[key] == (v[math.ceil(len(v) * 0.5) - 1], v[math.ceil(len(v) * 0.99) - 1], len(v))
+
+
 def test_offset_times_are_utc(spark):
     df = spark.createDataFrame([(json.dumps({**OK, "timestamp": t}),) for t in
                                 ("2024-01-15T10:30:00+02:00", "2024-01-15T08:30:00Z", "2024-01-15T08:30:00")], "raw string")

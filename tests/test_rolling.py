@@ -149,6 +149,19 @@ def test_zscore_of_huge_sizes(spark):
     assert [got[i][0] for i in range(3)] == [0.0, 0.0, 1.0]
 
 
+def test_zscore_of_large_close_sizes(spark):
+    import statistics
+
+    sizes = [10**9 + (7 * i) % 4 for i in range(60)]
+    t = ticks(spark, [("A", i * S, i, 1.0, s) for i, s in enumerate(sizes)])
+    prior, own = by_seq(rolling.zscore_prior(t), "volume_zscore"), by_seq(rolling.zscore_inclusive(t), "volume_zscore")
+    for i in range(25, 60):
+        before, last = [s - 10**9 for s in sizes[i - 19 : i]], [s - 10**9 for s in sizes[i - 19 : i + 1]]
+        x = sizes[i] - 10**9
+        assert prior[i][0] == pytest.approx((x - statistics.mean(before)) / statistics.stdev(before), abs=1e-6)
+        assert own[i][0] == pytest.approx((x - statistics.mean(last)) / statistics.pstdev(last), abs=1e-6)
+
+
 def test_momentum_fixed_numbers(spark):
     for before, now, want in ((100.0, 110.0, 10.0), (100.0, 50.0, -50.0), (100.0, 105.0, 5.0), (0.0, 5.0, 0.0)):
         got = by_seq(rolling.momentum_tick(ticks(spark, [("A", 0, 0, before, 1), ("A", S, 1, now, 1)])), "momentum")

@@ -44,8 +44,10 @@ def test_sentiment_matches_hand_count(spark):
     vocab = ["good", "bad", "not", "very", "flat", "day", "the", "Good,", "NOT", "x1y"]
     texts = [" ".join(r.choice(vocab) for _ in range(r.randrange(0, 30))) for _ in range(60)] + ["", "...", "été good"]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
-    for limit in (1_000_000, 0):  # broadcast, and the shuffled join for large lexicons
-        got = {x["id"]: x for x in sentiment.score(df, lexicon(spark), broadcast_rows=limit).collect()}
+    for limit in ("10MB", "-1"):  # broadcast, and the shuffled join for large lexicons
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = {x["id"]: x for x in sentiment.score(df, lexicon(spark)).collect()}
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert len(got) == len(texts)
         for i, t in enumerate(texts):
             n, comp, pos, neg = by_hand(t)

@@ -12,7 +12,6 @@ from tickloom.sources.schemas import LETTER_FIELDS
 
 # Fixed values.
 MAX_RETRIES = 3
-MESSAGE_CHARS = 5000
 NO_TICKER = "unknown"
 
 
@@ -24,10 +23,12 @@ def dead_letters(
     offset: Column | None = None,
     partition: Column | None = None,
     queue: Column | str = "validation",
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Failing rows (raw, error_field, error_reason, ticker) as dead letters of a queue.
 
-    Long messages are cut to the size a queue takes.
+    Messages are whole, so that they can be retried; ``max_chars`` cuts them for a sink
+    that takes no more.
     """
 
     def lit(x: Column | str) -> Column:
@@ -35,7 +36,7 @@ def dead_letters(
 
     broken = F.col("error_field").isin("json", "unknown")
     return invalid.select(
-        F.substring("raw", 1, MESSAGE_CHARS).alias("original_message"),
+        (F.col("raw") if max_chars is None else F.substring("raw", 1, max_chars)).alias("original_message"),
         "error_reason",
         F.when(broken, "JsonError").otherwise("ValidationError").alias("error_type"),
         lit(topic).alias("topic"),

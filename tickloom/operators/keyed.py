@@ -60,9 +60,10 @@ def between(df: DataFrame, start_us: int | None = None, end_us: int | None = Non
 def look_back(
     df: DataFrame, hours: int, as_of_us: int, *, inclusive: bool = True, max_hours: int | None = None
 ) -> DataFrame:
-    """Rows of the last ``hours`` hours before ``as_of_us``."""
-    h = hours if max_hours is None else min(hours, max_hours)
-    cutoff = as_of_us - h * 3_600_000_000
+    """Rows of the last ``hours`` hours before ``as_of_us``; more than ``max_hours`` is an error."""
+    if max_hours is not None and hours > max_hours:
+        raise ValueError(f"hours must be at most {max_hours}")
+    cutoff = as_of_us - hours * 3_600_000_000
     c = F.col("ts_us")
     return df.filter((c >= cutoff) if inclusive else (c > cutoff))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.rules import ALERTS, window_start
@@ -63,12 +63,34 @@ def latency_stats(requests: DataFrame, as_of_us: int, samples: int = SAMPLES) ->
     )
 
 
-def latency_by_key(log: DataFrame, *, accuracy: int = 10_000) -> DataFrame:
-    """p50 and p99 per key over any amount of rows, from a mergeable sketch."""
-    return log.groupBy("key").agg(
-        F.percentile_approx("latency_ms", F.array(F.lit(0.5), F.lit(0.99)), accuracy).alias("_p"),
-        F.count("*").alias("n"),
-    ).select("key", F.get("_p", 0).alias("p50_ms"), F.get("_p", 1).alias("p99_ms"), "n")
+def latency_by_key(log: DataFrame, quantiles: tuple[float, float] = (0.5, 0.99)) -> DataFrame:
+    """p50 and p99 per key, exact over any amount of rows: the values of rank ceil(n * q).
+
+    Rows are counted per key and whole millisecond first; only the milliseconds that hold
+    a rank are looked into. No task sorts a key.
+    """
+    known = log.filter(F.col("latency_ms").isNotNull()).withColumn("_ms", F.floor("latency_ms"))
+    whole = Window.partitionBy("key")
+    counts = known.groupBy("key", "_ms").agg(F.count("*").alias("_n"))
+    placed = counts.select(
+        "key",
+        "_ms",
+        "_n",
+        F.sum("_n").over(whole).alias("n"),
+        (F.sum("_n").over(whole.orderBy("_ms")) - F.col("_n")).alias("_before"),
+    )
+    ranks = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.ceil(F.col("n") * q).alias("r")) for i, q in enumerate(quantiles)]
+    )
+    wanted = placed.withColumn("_q", F.explode(ranks)).select(
+        "key", "_ms", "n", F.col("_q.i").alias("_i"), (F.col("_q.r") - F.col("_before")).alias("_r"), "_n"
+    )
+    wanted = wanted.filter((F.col("_r") > 0) & (F.col("_r") <= F.col("_n"))).drop("_n")
+    values = known.join(wanted, ["key", "_ms"]).groupBy("key", "n", "_i", "_r", "latency_ms").agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy("key", "_i").orderBy("latency_ms"))
+    hit = values.withColumn("_u", upto).filter((F.col("_u") >= F.col("_r")) & (F.col("_u") - F.col("_c") < F.col("_r")))
+    at = [F.max(F.when(F.col("_i") == i, F.col("latency_ms"))) for i in range(2)]
+    return hit.groupBy("key").agg(at[0].alias("p50_ms"), at[1].alias("p99_ms"), F.max("n").alias("n"))
 
 
 def consumer_lag(offsets: DataFrame) -> DataFrame:

@@ -44,15 +44,23 @@ def vwap_deviation(df: DataFrame, span_s: int = 300, out: str = "vwap_deviation"
     return t.select(*df.columns, dev.alias(out))
 
 
+def _spread(frame: WindowSpec, size: str) -> Column:
+    """n * sum(x^2) - sum(x)^2 of whole numbers, in integers: in doubles it would cancel
+    where values are large and close. Holds for sizes up to 10^15."""
+    whole = F.col(size).cast("decimal(16,0)")
+    n = F.count(size).over(frame).cast("decimal(5,0)")
+    s = F.sum(size).over(frame).cast("decimal(18,0)")
+    return (n * F.sum((whole * whole).cast("decimal(28,0)")).over(frame).cast("decimal(32,0)") - s * s).cast("double")
+
+
 def _prior_z(w: WindowSpec, n: int, size: str = "size") -> Column:
     """Current size against mean and sample deviation of the ``n`` rows before it."""
     prior = w.rowsBetween(-n, -1)
     x = F.col(size).cast("double")
     cnt = F.count(size).over(prior).cast("double")
     s = F.sum(size).over(prior).cast("double")
-    ss = F.sum(x * x).over(prior)
     flat = F.min(size).over(prior) == F.max(size).over(prior)
-    z = ((cnt * x - s) / cnt) / F.sqrt((cnt * ss - s * s) / (cnt * (cnt - 1.0)))
+    z = ((cnt * x - s) / cnt) / F.sqrt(_spread(prior, size) / (cnt * (cnt - 1.0)))
     return F.when(cnt == 0, F.lit(0.0)).when(flat, F.signum(x - s / cnt)).otherwise(z)
 
 
@@ -62,9 +70,8 @@ def _inclusive_z(w: WindowSpec, n: int, size: str = "size") -> Column:
     x = F.col(size).cast("double")
     cnt = F.count(size).over(frame).cast("double")
     s = F.sum(size).over(frame).cast("double")
-    ss = F.sum(x * x).over(frame)
     flat = F.min(size).over(frame) == F.max(size).over(frame)
-    z = ((cnt * x - s) / cnt) / F.sqrt((cnt * ss - s * s) / (cnt * cnt))
+    z = ((cnt * x - s) / cnt) / F.sqrt(_spread(frame, size) / (cnt * cnt))
     return F.when(flat, F.lit(0.0)).otherwise(z)
 
 

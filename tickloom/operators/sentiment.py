@@ -16,8 +16,6 @@ BOOSTER_SHIFT = 293
 ALPHA = 15
 LOOK_BACK = 3
 
-LEXICON_ROWS_BROADCAST = 1_000_000
-
 
 def join_text(
     headline: str = "headline", summary: str = "summary", summary_chars: int | None = None
@@ -47,46 +45,49 @@ def score(
     *,
     keys: tuple[str, ...] = ("id",),
     carry: tuple[str, ...] = (),
-    broadcast_rows: int = LEXICON_ROWS_BROADCAST,
 ) -> DataFrame:
     """Score ``text``: keys, carry, n_tokens, n_hits, raw_score, compound, positive, neutral, negative.
 
     ``keys`` identify a text (dedupe first); ``carry`` columns ride along. Scores are
     integers (millionths) until the last step, so they do not depend on row order.
-    Lexicons above ``broadcast_rows`` rows are joined by shuffle instead.
+    How the lexicon is joined is left to adaptive execution: each token carries the words
+    before it, so rows are small either way.
     """
-    small = lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows
-    hint = F.broadcast if small else (lambda d: d)
     words = lexicon.filter(F.col("role") == "word").select("token", "valence")
     negators = lexicon.filter(F.col("role") == "negator").select("token").distinct()
     boosters = lexicon.filter(F.col("role") == "booster").select("token").distinct()
 
-    # One row per token, plus one without a token so that texts without hits stay. Tokens
-    # outside the lexicon are dropped right after the first join, and the words before a
-    # hit are read from the text's token array, so the rest works on hits only.
+    # One row per token with the words before it, plus one without a token so that texts
+    # without hits stay. Tokens outside the lexicon are dropped right after the first join,
+    # so the rest works on hits only.
     toks = F.col("_toks")
+
+    def before(token: Column, at: Column) -> Column:
+        return F.struct(token.alias("token"), *[F.get(toks, at - i).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)])
+
     t = (
         df.select(*keys, *carry, tokens("text").alias("_toks"))
         .select(
             *keys,
             *carry,
-            "_toks",
-            F.posexplode(F.concat(toks, F.array(F.lit(None).cast("string")))).alias("_pos", "token"),
+            F.size(toks).cast("bigint").alias("_size"),
+            F.explode(F.transform(F.concat(toks, F.array(F.lit(None).cast("string"))), before)).alias("_t"),
         )
-        .join(hint(words), "token", "left")
+        .select(*keys, *carry, "_size", "_t.*")
+        .join(words, "token", "left")
         .filter(F.col("valence").isNotNull() | F.col("token").isNull())
         .select(
             *keys,
             *carry,
-            F.when(F.col("token").isNull(), F.size(toks).cast("bigint")).alias("n_tokens"),
+            F.when(F.col("token").isNull(), F.col("_size")).alias("n_tokens"),
             "valence",
-            *[F.get(toks, F.col("_pos") - i).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)],
+            *[f"p{i}" for i in range(1, LOOK_BACK + 1)],
         )
     )
     for i in range(1, LOOK_BACK + 1):
         mark = negators.select(F.col("token").alias(f"p{i}"), F.lit(True).alias(f"neg{i}"))
-        t = t.join(hint(mark), f"p{i}", "left")
-    t = t.join(hint(boosters.select(F.col("token").alias("p1"), F.lit(True).alias("boost"))), "p1", "left")
+        t = t.join(mark, f"p{i}", "left")
+    t = t.join(boosters.select(F.col("token").alias("p1"), F.lit(True).alias("boost")), "p1", "left")
 
     negated = F.coalesce(*[F.col(f"neg{i}") for i in range(1, LOOK_BACK + 1)], F.lit(False))
     shift = F.when(F.col("boost"), F.signum("valence") * BOOSTER_SHIFT).otherwise(0).cast("bigint")

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tickloom.functions.rules import sentiment_label, timestamp
 from tickloom.operators import keyed
 
-HEADLINE_CHARS = 512
-
 
 def _ticker(df: DataFrame, ticker: str | None) -> DataFrame:
     return df if ticker is None else df.filter(F.col("ticker") == ticker.upper())
@@ -88,10 +86,10 @@ def sentiment(
     hours: int | None = None,
     as_of_us: int | None = None,
 ) -> DataFrame:
-    """The newest articles per ticker; look-back is at most a week."""
+    """The newest articles per ticker."""
     d = _ticker(df, ticker)
     if hours is not None:
-        d = keyed.look_back(d, hours, as_of_us, inclusive=False, max_hours=168)
+        d = keyed.look_back(d, hours, as_of_us, inclusive=False)
     return keyed.latest_n(d, limit, order=("ts_us", "id"))
 
 
@@ -108,9 +106,10 @@ def sentiment_summary(df: DataFrame, inclusive: bool = True) -> DataFrame:
     )
 
 
-def latest_sentiment(df: DataFrame) -> DataFrame:
-    """Last compound, time and (shortened) headline per ticker."""
-    short = df.select("ticker", "ts_us", "id", "compound", F.substring("headline", 1, HEADLINE_CHARS).alias("headline"))
+def latest_sentiment(df: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Last compound, time and headline per ticker; ``max_chars`` shortens headlines."""
+    headline = F.col("headline") if max_chars is None else F.substring("headline", 1, max_chars)
+    short = df.select("ticker", "ts_us", "id", "compound", headline.alias("headline"))
     return keyed.keep_last(short, ["ticker"], ["ts_us", "id"])
 
 

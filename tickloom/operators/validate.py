@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,15 @@ def _fields(df: DataFrame, raw: str, names: list[str]) -> DataFrame:
 
 
 def _object_error(raw: str, names: list[str]) -> Column:
-    """json for text that does not parse, unknown for JSON that is no object."""
+    """json for text that does not parse, unknown for JSON that is no object.
+
+    ``json_tuple`` and the parser stop at the end of the first value and take single
+    quotes, so each message is checked strictly: as the only element of an array.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col(raw), F.lit("]")))
+    alone = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
     nothing = F.coalesce(*[F.col(f"_{n}") for n in names]).isNull()
-    return F.when(nothing & F.try_parse_json(raw).isNull(), "json").when(
-        nothing & ~F.ltrim(raw).startswith("{"), "unknown"
-    )
+    return F.when(~F.coalesce(alone, F.lit(False)), "json").when(nothing & ~F.ltrim(raw).startswith("{"), "unknown")
 
 
 def market_events(df: DataFrame, raw: str = "raw", at: str = "ts_us") -> DataFrame:
@@ -106,15 +112,20 @@ def outcome_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
+def is_finite(c: Column) -> Column:
+    """Neither NaN nor infinite; NaN is larger than any number in Spark."""
+    return c.cast("double").between(-sys.float_info.max, sys.float_info.max)
+
+
 def trade_ok() -> Column:
-    ok = F.col("ticker").isNotNull() & (F.col("price") > 0) & ~F.isnan("price") & (F.col("size") >= 1)
+    ok = F.col("ticker").isNotNull() & (F.col("price") > 0) & is_finite(F.col("price")) & (F.col("size") >= 1)
     return F.coalesce(ok, F.lit(False))
 
 
 def quote_ok() -> Column:
     def at_least_zero(c: str, default: Column | None = None) -> Column:
         v = F.col(c) if default is None else F.coalesce(F.col(c), default)
-        return F.coalesce(v >= 0, F.lit(False))
+        return F.coalesce((v >= 0) & is_finite(v), F.lit(False))
 
     zero = F.lit(0).cast("bigint")
     return (

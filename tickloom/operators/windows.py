@@ -36,6 +36,8 @@ def mean_price_hopping(df: DataFrame, width_s: int = 300, hop_s: int = 60) -> Da
     Rows are first summed per hop; only those few rows are copied to the windows they
     fall into, so the copies do not grow with the tick rate.
     """
+    if hop_s <= 0 or width_s % hop_s:
+        raise ValueError("width_s must be a multiple of hop_s")
     hops = tumbling(df, hop_s, F.sum(exact("price")).alias("_s"), F.count("*").alias("_n"))
     copies = [F.col("window_start_us") - i * hop_s * MICRO for i in range(width_s // hop_s)]
     return (

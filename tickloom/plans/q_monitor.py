@@ -41,7 +41,6 @@ FROM (SELECT ticker AS key, value * 2 AS l, row_number() OVER (PARTITION BY tick
     )
 )
 def latency_by_key(spark, d):
-    """The sketch keeps every value while there are fewer than its accuracy, as in this table."""
     return monitor.latency_by_key(src.write_log(spark, d))
 
 

@@ -118,7 +118,7 @@ def sentiment_summary(spark, d):
 @query(
     sql(
         "scored",
-        """SELECT ticker, ts_us, id, compound, substring(headline, 1, 512) AS headline
+        """SELECT ticker, ts_us, id, compound, headline
 FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY ts_us DESC, id DESC) AS r FROM scored) WHERE r = 1""",
     )
 )
@@ -134,7 +134,7 @@ def latest_sentiment(spark, d):
 )
 def sentiment_lookback(spark, d):
     s = composites.scored_news(src.news(spark, d), src.lexicon(spark))
-    recent = keyed.look_back(s.filter(F.col("ts_us") <= AS_OF_US), 1, AS_OF_US, inclusive=False, max_hours=168)
+    recent = keyed.look_back(s.filter(F.col("ts_us") <= AS_OF_US), 1, AS_OF_US, inclusive=False)
     return recent.select("id", "ticker", "ts_us", "compound")
 
 

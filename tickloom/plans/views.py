@@ -4,7 +4,8 @@ from __future__ import annotations
 
 _VIEWS = {
     "ticks": """ticks AS (
-  SELECT substring(upper(event_type), 1, 5) AS ticker,
+  SELECT CASE lower(event_type) WHEN 'view' THEN 'VIEW' WHEN 'click' THEN 'CLICK' WHEN 'error' THEN 'ERROR'
+           WHEN 'signup' THEN 'SIGNU' WHEN 'purchase' THEN 'PURCH' END AS ticker,
          50.0::DOUBLE + 0.25::DOUBLE * json_extract_string(props, '$.k')::BIGINT AS price,
          floor(value)::BIGINT AS size,
          1704067200000000 + (epoch_us(ts) - 1704067200000000) // 100 AS ts_us,

@@ -15,7 +15,8 @@ from tickloom.functions.rules import iso_time
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 SQUEEZE = 100
 SPAN_S = 25_920
-TICKERS = ["VIEW", "CLICK", "ERROR", "SIGNU", "PURCH"]
+EVENT_TICKERS = {"view": "VIEW", "click": "CLICK", "error": "ERROR", "signup": "SIGNU", "purchase": "PURCH"}
+TICKERS = list(EVENT_TICKERS.values())
 LEXICON = [
     ("that", 1500, "word"),
     ("was", -1200, "word"),
@@ -30,12 +31,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ticker_of(event_type: str) -> Column:
+    """The ticker that stands for an event type; an unknown type is an error."""
+    known = F.create_map(*[F.lit(x) for kv in EVENT_TICKERS.items() for x in kv])
+    ticker = F.element_at(known, F.lower(event_type))
+    unknown = F.raise_error(F.concat(F.lit("no ticker for event type "), F.col(event_type))).cast("string")
+    return F.when(ticker.isNotNull() | F.col(event_type).isNull(), ticker).otherwise(unknown)
+
+
 def ticks_of(events: DataFrame, *more: str) -> DataFrame:
     """ticker, price, size, ts_us, seq, k from an events frame (batch or stream)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     return events.select(
-        F.substring(F.upper("event_type"), 1, 5).alias("ticker"),
+        ticker_of("event_type").alias("ticker"),
         (F.lit(50.0) + F.lit(0.25) * k).alias("price"),
         F.floor("value").cast("bigint").alias("size"),
         (F.lit(EPOCH_US) + F.floor((us - EPOCH_US) / SQUEEZE).cast("bigint")).alias("ts_us"),
