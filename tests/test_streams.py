@@ -1,11 +1,12 @@
 """Streams against batch results, over several micro-batches and restarts."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import anomaly, rolling, windows
+from tickloom.operators import anomaly, rolling, validate, windows
 from tickloom.sources import readers, schemas, sinks
 from tickloom.streaming import streams
 from tests.test_rolling import S, TICK, random_ticks, ticks
@@ -39,6 +40,44 @@ def test_enrich_over_batches_equals_batch(spark, tmp_path):
         assert got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9), k
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_enrich_of_large_close_sizes_equals_batch(spark, tmp_path, files):
+    """Sizes near 10^7 and prices in cents, one ticker with nearly all rows."""
+    r = random.Random(files)
+    rows = [("A" if i % 50 else "B", 1000 * S + i * 700_000, i, r.randrange(1, 50_000) / 100, 10_000_000 + r.randrange(6)) for i in range(600)]
+    rows += [("A", 1000 * S + (600 + i) * 700_000, 600 + i, 0.07, 5 * 10**9 * (i % 2) + 1) for i in range(40)]
+    t = ticks(spark, rows)
+    in_files(t, tmp_path / "in", files)
+    s = streams.enrich(streams.timed(stream(spark, tmp_path / "in", TICK), "1 hour"))
+    cols = ["vwap_1min", "vwap_5min", "avg_price_5min", "trade_count_60s", "volume_zscore", "momentum"]
+    got = {x["seq"]: tuple(x[c] for c in cols) for x in streams.run_once(s, f"t_large{files}").collect()}
+    want = {x["seq"]: tuple(x[c] for c in cols) for x in rolling.enrich(t).collect()}
+    assert got.keys() == want.keys()
+    for k in got:
+        assert got[k] == pytest.approx(want[k], rel=1e-13), k
+
+
+def test_articles_without_a_match_come_back(spark):
+    news = spark.createDataFrame([(1, "A", 5), (2, "A", 6), (3, None, 7)], "id bigint, ticker string, ts_us bigint")
+    matched = spark.createDataFrame([(1, "A", 5, 2.5)], "id bigint, ticker string, ts_us bigint, volume_zscore double")
+    got = {r["id"]: r["volume_zscore"] for r in streams.with_unmatched(news, matched).collect()}
+    assert got == {1: 2.5, 2: None, 3: None}
+
+
+def test_split_of_news(spark, tmp_path):
+    raws = ['{"article_id": "1", "ticker": "A", "headline": "h"}', '{"article_id": "2", "headline": "h"}', '{"ticker": "A"', "[]"]
+    ddl = "raw string, topic string, partition int, offset bigint, received_us bigint"
+    spark.createDataFrame([(r, "market.news", 0, i, 5) for i, r in enumerate(raws)], ddl).write.parquet(str(tmp_path / "in"))
+    streams.start_split(
+        stream(spark, tmp_path / "in", ddl), str(tmp_path / "out"), str(tmp_path / "ck"), trigger=ONCE, check=validate.news_events, queue="main"
+    ).awaitTermination()
+    assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out/valid")).collect()] == ["1"]
+    dead = spark.read.parquet(str(tmp_path / "out/dead_letters")).collect()
+    assert {r["offset"]: (r["error_type"], r["ticker"], r["queue"], r["original_message"]) for r in dead} == {
+        1: ("ValidationError", None, "main", raws[1]), 2: ("JsonError", None, "main", raws[2]), 3: ("JsonError", None, "main", raws[3])
+    }
+
+
 def test_windows_over_batches_equal_closed_batch_windows(spark, tmp_path):
     t = ticks(spark, random_ticks(6, 300))
     in_files(t, tmp_path / "in", 3)

@@ -32,6 +32,7 @@ REASONS = {
     "timestamp": "timestamp must be ISO-8601",
     "event_type": "event_type must be trade or quote",
     "sequence_number": "sequence_number must be a whole number",
+    "no_ticker": "message has no ticker",
 }
 
 
@@ -175,20 +176,30 @@ def news(df: DataFrame, received: str | None = None) -> DataFrame:
     return out.withColumn("valid", F.coalesce(ok, F.lit(False)))
 
 
-def news_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Raw JSON news messages as canonical news; messages that are not JSON are dropped."""
-    j = _fields(df, raw, NEWS_FIELDS)
-    return j.filter(_object_error(raw, NEWS_FIELDS).isNull()).select(
-        *[c for c in df.columns if c != raw],
+def news_events(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Parse and check raw JSON news messages.
+
+    Adds id, ticker, headline, summary, source, ts_us and ``error_field``: json, unknown
+    (as for market messages), no_ticker, or null. Only what parses has a readable ticker.
+    """
+    error = F.coalesce("_object", F.when(F.col("_ticker").isNull(), "no_ticker"))
+    return _fields(df, raw, NEWS_FIELDS).withColumn("_object", _object_error(raw, NEWS_FIELDS)).select(
+        *df.columns,
         F.col("_article_id").alias("id"),
-        F.col("_ticker").alias("ticker"),
+        F.when(F.col("_object").isNull(), F.col("_ticker")).alias("ticker"),
         F.col("_headline").alias("headline"),
         F.col("_summary").alias("summary"),
         F.col("_source").alias("source"),
         parse_time("_published_at").alias("ts_us"),
+        error.alias("error_field"),
     )
 
 
+def news_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """The news of raw JSON messages; ``news_events`` with ``invalid_only`` gives the others."""
+    return valid_only(news_events(df, raw)).drop(raw)
+
+
 def tick_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Raw JSON ticks (trades and quotes mixed) as one wide typed frame."""
     return _fields(df, raw, TICK_FIELDS).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.functions import rules
-from tickloom.operators import keyed, normalize, validate
+from tickloom.operators import deadletter, keyed, normalize, validate
 from tickloom.plans.catalogue import query
 from tickloom.plans.views import sql
 from tickloom.sources import adapters as src
@@ -31,13 +31,13 @@ def trades_from_events(spark, d):
     return validate.valid_only(validate.market_events(validate.decode_messages(m))).drop("raw")
 
 
-@query(sql("news", "SELECT id, ticker, headline, summary, source, ts_us FROM news WHERE id % 20 <> 0"))
-def news_from_documents(spark, d):
-    """News messages as JSON, every twentieth cut short, back to rows."""
+def _news_json(spark, d):
+    """raw, id, ts_us: one JSON message per article; every twentieth is cut short, and the
+    one after it has no ticker."""
     body = F.to_json(
         F.struct(
             F.col("id").cast("string").alias("article_id"),
-            "ticker",
+            F.when(F.col("id") % 20 != 1, F.col("ticker")).alias("ticker"),
             "headline",
             "summary",
             "source",
@@ -45,10 +45,42 @@ def news_from_documents(spark, d):
         )
     )
     raw = F.when(F.col("id") % 20 == 0, F.expr("substring(b, 1, length(b) - 3)")).otherwise(F.col("b"))
-    n = validate.news_messages(src.news(spark, d).withColumn("b", body).select(raw.alias("raw")))
+    return src.news(spark, d).withColumn("b", body).select(raw.alias("raw"), "id", "ts_us")
+
+
+@query(sql("news", "SELECT id, ticker, headline, summary, source, ts_us FROM news WHERE id % 20 NOT IN (0, 1)"))
+def news_from_documents(spark, d):
+    """News messages as JSON, some broken, back to rows."""
+    n = validate.news_messages(_news_json(spark, d).select("raw"))
     return n.withColumn("id", F.col("id").cast("bigint"))
 
 
+@query(
+    sql(
+        "news",
+        """SELECT id AS "offset", CASE id % 20 WHEN 0 THEN 'JsonError' ELSE 'ValidationError' END AS error_type,
+       CASE id % 20 WHEN 0 THEN 'message is not JSON' ELSE 'message has no ticker' END AS error_reason, 'market.news' AS topic,
+       'unknown' AS ticker, 0::INT AS retry_count, ts_us + 1000000 AS first_failed_us, 'main' AS queue
+FROM news WHERE id % 20 IN (0, 1)""",
+    )
+)
+def news_dead_letters(spark, d):
+    """Failed news messages as queued, read back from their JSON bodies."""
+    m = _news_json(spark, d).withColumnsRenamed({"id": "at", "ts_us": "sent_us"})
+    letters = deadletter.dead_letters(
+        validate.invalid_only(validate.news_events(m)),
+        failed_us=F.col("sent_us") + 1_000_000,
+        topic="market.news",
+        offset=F.col("at"),
+        queue="main",
+    )
+    queued = deadletter.attributes(letters).withColumnRenamed("ticker", "queued_ticker").drop("error_type")
+    return deadletter.read_bodies(queued).select(
+        "offset", "error_type", "error_reason", "topic", F.col("queued_ticker").alias("ticker"),
+        "retry_count", "first_failed_us", "queue",
+    )
+
+
 def _checked(spark, d):
     return validate.market_events(src.ticks_json(spark, d), at="event_us")
 
@@ -317,7 +349,12 @@ def hour_bucket_key(spark, d):
     return src.ticks(spark, d).select("seq", rules.hour_bucket_key().alias("bucket_key"))
 
 
-@query()
+@query(
+    sql(
+        "ticks",
+        """SELECT seq, ticker || '#' || (('0x' || substr(md5(ticker || '|' || ts_us), 1, 8))::BIGINT % 8) AS pk FROM ticks""",
+    )
+)
 def shard_key(spark, d):
     return src.ticks(spark, d).select("seq", rules.shard_key("ticker", "ts_us").alias("pk"))
 

@@ -225,7 +225,7 @@ def trades_to_json(spark, d):
         "ticks",
         """SELECT kind, ticker, ts_us, seq, ttl FROM (
   SELECT 'trades' AS kind, ticker, ts_us, seq, ts_us // 1000000 + 172800 AS ttl FROM ticks
-  UNION ALL SELECT 'features', ticker, ts_us, seq, ts_us // 1000000 + 604800 FROM ticks WHERE seq % 10 = 0)
+  UNION ALL SELECT 'features', ticker, ts_us, seq, ts_us // 1000000 + 604800 FROM ticks)
 WHERE ttl >= 1704067200 + 172800 + 13000""",
     )
 )
@@ -233,7 +233,7 @@ def retention_live(spark, d):
     t = src.ticks(spark, d).select("ticker", "ts_us", "seq")
     tables = [
         t.select(F.lit("trades").alias("kind"), "*", rules.expires_at("trades").alias("ttl")),
-        t.filter(F.col("seq") % 10 == 0).select(F.lit("features").alias("kind"), "*", rules.expires_at("features").alias("ttl")),
+        t.select(F.lit("features").alias("kind"), "*", rules.expires_at("features").alias("ttl")),
     ]
     as_of = src.EPOCH_US + (172_800 + 13_000) * 1_000_000
     return keyed.live(tables[0].unionByName(tables[1]), as_of)

@@ -22,46 +22,72 @@ OUTPUT = "ticker string, ts timestamp, " + STATE + ", " + METRICS
 
 SHORT_US, LONG_US = 60_000_000, 300_000_000
 ROWS = 19
-
-
-def _running(values: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0.0], np.cumsum(values, dtype=float)])
+#: Prices are summed as whole numbers of this part, as in the batch form.
+PRICE_UNIT = 10**8
+#: Rows whose look-back is laid out at once, and sizes whose squares fit 64 bits.
+_BLOCK, _SAFE = 1 << 16, 10**8
+
+
+def _prior_z(size: np.ndarray) -> np.ndarray:
+    """Each size against mean and sample deviation of the ``ROWS`` before it.
+
+    Sums are of whole numbers, taken from the oldest size in view, so nothing cancels
+    where sizes are large and close.
+    """
+    out = np.empty(len(size))
+    padded = np.concatenate([np.zeros(ROWS, np.int64), size])
+    views = np.lib.stride_tricks.sliding_window_view(padded, ROWS)
+    for a in range(0, len(size), _BLOCK):
+        i = np.arange(a, min(a + _BLOCK, len(size)))
+        n = np.minimum(i, ROWS)
+        base = size[i - n]
+        off = np.where(np.arange(ROWS) >= (ROWS - n)[:, None], views[i] - base[:, None], 0)
+        now = size[i] - base
+        if max(np.abs(off).max(), np.abs(now).max()) > _SAFE:
+            off, now, n = off.astype(object), now.astype(object), n.astype(object)
+        s = off.sum(axis=1)
+        above = (n * now - s).astype(float)
+        spread = (n * (off * off).sum(axis=1) - s * s).astype(float)
+        n = n.astype(float)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            z = above / n / np.sqrt(spread / (n * (n - 1.0)))
+        out[i] = np.where(n == 0, 0.0, np.where(spread == 0, np.sign(above), z))
+    return out
 
 
 def enrich_rows(t: pd.DataFrame) -> pd.DataFrame:
-    """Add the live metrics to one ticker's ticks, given in time order."""
+    """Add the live metrics to one ticker's ticks (finite prices), given in time order.
+
+    Prices are summed as Python integers, so results do not depend on the micro-batches.
+    """
     ts = t["ts_us"].to_numpy()
-    price, size = t["price"].to_numpy(dtype=float), t["size"].to_numpy(dtype=float)
+    price, size = t["price"].to_numpy(dtype=float), t["size"].to_numpy(dtype=np.int64)
+    whole = np.array([round(p * PRICE_UNIT) for p in price.tolist()], dtype=object)
+    volume = size.astype(object)
     end = np.searchsorted(ts, ts, side="right")
 
     def trailing(values: np.ndarray, span: int) -> np.ndarray:
         start = np.searchsorted(ts, ts - span, side="left")
-        c = _running(values)
+        c = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
         return c[end] - c[start]
 
     def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.divide(a, b, out=np.zeros_like(a), where=b > 0)
-
-    one = np.ones(len(t))
-    i = np.arange(len(t))
-    lo = np.maximum(0, i - ROWS)
-    n = (i - lo).astype(float)
-    c1, c2 = _running(size), _running(size * size)
-    s, ss = c1[i] - c1[lo], c2[i] - c2[lo]
-    prior = t["size"].shift(1).rolling(ROWS, min_periods=1)
-    flat = (prior.min() == prior.max()).to_numpy()
-    mean = ratio(s, n)
-    spread = np.sqrt(ratio(np.maximum(n * ss - s * s, 0.0), n * (n - 1.0)))
-    z = ratio(ratio(n * size - s, n), spread)
-    z = np.where(n == 0, 0.0, np.where(flat, np.sign(size - mean), z))
+        b = b.astype(float)
+        return np.divide(a, b, out=np.zeros(len(a)), where=b > 0)
+
+    def mean(values: np.ndarray, weights: np.ndarray, span: int) -> np.ndarray:
+        # True division of integers gives the nearest double.
+        return ratio((trailing(values, span) / PRICE_UNIT).astype(float), trailing(weights, span))
+
+    one = np.ones(len(t), np.int64)
     before = np.concatenate([[0.0], price[:-1]])
     change = ratio(price - before, before) * 100.0
     return t.assign(
-        vwap_1min=ratio(trailing(price * size, SHORT_US), trailing(size, SHORT_US)),
-        vwap_5min=ratio(trailing(price * size, LONG_US), trailing(size, LONG_US)),
-        avg_price_5min=ratio(trailing(price, LONG_US), trailing(one, LONG_US)),
-        trade_count_60s=trailing(one, SHORT_US).astype("int64"),
-        volume_zscore=z,
+        vwap_1min=mean(whole * volume, volume, SHORT_US),
+        vwap_5min=mean(whole * volume, volume, LONG_US),
+        avg_price_5min=mean(whole, one, LONG_US),
+        trade_count_60s=trailing(one, SHORT_US),
+        volume_zscore=_prior_z(size),
         momentum=np.where(before > 0, change, 0.0),
     )
 

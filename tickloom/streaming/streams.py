@@ -8,7 +8,7 @@ how late a row may be; later rows are dropped and show up in the query's progres
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,8 +119,8 @@ def correlations(ticks: DataFrame, news: DataFrame, lexicon: DataFrame, *, stron
 def asof(news: DataFrame, enriched: DataFrame, value: str = "volume_zscore", tolerance_s: int = 60) -> DataFrame:
     """News with the newest ``value`` of its ticker in the ``tolerance_s`` before it.
 
-    An inner join on time, then the newest match per article. News without a match is
-    added by a batch anti join over the stored results.
+    An inner join on time, then the newest match per article. ``with_unmatched`` adds
+    news without a match to the stored results.
     """
     n = news.select("id", F.col("ticker").alias("n_ticker"), F.col("ts").alias("n_ts"))
     t = enriched.select("ticker", "ts", "seq", value)
@@ -137,6 +137,11 @@ def asof(news: DataFrame, enriched: DataFrame, value: str = "volume_zscore", tol
     )
 
 
+def with_unmatched(news: DataFrame, matched: DataFrame, value: str = "volume_zscore") -> DataFrame:
+    """The stored results of ``asof`` with the articles that had no match, their ``value`` null."""
+    return news.select("id", "ticker", "ts_us").join(matched.select("id", "ticker", value), ["id", "ticker"], "left")
+
+
 def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key within the watermark delay; memory is bounded by time."""
     return df.dropDuplicatesWithinWatermark(list(keys))
@@ -199,14 +204,22 @@ def start_insert_if_absent(
     return _launch(df.sparkSession, writer)
 
 
-def start_split(messages: DataFrame, root: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
+def start_split(
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    check: Callable[[DataFrame], DataFrame] = validate.market_events,
+    queue: str = "validation",
+) -> StreamingQuery:
     """Raw messages (raw, topic, partition, offset, received_us) forked into valid rows and dead letters.
 
-    Each micro-batch writes its own folders and overwrites them when it is repeated.
+    ``check`` is ``validate.market_events`` or ``validate.news_events``. Each micro-batch writes its own folders and overwrites them when it is repeated.
     """
 
     def fork(batch: DataFrame, batch_id: int) -> None:
-        checked = validate.market_events(batch).persist()
+        checked = check(batch).persist()
         try:
             valid = validate.valid_only(checked).drop("raw")
             valid.write.mode("overwrite").parquet(f"{root}/valid/batch={batch_id}")
@@ -216,6 +229,7 @@ def start_split(messages: DataFrame, root: str, checkpoint: str, *, trigger: dic
                 topic=F.col("topic"),
                 offset=F.col("offset"),
                 partition=F.col("partition"),
+                queue=queue,
             )
             letters.write.mode("overwrite").parquet(f"{root}/dead_letters/batch={batch_id}")
         finally:
