@@ -53,7 +53,8 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         key = rank * (int(rank.max()) + 2)
         # Nothing compares past an end, as all ends differ.
         key[:-h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
+        # Ties share a rank, so their order does not matter until there are none.
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
         rank = np.empty(n, np.int64)
@@ -77,12 +78,14 @@ def merge(transforms: list[np.ndarray], ends: list[int], rounds: int) -> tuple[n
     first = np.repeat(np.arange(len(ends)), ends).astype(np.uint8)
     m = len(first)
     block = np.zeros(total, np.int64)
-    before = np.empty(total, transforms[0].dtype)
+    before = np.empty(total, np.int64)
+    place = np.arange(total)
     for _ in range(rounds):
         for k, t in enumerate(transforms):
             before[source == k] = t
-        # Rows with 0 before them are whole strings: no suffix follows from them.
-        order = np.argsort(before, kind="stable")[m:]
+        # A stable order by symbol, as one sort of symbol and place in a number. Rows with
+        # 0 before them are whole strings: no suffix follows from them.
+        order = np.sort(before << 32 | place)[m:] & 0xFFFFFFFF
         symbol, prefix = before[order], block[order]
         source = np.concatenate([first, source[order]])
         border = np.ones(total, bool)
@@ -143,10 +146,12 @@ def _confirmed(bodies, bounds, found, interval, length) -> np.ndarray:
     at = starts[body] + found - bounds[body]
     head = np.searchsorted(interval, interval)  # the first row of each interval
     good = np.ones(len(found), bool)
-    span = np.arange(length)
+    if not len(found):
+        return good
+    windows = np.lib.stride_tricks.sliding_window_view(text, length)
     for i in range(0, len(found), 1 << 14):
         rows = slice(i, i + (1 << 14))
-        good[rows] = (text[at[rows, None] + span] == text[at[head[rows], None] + span]).all(axis=1)
+        good[rows] = (windows[at[rows]] == windows[at[head[rows]]]).all(axis=1)
     for bad in np.unique(interval[~good]):  # symbols that clash: compare texts themselves
         rows = np.flatnonzero(interval == bad)
         texts = [text[at[r] : at[r] + length].tobytes() for r in rows]
