@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tickloom.operators import anomaly, rolling, validate, windows
@@ -145,6 +146,25 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     assert len(rows) == 900 and got == want
 
 
+def test_missing_rows_of_the_last_batch_are_an_error(spark, tmp_path):
+    v = vectors(spark, n=40).drop("ordinal")
+    ddl = ", ".join(f"{n} {t}" for n, t in v.dtypes)
+    root = str(tmp_path / "out")
+
+    def run():
+        streams.start_anomalies(stream(spark, tmp_path / "in", ddl), root, root + "/ck", SMALL, trigger=ONCE).awaitTermination()
+
+    in_files(v.filter("ts_us < 0"), tmp_path / "in", 1)  # an empty first batch
+    in_files(v, tmp_path / "in", 1)
+    run()
+    assert spark.read.parquet(root + "/scores").count() == v.count()
+    for b in (tmp_path / "out/recent").iterdir():
+        b.rename(tmp_path / f"gone-{b.name}")
+    v.limit(5).write.mode("append").parquet(str(tmp_path / "in"))
+    with pytest.raises(StreamingQueryException, match="is missing"):
+        run()
+
+
 def test_archive_reads_only_the_asked_folders(spark, tmp_path):
     t = ticks(spark, [("A", 1_704_067_200 * S + i * 1800 * S, i, 1.0, 1) for i in range(10)])
     root = str(tmp_path / "archive")

@@ -147,22 +147,25 @@ def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(keys))
 
 
-def _launch(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """Start a query with no more state partitions than the cluster has cores.
+def _launch(spark: SparkSession, writer: DataStreamWriter, partitions: int | None = None) -> StreamingQuery:
+    """Start a query with ``partitions`` state partitions, by default no more than the cluster has cores.
 
-    A new query takes its partition count from ``spark.sql.shuffle.partitions``, and each
-    partition of each stateful step is a store that is committed in every micro-batch.
+    A new query takes its partition count from ``spark.sql.shuffle.partitions`` and keeps
+    it for good, and each partition of each stateful step is a store that is committed in
+    every micro-batch. A job that starts small and is to grow should name its count.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, min(int(before), spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, partitions or min(int(before), spark.sparkContext.defaultParallelism))
     try:
         return writer.start()
     finally:
         spark.conf.set(key, before)
 
 
-def start(df: DataFrame, root: str, *, name: str, trigger: dict | None = None) -> StreamingQuery:
+def start(
+    df: DataFrame, root: str, *, name: str, trigger: dict | None = None, partitions: int | None = None
+) -> StreamingQuery:
     """Append a stream to Parquet files, exactly once."""
     writer = (
         df.writeStream.format("parquet")
@@ -172,7 +175,7 @@ def start(df: DataFrame, root: str, *, name: str, trigger: dict | None = None) -
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "5 minutes"}))
     )
-    return _launch(df.sparkSession, writer)
+    return _launch(df.sparkSession, writer, partitions)
 
 
 def start_archive(ticks: DataFrame, root: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
@@ -246,6 +249,7 @@ def start_anomalies(
     forest: anomaly.Forest = anomaly.Forest(),
     *,
     trigger: dict,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Score a feature stream, refitting each ticker's forest as its events add up.
 
@@ -268,10 +272,12 @@ def start_anomalies(
         incoming = spark.read.parquet(folder("incoming"))
         numbered = rolling.ordinals(incoming)
         recent = sinks.existing(spark, folder("recent", batch_id - 1), numbered.select(*row).schema)
+        if recent is None and batch_id > 0:
+            raise FileNotFoundError(f"{folder('recent', batch_id - 1)} is missing, and event numbers go on from it")
         if incoming.isEmpty():
             # A batch that only moves the watermark hands the rows on.
-            if recent is not None:
-                recent.write.mode("overwrite").parquet(folder("recent"))
+            handed = numbered.select(*row) if recent is None else recent
+            handed.write.mode("overwrite").parquet(folder("recent"))
             return
         if recent is not None:
             seen = recent.groupBy("ticker").agg(F.max("ordinal").alias("_seen"))
@@ -290,7 +296,7 @@ def start_anomalies(
         kept.select(*row).write.mode("overwrite").parquet(folder("recent"))
 
     writer = features.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
-    return _launch(features.sparkSession, writer)
+    return _launch(features.sparkSession, writer, partitions)
 
 
 def run_once(df: DataFrame, name: str) -> DataFrame:
