@@ -1,6 +1,7 @@
 """Packing against an exhaustive search and the tokenizer itself."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -63,3 +64,13 @@ def test_little_padding(texts, prose):
     got = packing.pack(docs, VOCABULARY).collect()
     used = sum(r.length for r in got)
     assert used / (len({r.sequence_id for r in got}) * packing.WIDTH) > 0.95
+
+
+def test_sentence_ends_match_a_pattern():
+    ends = re.compile(r"[.!?]+[\"')\]]*(?=\s)|\n+")
+    r = random.Random(2)
+    parts = ["a", "wo", ".", ".", " ", "\n", "\r\n", '"', "'", "!", "?", ")", "]", "\xa0", "　", "é", "日", "\x1c", "🙂"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        want = [len(text[: m.end()].encode()) for m in ends.finditer(text)]
+        assert packing.sentence_ends(text.encode()).tolist() == want, text

@@ -21,7 +21,6 @@ table gives no pieces; repeated rows are packed as often as they occur.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -37,11 +36,16 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
     " sequence_id bigint, offset bigint"
 )
-#: What ends a sentence: a stop with what closes it, or a line end.
-_SENTENCE = re.compile(r"[.!?]+[\"')\]]*(?=\s)|\n+")
+_STOP, _CLOSE, _SPACE, _WIDE, _LINE = 1, 2, 4, 8, 16
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b".!?")] = _STOP
+_KIND[list(b"\"')]")] = _CLOSE
+_KIND[[*range(9, 14), *range(28, 33)]] = _SPACE
+_KIND[10] = _LINE
+_KIND[128:] = _WIDE
 
 
-def encoder(path: str) -> Callable[[str], list[int]]:
+def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Ids of a text by the byte-level BPE vocabulary in ``path`` (a tokenizers JSON file).
 
     Special tokens' strings in a text are ordinary text. The vocabulary is run by tiktoken,
@@ -64,45 +68,61 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     slow = Tokenizer.from_file(path)
     slow.encode_special_tokens = True
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> np.ndarray:
         try:
-            return fast.encode_ordinary(text)
+            ids = fast.encode_ordinary(text)
         except Exception:  # noqa: BLE001  the fast library gives up on some very long words
-            return slow.encode(text, add_special_tokens=False).ids
+            ids = slow.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4")
 
     return encode
 
 
-def boundaries(text: str, ids: list[int], encode_len: Callable[[int], int]) -> np.ndarray:
+def sentence_ends(data: bytes) -> np.ndarray:
+    """Places in a UTF-8 text where a sentence ends.
+
+    That is after a stop and what closes it, if white space follows, and after line ends.
+    """
+    kind = _KIND[np.frombuffer(data, np.uint8)]
+    before, after = kind[:-1], kind[1:]
+    found = ((before & (_STOP | _CLOSE)) > 0) & (after >= _SPACE) | (before == _LINE) & (after != _LINE)
+    ends = np.flatnonzero(found) + 1
+    if (kind[ends - 1] == _CLOSE).any():
+        others = np.flatnonzero(kind != _CLOSE)
+        last = np.searchsorted(others, ends) - 1
+        closed = (last >= 0) & (kind[others[np.maximum(last, 0)]] == _STOP)
+        ends = ends[(kind[ends - 1] != _CLOSE) | closed]
+    wide = np.flatnonzero((kind[ends] == _WIDE) & (kind[ends - 1] != _LINE))
+    if len(wide):
+        inside = [not data[e : e + 4].decode("utf-8", "ignore")[:1].isspace() for e in ends[wide].tolist()]
+        ends = np.delete(ends, wide[inside])
+    return np.append(ends, len(data)) if data.endswith(b"\n") else ends
+
+
+def boundaries(text: str, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions in ``ids`` where a sentence of ``text`` ends (nearest id at or after it).
 
-    ``encode_len(i)`` is the number of bytes of id i.
+    ``sizes[i]`` is the number of bytes of id i.
     """
-    ends = [m.end() for m in _SENTENCE.finditer(text)]
-    if not ends or not ids:
+    ends = sentence_ends(text.encode("utf-8", "surrogatepass"))
+    if not len(ends) or not len(ids):
         return np.empty(0, np.int64)
-    at, last, byte_ends = 0, 0, []
-    ascii_only = text.isascii()
-    for e in ends:
-        at += e - last if ascii_only else len(text[last:e].encode("utf-8", "surrogatepass"))
-        last = e
-        byte_ends.append(at)
-    bytes_to = np.cumsum(encode_len(np.asarray(ids, np.int64)))
-    return np.unique(np.searchsorted(bytes_to, byte_ends, "left") + 1)
+    spots = np.searchsorted(np.cumsum(sizes[ids]), ends, "left") + 1
+    return spots[np.diff(spots, prepend=0) > 0]
 
 
 def cut(candidates: np.ndarray, penalties: np.ndarray, width: int) -> list[int]:
     """The best cuts among ``candidates`` (rising, the first 0, gaps of at most ``width``)."""
     p, extra = candidates.tolist(), penalties.tolist()
-    best, back = [0.0] * len(p), [0] * len(p)
+    worth, back = [0.0] * len(p), [0] * len(p)  # worth: best(i) + p(i)
     queue: deque[int] = deque([0])
     for j in range(1, len(p)):
         while p[j] - p[queue[0]] > width:
             queue.popleft()
         i = queue[0]
-        best[j], back[j] = best[i] + p[i] + width - p[j] + extra[j], i
-        value = best[j] + p[j]
-        while queue and best[queue[-1]] + p[queue[-1]] >= value:
+        value = worth[i] + width + extra[j]
+        worth[j], back[j] = value, i
+        while queue and worth[queue[-1]] >= value:
             queue.pop()
         queue.append(j)
     cuts, j = [], len(p) - 1
@@ -124,21 +144,24 @@ def pack_block(
     spots, costs, at = [np.zeros(1, np.int64)], [np.zeros(1)], 0
     for _, ids, ends in docs:
         inner = ends[(ends > 0) & (ends < len(ids))]
-        hard = np.setdiff1d(np.arange(hard_step, len(ids), hard_step), inner)
+        spot = np.append(inner, len(ids))
+        cost = np.append(np.full(len(inner), sentence_penalty), 0.0)
         # An id inside a sentence is a place to cut only where sentence ends are far apart.
-        fence = np.concatenate([[0], inner, [len(ids)]])
-        gap = np.searchsorted(fence, hard, "right")
-        hard = hard[(fence[gap] - fence[gap - 1]) > 4 * hard_step] if len(hard) else hard
-        spot = np.concatenate([inner, hard, [len(ids)]])
-        cost = np.concatenate([np.full(len(inner), sentence_penalty), np.full(len(hard), hard_penalty), [0.0]])
-        order = np.argsort(spot, kind="stable")
-        spots.append(spot[order] + at)
-        costs.append(cost[order])
+        if np.diff(spot, prepend=0).max() > 4 * hard_step:
+            hard = np.setdiff1d(np.arange(hard_step, len(ids), hard_step), inner)
+            fence = np.append(0, spot)
+            gap = np.searchsorted(fence, hard, "right")
+            hard = hard[(fence[gap] - fence[gap - 1]) > 4 * hard_step]
+            spot = np.append(spot, hard)
+            order = np.argsort(spot, kind="stable")
+            spot, cost = spot[order], np.append(cost, np.full(len(hard), hard_penalty))[order]
+        spots.append(spot + at)
+        costs.append(cost)
         at += len(ids)
     cuts = cut(np.concatenate(spots), np.concatenate(costs), width)
     out, k, begin, at = [], 0, 0, 0
     for doc_id, ids, _ in docs:
-        raw, start = ids.astype("<u4"), 0
+        raw, start = ids.astype("<u4", copy=False), 0
         while start < len(ids):
             end = min(len(ids), cuts[k] - at)
             crc = zlib.crc32(raw[start:end].tobytes())
@@ -194,9 +217,9 @@ def pack(
             for doc_id, text in zip(b.column(0), b.column(1), strict=True):
                 text = text.as_py()
                 ids = encode(text)
-                ends = boundaries(text, ids, lambda i: sizes[i])
-                ids.append(end_id)
-                block.append((doc_id.as_py(), np.asarray(ids, np.int64), ends))
+                ends = boundaries(text, ids, sizes)
+                ids = np.append(ids, np.uint32(end_id))
+                block.append((doc_id.as_py(), ids, ends))
                 held += len(ids)
                 if held >= block_tokens:
                     yield close()
