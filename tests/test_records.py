@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import rules
-from tickloom.operators import bars, deadletter, keyed, monitor, normalize, serving, validate
+from tickloom.operators import bars, deadletter, keyed, monitor, normalize, serving, validate, windows
 
 OK = {
     "ticker": "LOOM",
@@ -76,6 +76,21 @@ def test_prices_must_be_finite(spark):
     assert [r["valid"] for r in validate.quotes(df).collect()] == [True, False, False]
 
 
+def test_numbers_that_sums_cannot_hold_fail(spark):
+    """One such price used to end every job that sums prices."""
+    texts = [json.dumps({**OK, **more}) for more in ({}, {"price": 1e11}, {"price": 1e-9}, {"volume": 10**18}, {"price": 9_999_999_999.5})]
+    df = validate.market_events(spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "raw string, seq int"))
+    assert [r["error_field"] for r in df.orderBy("seq").collect()] == [None, "price", "price", "volume", None]
+    ticks = validate.valid_only(df).select("ticker", "price", F.col("volume").alias("size"), "ts_us", "seq")
+    assert windows.vwap_tumbling(ticks, 60).count() == 1
+    kind = "ticker string, price double, size bigint, bid_price double, ask_price double, bid_size bigint, ask_size bigint"
+    rows = [("A", p, n, p, 1.0, n, 1) for p, n in ((1.0, 1), (1e10, 1), (1.0, 10**18))]
+    assert [r["valid"] for r in validate.trades(spark.createDataFrame(rows, kind)).collect()] == [True, False, False]
+    assert [r["valid"] for r in validate.quotes(spark.createDataFrame(rows, kind)).collect()] == [True, False, False]
+    wide = [r["valid"] for r in spark.createDataFrame(rows, kind).select(validate.trade_ok(max_price=1e12).alias("valid")).collect()]
+    assert wide == [True, True, False]
+
+
 def test_long_dead_letters_can_be_retried(spark):
     text = json.dumps({**OK, "price": -1, "note": "x" * 20_000})
     bad = validate.invalid_only(validate.market_events(spark.createDataFrame([(text,)], "raw string")))

@@ -58,6 +58,23 @@ def test_enrich_of_large_close_sizes_equals_batch(spark, tmp_path, files):
         assert got[k] == pytest.approx(want[k], rel=1e-13), k
 
 
+@pytest.mark.parametrize("width", [60, 300])
+def test_open_windows_are_closed_at_the_end(spark, tmp_path, width):
+    t = ticks(spark, random_ticks(8, 200))
+    in_files(t, tmp_path / "in", 2)
+
+    def step(df):
+        return streams.vwap(df) if width == 60 else streams.mean_price_hopping(df)
+
+    stored = streams.run_once(step(streams.timed(stream(spark, tmp_path / "in", TICK), "1 hour")), f"t_open{width}")
+    mark = streams.final_watermark(t, delay="1 hour")
+    whole = streams.with_open_windows(stored, step(streams.since(streams.timed(t), mark, width)), mark)
+    want = windows.vwap_tumbling(t, 60) if width == 60 else windows.mean_price_hopping(t)
+    assert stored.count() < want.count()
+    keys = ["ticker", "window_start_us", "trade_count"]
+    assert sorted(whole.select(keys).collect()) == sorted(want.select(keys).collect())
+
+
 def test_articles_without_a_match_come_back(spark):
     news = spark.createDataFrame([(1, "A", 5), (2, "A", 6), (3, None, 7)], "id bigint, ticker string, ts_us bigint")
     matched = spark.createDataFrame([(1, "A", 5, 2.5)], "id bigint, ticker string, ts_us bigint, volume_zscore double")

@@ -3,6 +3,9 @@
 Prices are doubles, but sums of doubles depend on the order of rows, and with it on how
 Spark splits the work. Summing decimals and turning to double for the last division
 gives the same bits on every run.
+
+A price has up to ten digits before the point and eight after it, further ones are
+rounded; a size has up to 18. ``validate`` turns down what lies outside.
 """
 
 from __future__ import annotations
@@ -10,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Prices from the first up to, but not including, the second; sizes below the third.
+MIN_PRICE, MAX_PRICE, MAX_SIZE = 1e-8, 1e10, 10**18
+
 
 def exact(value: Column | str) -> Column:
     """A double as a decimal with eight places, fit for summing."""

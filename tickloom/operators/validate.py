@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.exact import MAX_PRICE, MAX_SIZE, MIN_PRICE
 from tickloom.functions.rules import (
     finite,
     parse_time,
@@ -27,8 +26,8 @@ REASONS = {
     "json": "message is not JSON",
     "unknown": "message is not a JSON object",
     "ticker": "ticker must be 1 to 5 capital letters",
-    "price": "price must be a positive number",
-    "volume": "volume must be a whole number of at least 0",
+    "price": "price must be a positive number in range",
+    "volume": "volume must be a whole number of at least 0 in range",
     "timestamp": "timestamp must be ISO-8601",
     "event_type": "event_type must be trade or quote",
     "sequence_number": "sequence_number must be a whole number",
@@ -63,11 +62,19 @@ def _object_error(raw: str, names: list[str]) -> Column:
     return F.when(~F.coalesce(alone, F.lit(False)), "json").when(nothing & ~F.ltrim(raw).startswith("{"), "unknown")
 
 
-def market_events(df: DataFrame, raw: str = "raw", at: str = "ts_us") -> DataFrame:
+def market_events(
+    df: DataFrame,
+    raw: str = "raw",
+    at: str = "ts_us",
+    min_price: float = MIN_PRICE,
+    max_price: float = MAX_PRICE,
+    max_size: int = MAX_SIZE,
+) -> DataFrame:
     """Parse and check raw JSON market messages.
 
     Adds ticker, price, volume, ``at``, event_type, sequence_number and ``error_field``,
-    the first failing field in record order (null for a valid message).
+    the first failing field in record order (null for a valid message). A price or volume
+    that exact sums can't hold fails, so that one message can't end a whole job.
     """
     parsed = _fields(df, raw, MARKET_FIELDS).select(
         *df.columns,
@@ -86,8 +93,8 @@ def market_events(df: DataFrame, raw: str = "raw", at: str = "ts_us") -> DataFra
     first = F.coalesce(
         F.col("_object"),
         fails(F.col("ticker").rlike(TICKER_PATTERN), "ticker"),
-        fails(F.col("price") > 0, "price"),
-        fails(F.col("volume") >= 0, "volume"),
+        fails((F.col("price") >= min_price) & (F.col("price") < max_price), "price"),
+        fails((F.col("volume") >= 0) & (F.col("volume") < max_size), "volume"),
         fails(F.col(at).isNotNull(), "timestamp"),
         fails(F.col("event_type").isin(EVENT_TYPES), "event_type"),
         fails(F.col("sequence_number").isNotNull(), "sequence_number"),
@@ -113,28 +120,25 @@ def outcome_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-def is_finite(c: Column) -> Column:
-    """Neither NaN nor infinite; NaN is larger than any number in Spark."""
-    return c.cast("double").between(-sys.float_info.max, sys.float_info.max)
-
-
-def trade_ok() -> Column:
-    ok = F.col("ticker").isNotNull() & (F.col("price") > 0) & is_finite(F.col("price")) & (F.col("size") >= 1)
+def trade_ok(min_price: float = MIN_PRICE, max_price: float = MAX_PRICE, max_size: int = MAX_SIZE) -> Column:
+    """A ticker, and a price and size that exact sums can hold; NaN is larger than any number."""
+    price = (F.col("price") >= min_price) & (F.col("price") < max_price)
+    ok = F.col("ticker").isNotNull() & price & (F.col("size") >= 1) & (F.col("size") < max_size)
     return F.coalesce(ok, F.lit(False))
 
 
-def quote_ok() -> Column:
-    def at_least_zero(c: str, default: Column | None = None) -> Column:
+def quote_ok(max_price: float = MAX_PRICE, max_size: int = MAX_SIZE) -> Column:
+    def within(c: str, limit: float, default: Column | None = None) -> Column:
         v = F.col(c) if default is None else F.coalesce(F.col(c), default)
-        return F.coalesce((v >= 0) & is_finite(v), F.lit(False))
+        return F.coalesce((v >= 0) & (v < limit), F.lit(False))
 
     zero = F.lit(0).cast("bigint")
     return (
         F.col("ticker").isNotNull()
-        & at_least_zero("bid_price")
-        & at_least_zero("ask_price")
-        & at_least_zero("bid_size", zero)
-        & at_least_zero("ask_size", zero)
+        & within("bid_price", max_price)
+        & within("ask_price", max_price)
+        & within("bid_size", max_size, zero)
+        & within("ask_size", max_size, zero)
     )
 
 

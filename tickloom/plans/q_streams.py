@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import rules
-from tickloom.operators import anomaly
+from tickloom.operators import anomaly, rolling
 from tickloom.plans.catalogue import query
 from tickloom.plans.views import sql
 from tickloom.session import shared_folder
@@ -16,12 +16,6 @@ from tickloom.streaming import streams
 
 ONCE = {"availableNow": True}
 
-# A finite stream ends with its watermark 10 s before its last row (the earlier one of
-# two streams), and windows that end after it stay open.
-_TICKS_END = "(SELECT max(ts_us) // 1000 * 1000 - 10000000 FROM ticks)"
-_NEWS_END = "(SELECT max(ts_us) // 1000 * 1000 - 10000000 FROM news)"
-_BOTH_END = f"least({_TICKS_END}, {_NEWS_END})"
-
 
 def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
@@ -39,24 +33,30 @@ def news_stream(spark, d, delay: str = streams.DELAY) -> DataFrame:
 @query(
     sql(
         "ticks",
-        f"""SELECT ticker, w AS window_start_us, w + 60000000 AS window_end_us,
+        """SELECT ticker, w AS window_start_us, w + 60000000 AS window_end_us,
        CASE WHEN sum(size) > 0 THEN sum(price * size) / sum(size)::DOUBLE ELSE 0.0 END AS vwap, sum(size)::BIGINT AS volume, count(*) AS trade_count
-FROM (SELECT *, ts_us - ts_us % 60000000 AS w FROM ticks) WHERE w + 60000000 <= {_TICKS_END} GROUP BY ticker, w""",
+FROM (SELECT *, ts_us - ts_us % 60000000 AS w FROM ticks) GROUP BY ticker, w""",
     )
 )
 def stream_vwap_1min(spark, d):
-    return streams.run_once(streams.vwap(tick_stream(spark, d)), "stream_vwap")
+    stored = streams.run_once(streams.vwap(tick_stream(spark, d)), "stream_vwap")
+    t = streams.timed(src.ticks(spark, d))
+    mark = streams.final_watermark(t)
+    return streams.with_open_windows(stored, streams.vwap(streams.since(t, mark, 60)), mark)
 
 
 @query(
     sql(
         "ticks",
-        f"""SELECT ticker, w AS window_start_us, w + 300000000 AS window_end_us, sum(price) / count(*) AS avg_price, count(*) AS trade_count
-FROM (SELECT *, ts_us - ts_us % 60000000 - i * 60000000 AS w FROM ticks, range(5) r(i)) WHERE w + 300000000 <= {_TICKS_END} GROUP BY ticker, w""",
+        """SELECT ticker, w AS window_start_us, w + 300000000 AS window_end_us, sum(price) / count(*) AS avg_price, count(*) AS trade_count
+FROM (SELECT *, ts_us - ts_us % 60000000 - i * 60000000 AS w FROM ticks, range(5) r(i)) GROUP BY ticker, w""",
     )
 )
 def stream_avg_hopping(spark, d):
-    return streams.run_once(streams.mean_price_hopping(tick_stream(spark, d)), "stream_hopping")
+    stored = streams.run_once(streams.mean_price_hopping(tick_stream(spark, d)), "stream_hopping")
+    t = streams.timed(src.ticks(spark, d))
+    mark = streams.final_watermark(t)
+    return streams.with_open_windows(stored, streams.mean_price_hopping(streams.since(t, mark, 300)), mark)
 
 
 @query(
@@ -73,26 +73,32 @@ def stream_enrich(spark, d):
 @query(
     sql(
         "tradewin newswin",
-        f"""SELECT ticker, max_zscore AS volume_zscore, best_compound AS sentiment_compound, trade_count, news_count,
+        """SELECT ticker, max_zscore AS volume_zscore, best_compound AS sentiment_compound, trade_count, news_count,
        had_strong_sentiment AND max_zscore > 2.0 AS is_strong, window_start_us, window_start_us + 60000000 AS window_end_us
-FROM tradewin JOIN newswin USING (ticker, window_start_us) WHERE window_start_us + 60000000 <= {_BOTH_END}""",
+FROM tradewin JOIN newswin USING (ticker, window_start_us)""",
     )
 )
 def stream_correlations(spark, d):
     s = streams.correlations(tick_stream(spark, d), news_stream(spark, d), src.lexicon(spark), strong_only=False)
-    return streams.run_once(s, "stream_correlations")
+    stored = streams.run_once(s, "stream_correlations")
+    t, n = src.ticks(spark, d), src.news(spark, d)
+    mark = streams.final_watermark(t, n)
+    late_ticks = streams.timed(streams.since(rolling.enrich(t), mark, 60))
+    late_news = streams.score_news(streams.timed(streams.since(n, mark, 60)), src.lexicon(spark))
+    return streams.with_open_windows(stored, streams.joined_windows(late_ticks, late_news, strong_only=False), mark)
 
 
 @query(
     sql(
         "linked",
-        f"""SELECT id, ticker, ts_us, volume_zscore FROM linked
-WHERE volume_zscore IS NOT NULL AND ts_us - ts_us % 60000000 + 60000000 <= {_BOTH_END} - 60000000""",
+        "SELECT id, ticker, ts_us, volume_zscore FROM linked",
     )
 )
 def stream_asof(spark, d):
     s = streams.asof(news_stream(spark, d), streams.enrich(tick_stream(spark, d)))
-    return streams.run_once(s, "stream_asof")
+    matched = streams.run_once(s, "stream_asof")
+    t, n = src.ticks(spark, d), src.news(spark, d)
+    return streams.with_open_articles(n, matched, rolling.enrich(t), streams.final_watermark(t, n))
 
 
 @query(sql("news", "SELECT id, ticker, ts_us FROM news"))

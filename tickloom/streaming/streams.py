@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.functions.exact import exact, notional, ratio
 from tickloom.functions.rules import STRONG_SENTIMENT, UNUSUAL_Z, timestamp
-from tickloom.operators import anomaly, deadletter, rolling, sentiment, validate
+from tickloom.operators import anomaly, correlate, deadletter, rolling, sentiment, validate
 from tickloom.session import shared_folder
 from tickloom.sources import sinks
 from tickloom.streaming.state import OUTPUT, EnrichTicks
@@ -59,6 +59,29 @@ def mean_price_hopping(ticks: DataFrame, width_s: int = 300, hop_s: int = 60) ->
     )
 
 
+def final_watermark(*tables: DataFrame, delay: str = DELAY) -> Column:
+    """Where the watermark stands when streams over these finite tables end, in µs: the earliest one's."""
+    ends = [t.agg(F.unix_micros(F.timestamp_micros(F.max("ts_us")) - F.expr(f"INTERVAL '{delay}'"))).scalar() for t in tables]
+    return F.least(*ends) if len(ends) > 1 else ends[0]
+
+
+def since(rows: DataFrame, mark: Column, span_s: int) -> DataFrame:
+    """The rows that windows of ``span_s`` which end after ``mark`` can hold."""
+    return rows.filter(F.col("ts_us") > mark - span_s * 1_000_000)
+
+
+def with_open_windows(stored: DataFrame, last: DataFrame, mark: Column) -> DataFrame:
+    """``stored`` with the windows that were still open when a finite stream ended.
+
+    A window comes out when the watermark passes its end, so those of the last rows stay
+    open. For this closing step ``last`` is the same operator's result in batch, over the
+    rows ``since`` the watermark ``mark``.
+    """
+    keys = ["ticker", "window_start_us"]
+    late = last.filter(F.col("window_end_us") > mark).join(stored.select(*keys), keys, "left_anti")
+    return stored.unionByName(late)
+
+
 def enrich(ticks: DataFrame) -> DataFrame:
     """Every tick with its live metrics, from per-ticker state.
 
@@ -102,7 +125,12 @@ def news_windows(scored: DataFrame, width_s: int = 60) -> DataFrame:
 
 def correlations(ticks: DataFrame, news: DataFrame, lexicon: DataFrame, *, strong_only: bool = True) -> DataFrame:
     """Windows of both streams joined as they close."""
-    joined = trade_windows(enrich(ticks)).join(news_windows(score_news(news, lexicon)), ["ticker", "window"])
+    return joined_windows(enrich(ticks), score_news(news, lexicon), strong_only=strong_only)
+
+
+def joined_windows(enriched: DataFrame, scored: DataFrame, *, strong_only: bool = True) -> DataFrame:
+    """The windows of enriched ticks and scored news, on streams or in batch."""
+    joined = trade_windows(enriched).join(news_windows(scored), ["ticker", "window"])
     strong = F.col("had_strong_sentiment") & (F.col("max_zscore") > UNUSUAL_Z)
     out = joined.select(
         "ticker",
@@ -142,6 +170,26 @@ def with_unmatched(news: DataFrame, matched: DataFrame, value: str = "volume_zsc
     return news.select("id", "ticker", "ts_us").join(matched.select("id", "ticker", value), ["id", "ticker"], "left")
 
 
+def with_open_articles(
+    news: DataFrame,
+    matched: DataFrame,
+    enriched: DataFrame,
+    mark: Column,
+    value: str = "volume_zscore",
+    tolerance_s: int = 60,
+) -> DataFrame:
+    """Every article of a finite stream, once: its stored match, one made in batch, or null.
+
+    ``asof`` sends an article out when the watermark is past its window and the tolerance;
+    later ones are matched here against ``enriched``, a table.
+    """
+    cols = ["id", "ticker", "ts_us"]
+    span = 2 * tolerance_s
+    rest = news.select(*cols).join(matched.select("id", "ticker"), ["id", "ticker"], "left_anti")
+    late = correlate.asof_backward(since(rest, mark, span), since(enriched, mark, span + tolerance_s), [value], tolerance_s=tolerance_s)
+    return with_unmatched(news, matched.select(*cols, value).unionByName(late.select(*cols, value)), value)
+
+
 def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key within the watermark delay; memory is bounded by time."""
     return df.dropDuplicatesWithinWatermark(list(keys))
