@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import iforest
 from tickloom.operators import anomaly, correlate, sentiment, windows
 
-LEX = [("good", 1900, "word"), ("bad", -2500, "word"), ("not", 0, "negator"), ("very", 0, "booster"), ("flat", 0, "word")]
+LEX = [("good", 1900, "word"), ("bad", -2500, "word"), ("not", 0, "negator"), ("very", 0, "booster"), ("barely", 0, "dampener"), ("flat", 0, "word")]
 
 
 def lexicon(spark):
@@ -19,21 +19,28 @@ def lexicon(spark):
 
 
 def by_hand(text):
-    toks = [t for t in re.split(r"[\W\d_]+", text.lower()) if t]
+    toks = [t for t in (w.strip("'") for w in re.split(r"(?:(?!')[\W\d_])+", text.lower().replace("\u2019", "'"))) if t]
     words = {t: v for t, v, r in LEX if r == "word"}
     s = pos = neg = 0
     charged = 0
     for i, t in enumerate(toks):
         if t not in words:
             continue
-        v = words[t]
-        if i and toks[i - 1] == "very":
-            v += int(math.copysign(293, v)) if v else 0
-        v *= -740 if "not" in toks[max(0, i - 3) : i] else 1000
+        v = words[t] * 1000
+        side = (v > 0) - (v < 0)
+        back = toks[max(0, i - 3) : i][::-1]
+        for weight, b in zip((1, 0.95, 0.9), back, strict=False):
+            v += round(side * weight * 293_000 * {"very": 1, "barely": -1}.get(b, 0))
+        v = round(v * -0.74) if any(b == "not" or b.endswith("n't") for b in back) else v
         s += v
         charged += v != 0
         pos += v + 1_000_000 if v > 0 else 0
         neg += 1_000_000 - v if v < 0 else 0
+    marks = 292_000 * min(4, text.count("!"))
+    asks = text.count("?")
+    marks += 0 if asks < 2 else 180_000 * asks if asks < 4 else 960_000
+    s += marks * ((s > 0) - (s < 0))
+    pos, neg = pos + marks * (pos > neg), neg + marks * (neg > pos)
     total = pos + neg + (len(toks) - charged) * 1_000_000
     comp = s / math.sqrt(s * s + 15e12)
     return len(toks), comp, pos / total if total else 0.0, neg / total if total else 0.0
@@ -41,7 +48,7 @@ def by_hand(text):
 
 def test_sentiment_matches_hand_count(spark):
     r = random.Random(3)
-    vocab = ["good", "bad", "not", "very", "flat", "day", "the", "Good,", "NOT", "x1y"]
+    vocab = ["good", "bad", "not", "very", "flat", "day", "the", "Good,", "NOT", "x1y", "barely", "don't", "isn\u2019t", "'good'", "bad!", "good?"]
     texts = [" ".join(r.choice(vocab) for _ in range(r.randrange(0, 30))) for _ in range(60)] + ["", "...", "été good"]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     for limit in ("10MB", "-1"):  # broadcast, and the shuffled join for large lexicons

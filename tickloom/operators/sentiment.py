@@ -2,7 +2,9 @@
 
 Texts are split into tokens, tokens meet the lexicon in a broadcast join, and the hits
 are summed per text before anything is shuffled. The lexicon is the caller's table:
-``token, valence (thousandths), role`` with role word, negator or booster.
+``token, valence (thousandths), role`` with role word, negator, booster or dampener.
+
+Of the published rule, the shift at "but" and the weight of capitals are not built.
 """
 
 from __future__ import annotations
@@ -10,11 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the published scoring rule (Hutto & Gilbert 2014), in thousandths.
+# Fixed values of the published scoring rule (Hutto & Gilbert 2014): the factor of a
+# negation in thousandths; in millionths the shifts of a booster one, two and three words
+# back, and the emphasis of each of up to four "!", of two or three "?", and of more "?".
 NEGATION_FACTOR = -740
-BOOSTER_SHIFT = 293
+BOOSTER_SHIFTS = (293_000, 278_350, 263_700)
+EXCLAMATION, EXCLAMATIONS = 292_000, 4
+QUESTION, QUESTIONS, MANY_QUESTIONS = 180_000, 3, 960_000
 ALPHA = 15
-LOOK_BACK = 3
+LOOK_BACK = len(BOOSTER_SHIFTS)
 
 
 def join_text(
@@ -35,8 +41,18 @@ def news_text(df: DataFrame, summary_chars: int | None = None) -> DataFrame:
 
 
 def tokens(text: Column | str) -> Column:
+    """Words in lower case; an apostrophe within a word belongs to it."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(F.lower(t), r"[^\p{L}]+"), "")
+    words = F.split(F.replace(F.lower(t), F.lit("\u2019"), F.lit("'")), r"[^\p{L}']+")
+    return F.array_remove(F.transform(words, lambda w: F.trim(w, F.lit("'"))), "")
+
+
+def emphasis(text: Column | str) -> Column:
+    """What exclamation and question marks add to a text's score, in millionths."""
+    t = F.col(text) if isinstance(text, str) else text
+    shouts, asks = F.regexp_count(t, F.lit("!")), F.regexp_count(t, F.lit("[?]"))
+    asked = F.when(asks > QUESTIONS, MANY_QUESTIONS).when(asks > 1, asks * QUESTION).otherwise(0)
+    return (F.least(shouts, F.lit(EXCLAMATIONS)) * EXCLAMATION + asked).cast("bigint")
 
 
 def score(
@@ -54,8 +70,10 @@ def score(
     before it, so rows are small either way.
     """
     words = lexicon.filter(F.col("role") == "word").select("token", "valence")
-    negators = lexicon.filter(F.col("role") == "negator").select("token").distinct()
-    boosters = lexicon.filter(F.col("role") == "booster").select("token").distinct()
+    lift = F.when(F.col("role") == "booster", 1).when(F.col("role") == "dampener", -1)
+    modifiers = lexicon.filter(F.col("role") != "word").groupBy("token").agg(
+        F.bool_or(F.col("role") == "negator").alias("neg"), F.coalesce(F.max(lift), F.lit(0)).alias("lift")
+    )
 
     # One row per token with the words before it, plus one without a token so that texts
     # without hits stay. Tokens outside the lexicon are dropped right after the first join,
@@ -66,45 +84,65 @@ def score(
         return F.struct(token.alias("token"), *[F.get(toks, at - i).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)])
 
     t = (
-        df.select(*keys, *carry, tokens("text").alias("_toks"))
+        df.select(*keys, *carry, tokens("text").alias("_toks"), emphasis("text").alias("_emphasis"))
         .select(
             *keys,
             *carry,
             F.size(toks).cast("bigint").alias("_size"),
+            "_emphasis",
             F.explode(F.transform(F.concat(toks, F.array(F.lit(None).cast("string"))), before)).alias("_t"),
         )
-        .select(*keys, *carry, "_size", "_t.*")
+        .select(*keys, *carry, "_size", "_emphasis", "_t.*")
         .join(words, "token", "left")
         .filter(F.col("valence").isNotNull() | F.col("token").isNull())
         .select(
             *keys,
             *carry,
             F.when(F.col("token").isNull(), F.col("_size")).alias("n_tokens"),
+            F.when(F.col("token").isNull(), F.col("_emphasis")).alias("_emphasis"),
             "valence",
             *[f"p{i}" for i in range(1, LOOK_BACK + 1)],
         )
     )
     for i in range(1, LOOK_BACK + 1):
-        mark = negators.select(F.col("token").alias(f"p{i}"), F.lit(True).alias(f"neg{i}"))
+        mark = modifiers.select(F.col("token").alias(f"p{i}"), F.col("neg").alias(f"neg{i}"), F.col("lift").alias(f"lift{i}"))
         t = t.join(mark, f"p{i}", "left")
-    t = t.join(boosters.select(F.col("token").alias("p1"), F.lit(True).alias("boost")), "p1", "left")
 
-    negated = F.coalesce(*[F.col(f"neg{i}") for i in range(1, LOOK_BACK + 1)], F.lit(False))
-    shift = F.when(F.col("boost"), F.signum("valence") * BOOSTER_SHIFT).otherwise(0).cast("bigint")
-    micro = (F.col("valence") + shift) * F.when(negated, NEGATION_FACTOR).otherwise(1000)
-    t = t.select(*keys, *carry, "n_tokens", micro.alias("_m"))
+    steps = range(1, LOOK_BACK + 1)
+    negated = F.lit(False)
+    shift = F.lit(0).cast("bigint")
+    for i in steps:
+        listed, contracted = F.col(f"neg{i}"), F.col(f"p{i}").endswith("n't")
+        negated = negated | F.coalesce(listed, F.lit(False)) | F.coalesce(contracted, F.lit(False))
+        shift = shift + F.coalesce(F.col(f"lift{i}"), F.lit(0)) * BOOSTER_SHIFTS[i - 1]
+    charge = F.col("valence") * 1000 + F.signum("valence").cast("bigint") * shift
+    # All the products are whole thousands.
+    micro = F.call_function("div", charge * F.when(negated, NEGATION_FACTOR).otherwise(1000), F.lit(1000))
+    t = t.select(*keys, *carry, "n_tokens", "_emphasis", micro.alias("_m"))
 
     m, zero = F.col("_m"), F.lit(0).cast("bigint")
     agg = t.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in carry],
         F.sum("n_tokens").alias("n_tokens"),
         F.count("_m").alias("n_hits"),
-        F.coalesce(F.sum("_m"), zero).alias("raw_score"),
+        F.coalesce(F.sum("_m"), zero).alias("_sum"),
+        F.coalesce(F.sum("_emphasis"), zero).alias("_e"),
         # Shares weigh each hit by its valence plus one, and each other token by one.
         F.coalesce(F.sum(F.when(m > 0, m + 1_000_000)), zero).alias("_pos"),
         F.coalesce(F.sum(F.when(m < 0, 1_000_000 - m)), zero).alias("_neg"),
         F.count(F.when(m != 0, 1)).alias("_charged"),
     )
+    e, pos, neg = F.col("_e"), F.col("_pos"), F.col("_neg")
+    agg = agg.select(
+        *keys,
+        *carry,
+        "n_tokens",
+        "n_hits",
+        "_charged",
+        (F.col("_sum") + F.signum("_sum").cast("bigint") * e).alias("raw_score"),
+        (pos + F.when(pos > neg, e).otherwise(zero)).alias("_pos"),
+        (neg + F.when(neg > pos, e).otherwise(zero)).alias("_neg"),
+    )
     s = F.col("raw_score").cast("double")
     neu = (F.col("n_tokens") - F.col("_charged")) * 1_000_000
     total = (F.col("_pos") + F.col("_neg") + neu).cast("double")

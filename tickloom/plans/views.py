@@ -29,8 +29,10 @@ _VIEWS = {
   SELECT *, concat_ws(' ', nullif(trim(headline, ' '), ''), nullif(trim(summary, ' '), '')) AS text
   FROM news)""",
     "scored": """toks0 AS (
-  SELECT id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '') AS ts
-  FROM texts WHERE text <> ''),
+  SELECT id, list_filter(list_transform(regexp_split_to_array(replace(lower(text), '\u2019', ''''), '[^\\p{L}'']+'), lambda x: trim(x, '''')), lambda x: x <> '') AS ts,
+         least(length(text) - length(replace(text, '!', '')), 4) * 292000::BIGINT
+           + CASE WHEN q > 3 THEN 960000 WHEN q > 1 THEN q * 180000 ELSE 0 END AS e
+  FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM texts) WHERE text <> ''),
 toks AS (SELECT id, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM toks0),
 ctx AS (
   SELECT id, token, pos,
@@ -38,16 +40,23 @@ ctx AS (
   FROM toks WINDOW w AS (PARTITION BY id ORDER BY pos)),
 hits AS (
   SELECT id, CASE WHEN v IS NULL THEN NULL ELSE
-           (v + CASE WHEN p1 = 'by' THEN sign(v)::BIGINT * 293 ELSE 0 END)
-           * CASE WHEN 'is' IN (coalesce(p1,''), coalesce(p2,''), coalesce(p3,'')) THEN -740 ELSE 1000 END END AS m
+           (v * 1000 + sign(v)::BIGINT * (
+              CASE p1 WHEN 'by' THEN 293000 WHEN 'for' THEN -293000 ELSE 0 END
+              + CASE p2 WHEN 'by' THEN 278350 WHEN 'for' THEN -278350 ELSE 0 END
+              + CASE p3 WHEN 'by' THEN 263700 WHEN 'for' THEN -263700 ELSE 0 END))
+           * CASE WHEN regexp_matches(concat_ws(' ', p1, p2, p3), '(^| )(is|[^ ]*n''t)( |$)') THEN -740 ELSE 1000 END // 1000 END AS m
   FROM (SELECT *, CASE token WHEN 'that' THEN 1500::BIGINT WHEN 'was' THEN -1200 WHEN 'with' THEN 800
                              WHEN 'from' THEN -900 END AS v FROM ctx)),
-sums AS (
-  SELECT id, count(*) AS n_tokens, count(m) AS n_hits, coalesce(sum(m), 0)::BIGINT AS raw_score,
-         coalesce(sum(m + 1000000) FILTER (m > 0), 0)::DOUBLE AS ps,
-         coalesce(sum(1000000 - m) FILTER (m < 0), 0)::DOUBLE AS ns,
+plain AS (
+  SELECT id, count(*) AS n_tokens, count(m) AS n_hits, coalesce(sum(m), 0)::BIGINT AS raw,
+         coalesce(sum(m + 1000000) FILTER (m > 0), 0)::BIGINT AS p0,
+         coalesce(sum(1000000 - m) FILTER (m < 0), 0)::BIGINT AS n0,
          ((count(*) FILTER (m IS NULL OR m = 0)) * 1000000)::DOUBLE AS us
   FROM hits GROUP BY id),
+sums AS (
+  SELECT id, n_tokens, n_hits, raw + sign(raw)::BIGINT * e AS raw_score, us,
+         (p0 + CASE WHEN p0 > n0 THEN e ELSE 0 END)::DOUBLE AS ps, (n0 + CASE WHEN n0 > p0 THEN e ELSE 0 END)::DOUBLE AS ns
+  FROM plain JOIN toks0 USING (id)),
 scored AS (
   SELECT t.id, t.ticker, t.ts_us, t.source, t.headline, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_hits, 0) AS n_hits,
          coalesce(raw_score, 0) AS raw_score,

@@ -24,6 +24,7 @@ LEXICON = [
     ("from", -900, "word"),
     ("is", 0, "negator"),
     ("by", 0, "booster"),
+    ("for", 0, "dampener"),
 ]
 
 
