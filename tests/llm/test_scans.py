@@ -175,3 +175,26 @@ def test_copies_edits_and_clean_documents(spark, texts, prose, block):
     assert out.columns == df.columns and {x.doc_id for x in out.collect()} == {i for i, _ in rows} - set(bad)
     assert decontamination.clean(texts([]), benchmark).count() == 0
     assert decontamination.clean(texts(["a b c d"]), benchmark.limit(0)).count() == 1
+
+
+def test_edited_copies_and_excerpts_are_aligned(spark, texts, prose):
+    items = [(i, prose(7000 + i, 40, 3000)) for i in range(4)] + [(4, prose(7004, 300, 3000)), (5, "of the best " + prose(7005, 30, 3000))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    fifth = [" ".join(w if k % 5 != 2 else "edited" for k, w in enumerate(t.split())) for _, t in items]
+    excerpt = " ".join(items[4][1].split()[140:160])
+    around = [f"{prose(8000 + k, 30)} {{}} {prose(8100 + k, 30)}" for k in range(8)]
+    # Items 0 and 4 only as copies that lost words, 1 beside a whole copy, 2 and 3 in one document.
+    rows = [(0, around[0].format(fifth[0])), (1, around[1].format(fifth[1])), (2, around[2].format(items[1][1]))]
+    rows += [(3, around[3].format(fifth[2] + " " + fifth[3])), (4, around[4].format(excerpt)), (5, around[5].format("of the best"))]
+    rows += [(6, around[6].format("of the best") + " " + prose(8200, 300) + " " + fifth[5]), (7, items[4][1]), (8, around[7].format(fifth[0]))]
+    rows += [(50 + i, prose(8300 + i, 100) + " of the best") for i in range(30)]
+    found = decontamination.judged(decontamination.matches(texts(rows), benchmark)).collect()
+    got = {x.doc_id: x for x in found}
+    words = decontamination.words_of
+    for i, t in rows:
+        scores = {k: _table_score(words(b), words(t)) for k, b in items}
+        bad = [k for k, b in items if scores[k] >= min(len(words(b)), 40)]
+        assert (got[i].contaminated, got[i].n_items) == (bool(bad), len(bad)), i
+        if bad:
+            assert got[i].item_id in bad and got[i].raw == scores[got[i].item_id]
+    assert {i for i in got if got[i].contaminated} == {0, 1, 2, 3, 4, 6, 7, 8} and got[3].n_items == 2

@@ -2,10 +2,12 @@
 
 Documents and test items are sequences of lower-case words without punctuation. One pass
 over all documents finds every n-gram of an item, with the words around it written as
-numbers of item words. Document frequencies of these n-grams over the whole corpus tell
-which are rare; of each item the rarer half (ties included, so never none) are seeds.
-Around seeds, document and item are aligned locally: an edited or paraphrased copy loses
-some words and still scores.
+numbers of item words. Every n-gram that a document shares with an item is a seed of this
+pair; around its seeds, the two are aligned locally: an edited or paraphrased copy loses
+some words and still scores. Document frequencies of the n-grams over the whole corpus
+tell which are rare, and pairs with the rarest seeds go first. A later pair is not aligned
+if the words it shares can neither contaminate nor beat the best item so far, which
+changes no result; that spares most pairs that only common n-grams make.
 
 A document is contaminated by an item if the alignment reaches ``min_share`` of the score
 of a full copy, or that of ``min_words`` words copied.
@@ -21,7 +23,7 @@ nothing. Ties between items go to the smallest item id. ``clean`` keeps all colu
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -136,20 +138,19 @@ def _scan(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFram
     )
 
 
-def _seeds(scanned: DataFrame, items: Items) -> set[tuple[int, int]]:
-    """(n-gram, item) pairs that are seeds: the rarer half of each item's n-grams."""
+def _frequencies(scanned: DataFrame, items: Items) -> np.ndarray:
+    """The number of documents that hold each n-gram."""
     counted = scanned.select(F.explode(F.array_distinct("grams")).alias("g")).groupBy("g").count()
-    df = dict(map(tuple, counted.collect()))  # at most one row per n-gram of the block
-    of_item = defaultdict(list)
-    for g, which in enumerate(items.items_of):
-        for i in which:
-            of_item[i].append((df.get(g, 0), g))
-    seeds = set()
-    for i, grams in of_item.items():
-        grams.sort()
-        limit = grams[(len(grams) - 1) // 2][0]
-        seeds.update((g, i) for n, g in grams if n <= limit)
-    return seeds
+    df = np.zeros(len(items.sorted), np.int64)
+    for g, n in counted.collect():  # at most one row per n-gram of the block
+        df[g] = n
+    return df
+
+
+def _limit(counts: dict[int, int], passage: np.ndarray) -> int:
+    """A score no alignment passes: that of all words in common, in any order."""
+    held = Counter(passage.tolist())
+    return MATCH * sum(min(n, held[w]) for w, n in counts.items())
 
 
 def matches(
@@ -163,9 +164,9 @@ def matches(
     item_col: str = "item_id",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per document and block of items: doc_id, n_seeded (items aligned),
-    n_items (items that contaminate it), item_id, score (share of a full copy), raw,
-    end_word of the best alignment, contaminated."""
+    """One row per document and block of items: doc_id, n_seeded (items that
+    share an n-gram with it), n_items (items that contaminate it), item_id, score (share of a
+    full copy), raw, end_word of the best alignment, contaminated."""
     rows = only(benchmark, item_col, text_col).select(F.col(f"`{item_col}`").alias("i"), text_of(f"`{text_col}`").alias("t"))
     rows = rows.filter(F.col("i").isNotNull())
     size = rows.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
@@ -185,34 +186,44 @@ def _matches(docs, rows, gram, min_share, min_words, id_col, text_col) -> DataFr
         joined[i] += ws
     items = Items(list(joined.items()), gram)
     scanned = stored(_scan(docs, items, id_col, text_col), "grams")
-    seeds = _seeds(scanned, items)
+    df = _frequencies(scanned, items)
+    counts = {i: Counter(ws.tolist()) for i, ws in items.ids.items()}
 
     def row(doc_id, spans, words, at, grams):
-        places = defaultdict(list)
+        places: dict[int, list[int]] = defaultdict(list)
+        rarest: dict[int, int] = {}
         for p, g in zip(at or (), grams or (), strict=True):
             for i in items.items_of[g]:
-                if (g, i) in seeds:
-                    places[i].append(p)
+                places[i].append(p)
+                rarest[i] = min(rarest.get(i, int(df[g])), int(df[g]))
         if not places:
             return [(doc_id, 0, 0, None, 0.0, 0, None, False)]
         known = np.frombuffer(words, "<i4").astype(np.int64)
         offsets = np.cumsum([0] + [b - a for a, b in zip(spans[::2], spans[1::2], strict=True)])
         found = []
-        for i, ps in places.items():
+        top = 0.0
+        for i in sorted(places, key=lambda i: (rarest[i], -len(places[i]), i)):
             item = items.ids[i]
+            full = MATCH * len(item)
             best = (0, 0)
-            for a, b in _passages(range(spans[-1]), np.array(ps), len(item) + gram):
+            for a, b in _passages(range(spans[-1]), np.array(places[i]), len(item) + gram):
                 k = int(np.searchsorted(spans[::2], a, "right")) - 1
                 a, b = max(a, spans[2 * k]), min(b, spans[2 * k + 1])
                 start = int(offsets[k]) + a - spans[2 * k]
-                raw, end = align(item, known[start : start + b - a])
+                passage = known[start : start + b - a]
+                limit = _limit(counts[i], passage)
+                if limit < best[0] or (limit / full < min(min_share, top) and limit < MATCH * min_words):
+                    continue
+                raw, end = align(item, passage)
                 best = max(best, (raw, a + end))
-            found.append((-best[0] / (MATCH * len(item)), i, best[0], best[1]))
+                top = max(top, best[0] / full)
+            if best[0]:
+                found.append((-best[0] / full, i, best[0], best[1]))
         found.sort()
         bad = [-s >= min_share or raw >= MATCH * min_words for s, _, raw, _ in found]
         order = [x for x, b in zip(found, bad, strict=True) if b] or found
         s, i, raw, end = order[0]
-        return [(doc_id, len(found), sum(bad), i, -s, raw, end, any(bad))]
+        return [(doc_id, len(places), sum(bad), i, -s, raw, end, any(bad))]
 
     kind = scanned.schema["doc_id"].dataType.simpleString()
     return arrow_rows(
