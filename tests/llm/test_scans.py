@@ -198,3 +198,49 @@ def test_edited_copies_and_excerpts_are_aligned(spark, texts, prose):
         if bad:
             assert got[i].item_id in bad and got[i].raw == scores[got[i].item_id]
     assert {i for i in got if got[i].contaminated} == {0, 1, 2, 3, 4, 6, 7, 8} and got[3].n_items == 2
+
+
+def test_common_disguises_are_restored(spark, texts, prose):
+    bad = ["moron", "stupid", "clown", "asshole", "scum"]
+    r = random.Random(2)
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(i, 40).split()
+        if i % 4 == 0:
+            for w in r.sample(bad, 3):
+                words.insert(r.randrange(len(words)), w)
+        elif i % 4 == 1:
+            words += ["such", "a", "loose", "hole", "um", "i", "a"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    forms = {
+        "m 0 r 0 n": 1, "such a m o r o n": 1, "s t u p i d c l o w n": 2, "$(um": 1, "@$$hole": 1, "stuupid": 1,
+        "morronn": 1, "you-m0r0n": 1, "cl0wn!": 1, "m.o.r.o.n": 1, "st up id": 1,
+        "such a loose hole": 0, "i a such um": 0, "(um)": 0, "2019-10-05": 0,
+    }
+    rows += [(1000 + k, f"{prose(k, 20)} {t} {prose(k + 9, 20)}") for k, t in enumerate(forms)]
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = {x.doc_id: x.n_restored for x in toxicity.scores(texts(rows), known).collect()}
+    assert {t: got[1000 + k] for k, t in enumerate(forms)} == forms
+
+
+def test_viterbi_keeps_blanks_and_all_states():
+    r = random.Random(5)
+    lm = np.array([r.random() * 9 for _ in range(36**4)], np.float32)
+
+    def cost(text, context=0):
+        total = 0.0
+        for c in text + " ":
+            code = toxicity._code(c)
+            total += float(lm[context * 36 + code])
+            context = (context * 36 + code) % 36**3
+        return total
+
+    noisy = "a b1|1|1|1"
+    best = {("", 0.0)}
+    for ch in noisy:
+        edges = [(ch, 0.05)] if ch.isalpha() else [("", toxicity.COST_DROP)]
+        edges += [(x, toxicity.COST_LOOKALIKE) for x in toxicity.LOOKALIKES.get(ch, "")] + ([(" ", 0.05)] if ch == " " else [])
+        best = {(t + x, p + price) for t, p in best for x, price in edges}
+    want = min((p + cost(t), t) for t, p in best)
+    assert toxicity.decode(noisy, lm) == want[1]

@@ -3,10 +3,12 @@
 1. Counts of character 4-grams over all texts give a character language model.
 2. Words that labelled toxic documents use in many contexts, and clean ones hardly ever,
    give a lexicon with log-odds weights.
-3. In every text, words that look disguised (symbols or digits among letters, letters
-   apart from each other, letters repeated) become lattices: each character may stand for
-   itself, for letters it resembles, or for nothing, at a cost. A Viterbi search finds the
-   likeliest letters under the language model.
+3. In every text, words that look disguised (symbols or digits for letters or among them,
+   letters apart from each other, letters repeated) become lattices: each character may
+   stand for itself, for letters it resembles, or for nothing, at a cost; a blank may also
+   stay a blank. An exact Viterbi search finds the likeliest letters under the language
+   model, once over all paths and once over those that read each look-alike as a letter.
+   Parts whose lattice has no path to a lexicon word are not searched, which changes nothing.
 4. The score is the posterior of the toxic class given which lexicon words occur in the
    text, plain or restored.
 
@@ -17,7 +19,7 @@ cover all documents, whole texts are scored.
 Defined cases: null and empty texts have no lexicon word and get the score of that; with
 no labels, or of one class only, every score is the smoothed share of toxic labels;
 documents labelled more than once count once, as toxic if any label says so; repeated
-rows are scored alike. ``clean`` keeps all columns.
+rows are scored alike; tokens of digits only are numbers. ``clean`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -53,11 +55,15 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 COST_LOOKALIKE, COST_DROP, COST_REPEAT, COST_LITERAL = 1.5, 1.2, 0.8, 0.05
-#: States kept after each character of a lattice.
-BEAM = 24
+#: Runs of short tokens longer than this are searched in parts that overlap.
+RUN, OVERLAP = 240, 80
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»‘’–—¡¿"
-_APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[\s.\-_*]{1,3}[^\W\d_]){3,}(?![^\W_])")
+_LOOKS = "".join(c for c in LOOKALIKES if not c.isalnum())
+_SHORT = rf"(?:[^\W_]|[{re.escape(_LOOKS)}])"
+_APART = re.compile(rf"(?<![^\W_]){_SHORT}{{1,2}}(?:[\s.\-_*]{{1,3}}{_SHORT}{{1,2}}){{2,}}(?![^\W_])")
+_TWICE = re.compile(r"([^\W\d_])\1")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
+_PARTS = re.compile(r"[.\-_*,;:/]+")
 _WORD = re.compile(r"[^\W_]+")
 _REPEATED = re.compile(r"(.)\1+")
 
@@ -114,16 +120,20 @@ def _code(c: str) -> int:
     return int(_TABLE[o]) if o < len(_TABLE) else 27 + o % (ALPHABET - 27)
 
 
-def decode(noisy: str, lm: np.ndarray) -> str:
-    """The likeliest letters behind a lower-case noisy word: Viterbi over its lattice.
+def decode(noisy: str, lm: np.ndarray, whole: bool = False) -> str:
+    """The likeliest letters behind a lower-case noisy part: Viterbi over its lattice.
 
-    A state is the last three codes; the best text for each state is kept.
+    A state is the last three codes; the best text for each state is kept. With ``whole``,
+    look-alikes stand for letters and are not dropped.
     """
     states: dict[tuple[int, str], tuple[float, str]] = {(0, ""): (0.0, "")}
     size = ALPHABET**CONTEXT
     for ch in noisy:
-        edges = [(ch, COST_LITERAL)] if ch.isalpha() else [("", COST_DROP)]
-        edges += [(x, COST_LOOKALIKE) for x in LOOKALIKES.get(ch, "")]
+        looks = LOOKALIKES.get(ch, "")
+        edges = [(ch, COST_LITERAL)] if ch.isalpha() else [] if whole and looks else [("", COST_DROP)]
+        edges += [(x, COST_LOOKALIKE) for x in looks]
+        if ch.isspace():
+            edges.append((" ", COST_LITERAL))
         after: dict[tuple[int, str], tuple[float, str]] = {}
         for (context, last), (cost, text) in states.items():
             for letter, price in edges:
@@ -139,51 +149,65 @@ def decode(noisy: str, lm: np.ndarray) -> str:
                 key, new = (context, last), (cost + COST_REPEAT, text)
                 if key not in after or new < after[key]:
                     after[key] = new
-        if len(after) > BEAM:
-            after = dict(sorted(after.items(), key=lambda kv: kv[1])[:BEAM])
         states = after
     ends = ((cost + float(lm[context * ALPHABET]), text) for (context, _), (cost, text) in states.items())
     return min(ends)[1]
 
 
-def split(text: str) -> tuple[set[str], list[str]]:
-    """The different words of a text, and its lower-case parts that look disguised."""
+def split(text: str) -> tuple[set[str], set[str]]:
+    """The different words of a text, and its lower-case parts that may be disguised: with
+    white space, runs of short tokens; without, single tokens."""
     low = text.lower()
-    whole = {t.strip(_EDGE) for t in low.split()}
-    words, odd = set(), []
-    for t in whole:
-        if t.isalpha():
-            words.add(t)
-        elif t:
-            words.update(_WORD.findall(t))
-            if not t.isdigit() and any(c.isalpha() for c in t):
-                odd.append(t)
-    thrice = low[2:] and _THRICE.search(low)
-    if thrice:
-        odd += [t for t in whole if t.isalpha() and _THRICE.search(t)]
-    # Symbols at an edge are decoration, unless they resemble letters and stand alone.
-    odd += [t for t in {x for x in low.split() if x[:1] in "@$!|(" or x[-1:] in "@$!|+"} if _edge_letter(t)]
-    if sum(len(t) == 1 for t in whole) >= 3:
-        odd += [m.group(0) for m in _APART.finditer(low)]
+    words: set[str] = set()
+    odd: set[str] = set()
+    for t in set(low.split()):
+        core = t.strip(_EDGE)
+        if core.isalpha():
+            words.add(core)
+            if _TWICE.search(core):
+                odd.add(core)
+        elif core:
+            words.update(_WORD.findall(core))
+        if not t.isalpha():
+            # Symbols at an edge may be letters or decoration.
+            forms = {t, core, t.lstrip(_EDGE), t.rstrip(_EDGE), *_PARTS.split(t)}
+            odd.update(f for f in forms if f and not f.isalpha() and not f.isdigit())
+    for m in _APART.finditer(low):
+        run = m.group(0)
+        odd.update(run[i : i + RUN] for i in range(0, max(1, len(run) - OVERLAP), RUN - OVERLAP))
     return words, odd
 
 
-def _edge_letter(t: str) -> bool:
-    """One look-alike at an edge of a word, as in "$cum"; more are decoration."""
-    return len(t) > 2 and ((t[0] in "@$!|(" and t[1].isalnum()) or (t[-1] in "@$!|+" and t[-2].isalnum()))
-
-
 def squeezed(word: str) -> str:
     """A word with each repeated letter once; a disguise may have lost or added some."""
     return _REPEATED.sub(r"\1", word)
 
 
-def restored(odd: list[str], decoded, squeezes: dict[str, str]) -> set[str]:
-    """The words behind disguised parts; ``squeezes`` has lexicon words by squeezed form."""
+def readable(part: str, squeezes: dict[str, str]) -> bool:
+    """Whether a path of the part's lattice may give a word with one of these squeezed forms."""
+    letters = squeezed("".join(filter(str.isalpha, part)))
+    options = set(letters).union(*(LOOKALIKES.get(c, "") for c in set(part)))
+    apart = any(c.isspace() for c in part)
+    for form in squeezes:
+        if options.issuperset(form):
+            if apart:
+                return True
+            rest = iter(form)  # letters are never dropped, so they come in this order
+            if all(c in rest for c in letters):
+                return True
+    return False
+
+
+def restored(odd, decoded, squeezes: dict[str, str]) -> set[str]:
+    """The words behind disguised parts; ``squeezes`` has lexicon words by squeezed form.
+    ``decoded`` gives the readings of a part."""
     out: set[str] = set()
     for t in odd:
-        for w in _WORD.findall(decoded(t)):
-            out.add(squeezes.get(squeezed(w), w))
+        for reading in decoded(t):
+            if reading == t and not _THRICE.search(t):
+                continue  # a plain word with a double letter, such as "loose"
+            for w in _WORD.findall(reading):
+                out.add(squeezes.get(squeezed(w), w))
     return out
 
 
@@ -252,7 +276,13 @@ class Scorer:
     def __init__(self, lm: np.ndarray, weights: dict[str, float], base: float):
         self.weights, self.base = weights, base
         self.squeezes = {squeezed(w): w for w in weights}
-        self.decoded = lru_cache(1 << 16)(lambda t: decode(t, lm))
+
+        def readings(part: str) -> tuple[str, ...]:
+            if not readable(part, self.squeezes):
+                return ()
+            return tuple({decode(part, lm), decode(part, lm, whole=True)})
+
+        self.decoded = lru_cache(1 << 16)(readings)
 
     def __call__(self, text: str) -> tuple[float, int, int]:
         words, odd = split(text)
