@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tickloom.llm import native, scans, substrings  # noqa: F401
+from tickloom.llm import native, reports, scans, substrings  # noqa: F401
 from tickloom.plans.catalogue import Query
 
 
