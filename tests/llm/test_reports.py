@@ -66,8 +66,9 @@ def _table(spark, rows, parts=5):
 
 @pytest.mark.parametrize(("least", "limit", "held"), [(3, 2000, 600_000), (10, 7, 40)])
 def test_phrases_equal_brute_force(spark, texts, monkeypatch, least, limit, held):
-    # Small bounds: containers burst, subtrees are spilled, word tables and ids are cleared.
+    # Small bounds: subtrees are spilled, word tables and ids cleared, chunks a few texts.
     monkeypatch.setattr(collocations.phrases, "__defaults__", (held,))
+    monkeypatch.setattr(collocations, "FULL", 1.0 if held > 1000 else -1.0)
     rows = _phrase_rows()
     got = collocations.top(_table(spark, rows), least=least, limit=limit).collect()
     assert [tuple(r) for r in sorted(got, key=lambda r: (r.lang, r.rank))] == _collocations(rows, least, 5, limit)
@@ -78,6 +79,8 @@ def test_phrases_without_broadcasts_and_with_full_filters(spark, texts, monkeypa
 
     monkeypatch.setattr(common.within, "__defaults__", (0,))
     monkeypatch.setattr(collocations.bit_filter, "__defaults__", (64,))  # nearly every probe is a false hit
+    monkeypatch.setattr(collocations, "MAX_BUCKETS", 1)
+    monkeypatch.setattr(collocations, "BLOCK", 64)
     rows = _phrase_rows(2, 60)
     got = collocations.top(_table(spark, rows), least=4, longest=3).collect()
     assert [tuple(r) for r in sorted(got, key=lambda r: (r.lang, r.rank))] == _collocations(rows, 4, 3, 2000)
@@ -88,7 +91,7 @@ def test_words_with_one_number_get_another_seed(spark, texts, monkeypatch):
 
     def clash(read, seed):
         out = given(read, seed)
-        return out.withColumn("high", F.lit("other")) if seed == 42 else out
+        return out.withColumn("id", F.lit(7).cast("bigint")) if seed == 42 else out
 
     monkeypatch.setattr(collocations, "word_counts", clash)
     rows = [("en", "a b c a b"), ("en", "a b")]
@@ -106,22 +109,22 @@ def test_trie_counts_and_spills_whole_subtrees(burst):
     trie = collocations.HatTrie(burst)
     spilled = []
     for i in range(0, len(keys), 100):
-        trie.add(keys[i : i + 100])
+        trie.add(keys[i : i + 100], [1 + i % 3] * 100)
         if trie.held > 60:
             run = list(trie.spill(30))
             assert trie.held <= 30
             # Each subtree leaves whole and in key order, and nothing of it is left.
-            for first, group in itertools.groupby(run, key=lambda kn: kn[0][:8]):
-                got = [k for k, _ in group]
-                assert got == sorted(set(got)) and first not in trie.root
+            for got, _ in run:
+                assert got == sorted(set(got)) and len({k[:8] for k in got}) == 1 and got[0][:8] not in trie.root
             spilled += run
     spilled += trie.spill(0)
-    total = Counter()
-    for k, n in spilled:
-        total[k] += n
-    assert trie.held == 0 and not trie.root and total == Counter(keys)
-    if burst == 1:
-        assert any(n > 0 for _, n in spilled)
+    total, want = Counter(), Counter()
+    for got, numbers in spilled:
+        for k, n in zip(got, numbers, strict=True):
+            total[k] += n
+    for i, k in enumerate(keys):
+        want[k] += 1 + i // 100 * 100 % 3
+    assert trie.held == 0 and not trie.root and total == want
 
 
 def test_runs_merge_over_batch_borders(spark, texts):

@@ -6,17 +6,19 @@ two parts it scores floor(1000 * f * n / (f(first) * f(rest))), and its lowest c
 
 1. Words are counted in tasks and merged by Spark. A word is known by its XXH64 from here
    on; a seed is used under which no two words of the table share a number.
-2. ``HatTrie`` counts phrases in each task: a shallow trie over the first word ids whose
-   leaves are hash containers of the remaining ids. A container that grows too large bursts
-   into a branch with smaller ones. When the trie holds too many keys its largest subtrees
-   are spilled whole, as runs in key order.
-3. ``merged`` deals runs to prefix partitions (a first word and a slice of the ids after it,
+2. Pairs of neighbours are counted in buckets by their hash, a byte each that stops at 255.
+   A pair in a bucket with less than ``least`` occurrences is not frequent, and neither is
+   a phrase with such a pair in it.
+3. ``HatTrie`` counts what is left in each task: a shallow trie over the first word ids
+   whose leaves are hash containers of the remaining ids. A container that grows too large
+   bursts into a branch with smaller ones. When the trie holds too many keys its largest
+   subtrees are spilled whole, as runs in key order.
+4. ``merged`` deals runs to prefix partitions (a first word and a slice of the ids after it,
    so that a frequent first word spreads), sorts them together and adds up equal keys in
    one pass over the sorted stream, which holds one batch whatever the size of a partition.
-4. Pairs come first, longer phrases only from runs of frequent pairs: a phrase cannot be
-   frequent unless all pairs in it are. Frequent words and pairs reach the tasks as a filter
-   of bits of bounded size (64 MB at most). A false hit only counts a key in vain, as the
-   exact count decides.
+   Words and buckets reach the tasks as filters of bits of bounded size. A false hit only
+   counts a key in vain, as the exact count decides. Where the corpus outgrows the buckets
+   and most of them are full, exact counts of pairs are made first and filter the rest.
 5. Cuts, phrases inside longer ones and ranks are joins and aggregates over the frequent
    phrases; products are decimals.
 
@@ -28,6 +30,7 @@ no rows. Further columns of the input are not looked at.
 from __future__ import annotations
 
 import struct
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -42,10 +45,13 @@ from tickloom.llm.common import arrow_rows, only, stored, text_of, within
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 ID = 8  # bytes of a word id
-#: A container with more keys bursts; a task holds so many keys; words it counts at a time.
-BURST, HELD, WORDS = 4_096, 600_000, 300_000
-#: Bits of a filter for each entry, and in all.
+#: A container with more keys bursts; a task holds so many keys; words it counts or knows at
+#: a time; words it works on at once.
+BURST, HELD, WORDS, CHUNK = 4_096, 600_000, 300_000, 1 << 20
+#: Bits of a filter for each entry, and in all (64 MB); pairs for each bucket, and buckets in all
+#: (64 MB in a task) and in a block that travels; the share of full ones beyond which pairs go first.
 BITS_PER_ENTRY, MAX_BITS = 16, 1 << 29
+PAIRS_PER_BUCKET, MAX_BUCKETS, BLOCK, FULL = 12, 1 << 26, 1 << 16, 0.1
 
 _STOP = b"."  # stands between pieces, and is no word itself
 _LOWER = bytearray(range(256))
@@ -68,9 +74,11 @@ class HatTrie:
         self.burst, self.held = burst, 0
         self.root: dict[bytes, Box | Branch] = {}
 
-    def add(self, keys: Iterable[bytes]) -> None:
-        for key in keys:
-            at, depth = self.root, ID
+    def add(self, keys: Iterable[bytes], numbers: Iterable[int]) -> None:
+        """Add to the counts of keys."""
+        root, burst = self.root, self.burst
+        for key, n in zip(keys, numbers, strict=True):
+            at, depth = root, ID
             box = at.get(key[:depth])
             while box.__class__ is Branch:
                 if depth == len(key):  # ends at a burst container
@@ -83,11 +91,11 @@ class HatTrie:
             rest = key[depth:]
             counts = box.counts
             if rest in counts:
-                counts[rest] += 1
+                counts[rest] += n
                 continue
-            counts[rest] = 1
+            counts[rest] = n
             self.held += 1
-            if len(counts) > self.burst and len(rest) > ID and box.__class__ is Box:
+            if len(counts) > burst and len(rest) > ID and box.__class__ is Box:
                 self._burst(at, key[depth - ID : depth], box)
 
     @staticmethod
@@ -104,16 +112,16 @@ class HatTrie:
                 child = branch.children[rest[:ID]] = Box()
             child.counts[rest[ID:]] = n
 
-    def spill(self, keep: int) -> Iterator[tuple[bytes, int]]:
+    def spill(self, keep: int) -> Iterator[tuple[list[bytes], list[int]]]:
         """Take whole subtrees out, the largest first, until at most ``keep`` keys are
-        left: their keys and counts, each subtree in key order."""
+        left: the keys of each, in order, and their counts."""
         sizes = {w: box.size() for w, box in self.root.items()}
         for word in sorted(sizes, key=lambda w: (-sizes[w], w)):
             if self.held <= keep:
                 return
             box = self.root.pop(word)
             self.held -= sizes[word]
-            yield from box.run(word)
+            yield box.run(word)
 
 
 class Box:
@@ -127,9 +135,9 @@ class Box:
     def size(self) -> int:
         return len(self.counts)
 
-    def run(self, prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        for rest in sorted(self.counts):
-            yield prefix + rest, self.counts[rest]
+    def run(self, prefix: bytes) -> tuple[list[bytes], list[int]]:
+        rests = sorted(self.counts)
+        return [prefix + r for r in rests], [self.counts[r] for r in rests]
 
 
 class Branch:
@@ -144,11 +152,13 @@ class Branch:
     def size(self) -> int:
         return len(self.counts) + sum(c.size() for c in self.children.values())
 
-    def run(self, prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        for n in self.counts.values():
-            yield prefix, n
+    def run(self, prefix: bytes) -> tuple[list[bytes], list[int]]:
+        keys, numbers = [prefix] * len(self.counts), list(self.counts.values())
         for word in sorted(self.children):
-            yield from self.children[word].run(prefix + word)
+            more = self.children[word].run(prefix + word)
+            keys += more[0]
+            numbers += more[1]
+        return keys, numbers
 
 
 class Filter:
@@ -182,9 +192,10 @@ def bit_filter(numbers: DataFrame, count: int, max_bits: int = MAX_BITS) -> Filt
     return Filter(bits)
 
 
-def pair_number(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One number of a pair of word ids, for the filter of pairs."""
-    mixed = (first ^ (second >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
+def pair_number(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One number of a language's pair of word ids, for buckets and filters."""
+    salt = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    mixed = (first ^ salt ^ (second >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
     return mixed ^ (mixed >> np.uint64(32))
 
 
@@ -209,10 +220,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
 
 
 def word_counts(read: DataFrame, seed: int) -> DataFrame:
-    """lang, id, n, low, high: occurrences under an id, and the least and largest such word."""
+    """lang, id, word, n: the occurrences of each word."""
     schema = pa.schema([("lang", pa.string()), ("id", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
 
-    def rows(held: dict[str, dict[bytes, int]]) -> Iterator[tuple]:
+    def rows(held: dict[str, Counter]) -> Iterator[tuple]:
         for lang, counts in held.items():
             for w, n in counts.items():
                 number = xxhash.xxh64_intdigest(w, seed)
@@ -220,75 +231,156 @@ def word_counts(read: DataFrame, seed: int) -> DataFrame:
         held.clear()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[bytes, int]] = {}
+        held: dict[str, Counter] = {}
         for lang, text in _texts(batches):
-            counts = held.setdefault(lang, {})
-            for w in tokens(text):
-                counts[w] = counts.get(w, 0) + 1
-            counts.pop(_STOP)
+            counts = held.setdefault(lang, Counter())
+            counts.update(tokens(text))
+            del counts[_STOP]
             if sum(map(len, held.values())) > WORDS:
                 yield from _batches(rows(held), schema)
         yield from _batches(rows(held), schema)
 
     counted = read.mapInArrow(count, "lang string, id bigint, word string, n bigint")
-    return counted.groupBy("lang", "id").agg(F.sum("n").alias("n"), F.min("word").alias("low"), F.max("word").alias("high"))
+    return counted.groupBy("lang", "id", "word").agg(F.sum("n").alias("n"))
 
 
 class Ids(dict):
-    """The number of each word; zero if the word can't be frequent, or is a stop."""
+    """A place in ``numbers`` for each word; place 0 if it can't be frequent, or is a stop."""
 
     def __init__(self, known: Filter, seed: int):
-        self.known, self.seed = known, seed
+        self.known, self.seed, self.numbers = known, seed, [0]
 
     def __missing__(self, word: bytes) -> int:
         number = xxhash.xxh64_intdigest(word, self.seed) if word != _STOP else 0
-        if number not in self.known:
-            number = 0
-        if len(self) > WORDS:
-            self.clear()
-        self[word] = number
-        return number
-
-
-def keys_of(number: np.ndarray, pairs: Filter | None, low: int, high: int) -> Iterator[list[bytes]]:
-    """The keys of all phrases of ``low`` to ``high`` words in a text's word numbers."""
-    joined = (number[:-1] != 0) & (number[1:] != 0)
-    if pairs is not None:
-        joined &= pairs.hold(pair_number(number[:-1], number[1:]))
+        place = 0
+        if number in self.known and number:
+            place = len(self.numbers)
+            self.numbers.append(number)
+        elif len(self) > WORDS:
+            return 0  # words that are not wanted are not all remembered
+        self[word] = place
+        return place
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], known: Filter, seed: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Language, places of words and their numbers, for about ``CHUNK`` words at a time;
+    texts and pieces are parted by zeros."""
+    ids = Ids(known, seed)
+    held: dict[str, list[np.ndarray]] = {}
+    words = 0
+
+    def drained() -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        numbers = np.array(ids.numbers, np.uint64)
+        for lang, parts in held.items():
+            yield lang, np.concatenate(parts), numbers
+        held.clear()
+
+    for lang, text in _texts(batches):
+        found = tokens(text)
+        held.setdefault(lang, []).append(np.fromiter(map(ids.__getitem__, found), np.int64, len(found)))
+        words += len(found)
+        if words > CHUNK:
+            yield from drained()
+            words = 0
+            if len(ids) > 2 * WORDS:
+                ids = Ids(known, seed)
+    yield from drained()
+
+
+def pair_filter(read: DataFrame, seed: int, words: Filter, total: int, least: int) -> tuple[Filter, float]:
+    """A filter of the pairs in buckets with ``least`` occurrences or more, for a corpus of
+    ``total`` words, and the share of buckets that are."""
+    size = BLOCK
+    while size < min(MAX_BUCKETS, total / PAIRS_PER_BUCKET):
+        size *= 2
+    shared = read.sparkSession.sparkContext.broadcast(words)
+    mark = min(least, 255)
+    schema = pa.schema([("block", pa.int64()), ("counts", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.uint8)
+        for lang, place, numbers in _chunks(batches, shared.value, seed):
+            both = np.flatnonzero((place[:-1] != 0) & (place[1:] != 0))
+            bucket = pair_number(lang, numbers[place[both]], numbers[place[both + 1]]) & np.uint64(size - 1)
+            at, n = np.unique(bucket.astype(np.int64), return_counts=True)
+            counts[at] = np.minimum(counts[at] + n, 255)
+        blocks = counts.reshape(-1, BLOCK)
+        yield from _batches(((int(i), blocks[i].tobytes()) for i in np.flatnonzero(blocks.any(axis=1))), schema, 64)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # all blocks of all partitions are MAX_BUCKETS numbers
+        for b in batches:
+            for block, counts in zip(*b.columns, strict=True):
+                held = sums.setdefault(block.as_py(), np.zeros(BLOCK, np.uint16))
+                np.minimum(held + np.frombuffer(counts.as_buffer(), np.uint8), 255, out=held)
+        bits = ((i, np.packbits(c >= mark, bitorder="little").tobytes()) for i, c in sums.items())
+        yield from _batches(bits, schema, 1024)
+
+    kind = "block bigint, counts binary"
+    summed = read.mapInArrow(count, kind).repartition("block").mapInArrow(add, kind)
+    bits = np.zeros((size // BLOCK, BLOCK // 8), np.uint8)
+    for block, packed in zip(*summed.toArrow().columns, strict=True):  # MAX_BUCKETS bits
+        bits[block.as_py()] = np.frombuffer(packed.as_buffer(), np.uint8)
+    return Filter(bits.ravel().view(np.uint64)), float(np.unpackbits(bits).mean())
+
+
+def keys_of(
+    lang: str, place: np.ndarray, numbers: np.ndarray, pairs: Filter, low: int, high: int
+) -> Iterator[tuple[list[bytes], list[int]]]:
+    """The different phrases of ``low`` to ``high`` words among places of words, as keys, and
+    how often each occurs."""
+    number = numbers[place]
+    joined = (place[:-1] != 0) & (place[1:] != 0)
+    joined &= pairs.hold(pair_number(lang, number[:-1], number[1:]))
     packed = number.astype(">u8").tobytes()
     whole = joined  # at i: the words from i on are joined one by one
+    known = place  # at i: the number, in this chunk, of the phrase one word shorter
     for length in range(2, high + 1):
         if length > 2:
             whole = whole[:-1] & joined[length - 2 :]
+        at = np.flatnonzero(whole)
+        code = known[at] * len(numbers) + place[at + length - 1]
+        _, first, number_of, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
         if length >= low:
-            yield [packed[i : i + length * ID] for i in (np.flatnonzero(whole) * ID).tolist()]
+            yield [packed[i : i + length * ID] for i in (at[first] * ID).tolist()], n.tolist()
+        known = np.zeros(len(place), np.int64)
+        known[at] = number_of
 
 
-def phrases(
-    read: DataFrame, seed: int, words: Filter, pairs: Filter | None, lengths: tuple[int, int], held: int = HELD
-) -> DataFrame:
+def phrases(read: DataFrame, seed: int, words: Filter, pairs: Filter, lengths: tuple[int, int], held: int = HELD) -> DataFrame:
     """lang, key, n: the runs of phrases of ``lengths`` words that the tasks' tries spill."""
     shared = read.sparkSession.sparkContext.broadcast((words, pairs))
     low, high = lengths
     schema = pa.schema([("lang", pa.string()), ("key", pa.binary()), ("n", pa.int64())])
 
-    def runs(tries: dict[str, HatTrie], keep: int) -> Iterator[tuple]:
+    def runs(tries: dict[str, HatTrie], keep: int) -> Iterator[pa.RecordBatch]:
+        """Spilled subtrees, gathered to batches."""
         for lang, trie in tries.items():
-            for key, n in trie.spill(keep):
-                yield lang, key, n
+            keys, numbers = [], []
+
+            def batch():
+                columns = [pa.array([lang], pa.string()).take(pa.array([0] * len(keys), pa.int32())), pa.array(keys, pa.binary()), pa.array(numbers, pa.int64())]  # noqa: B023
+                return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+            for more in trie.spill(keep):
+                keys += more[0]
+                numbers += more[1]
+                if len(keys) > 20_000:
+                    yield batch()
+                    keys, numbers = [], []
+            if keys:
+                yield batch()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, joined = shared.value
-        ids, tries = Ids(known, seed), {}
-        for lang, text in _texts(batches):
-            found = tokens(text)
-            number = np.fromiter(map(ids.__getitem__, found), np.uint64, len(found))
+        tries: dict[str, HatTrie] = {}
+        for lang, place, numbers in _chunks(batches, known, seed):
             trie = tries.setdefault(lang, HatTrie())
-            for keys in keys_of(number, joined, low, high):
-                trie.add(keys)
+            for keys, n in keys_of(lang, place, numbers, joined, low, high):
+                trie.add(keys, n)
             if sum(t.held for t in tries.values()) > held:
-                yield from _batches(runs(tries, held // (2 * len(tries))), schema)
-        yield from _batches(runs(tries, 0), schema)
+                yield from runs(tries, held // (2 * len(tries)))
+        yield from runs(tries, 0)
 
     return read.mapInArrow(count, "lang string, key binary, n bigint")
 
@@ -334,7 +426,7 @@ def merged(runs: DataFrame, least: int) -> DataFrame:
         if last is not None and last[2] >= least:
             yield out([last[0]], [last[1]], [last[2]])
 
-    return dealt.sortWithinPartitions("lang", "key").mapInArrow(add, "lang string, key binary, n bigint")
+    return dealt.sortWithinPartitions("key", "lang").mapInArrow(add, "lang string, key binary, n bigint")
 
 
 def frequent(
@@ -346,24 +438,23 @@ def frequent(
     seed = 42
     while True:
         words = stored(word_counts(read, seed), "words")
-        if words.filter("low <> high OR id = 0").isEmpty():
+        if words.filter("id = 0").isEmpty() and words.groupBy("lang", "id").count().filter("count > 1").isEmpty():
             break
         seed += 1  # two words share a number: number them anew
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    known = stored(words.filter(F.col("n") >= least).select("lang", "id", "n", F.col("low").alias("word")), "known")
+    known = stored(words.filter(F.col("n") >= least).select("lang", "id", "n", "word"), "known")
     known_words = bit_filter(known.select("id"), known.count())
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    known_pairs, full = pair_filter(read, seed, known_words, total, least)
 
     single = known.select("lang", _key(F.col("id")).alias("key"), "n")
-    two = stored(merged(phrases(read, seed, known_words, None, (2, 2)), least), "pairs")
-    parts = [single, two]
-    if longest > 2:
-        numbers = arrow_rows(two.select("key"), lambda key: [_signed_pair(key)], "number bigint")
-        known_pairs = bit_filter(numbers, two.count())
-        parts.append(merged(phrases(read, seed, known_words, known_pairs, (3, longest)), least))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return known, totals, stored(found, "phrases")
+    if full <= FULL or longest < 3:
+        return known, totals, stored(single.unionByName(merged(phrases(read, seed, known_words, known_pairs, (2, longest)), least)), "phrases")
+    two = stored(merged(phrases(read, seed, known_words, known_pairs, (2, 2)), least), "pairs")
+    numbers = arrow_rows(two.select("lang", "key"), lambda lang, key: [(_signed(lang, key),)], "number bigint")
+    known_pairs = bit_filter(numbers, two.count())
+    more = merged(phrases(read, seed, known_words, known_pairs, (3, longest)), least)
+    return known, totals, stored(single.unionByName(two).unionByName(more), "phrases")
 
 
 def _key(number: Column) -> Column:
@@ -371,9 +462,10 @@ def _key(number: Column) -> Column:
     return F.unhex(F.lpad(F.hex(number), 2 * ID, "0"))
 
 
-def _signed_pair(key: bytes) -> tuple[int]:
-    first, second = (np.array([x], np.uint64) for x in struct.unpack(">QQ", key))
-    return (int(pair_number(first, second).view(np.int64)[0]),)
+def _signed(lang: str, pair: bytes) -> int:
+    """The number of a pair's key, as Spark's signed one."""
+    first, second = (np.array([x], np.uint64) for x in struct.unpack(">QQ", pair))
+    return int(pair_number(lang, first, second).view(np.int64)[0])
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:
