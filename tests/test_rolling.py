@@ -1,5 +1,6 @@
 """Rolling metrics against fixed numbers and brute force."""
 
+import math
 import random
 import statistics
 
@@ -204,3 +205,32 @@ def test_hot_ticker_is_spread_over_groups(spark, gap_us):
     hot = hot_buckets(t, "ticker", "ts_us", 600, 100)
     sizes = with_bucket(t, hot, "ticker", "ts_us", 600).groupBy("_bucket").agg(F.count("*").alias("n"))
     assert sizes.count() >= 50 and sizes.agg(F.max("n")).first()[0] <= 110
+
+
+@pytest.mark.parametrize("sizes", ["largest", "mixed"])
+def test_every_accepted_size_and_price_passes(spark, sizes):
+    """At the bounds of validation no sum overflows, and constant prices stay as they are."""
+    from tickloom.functions.exact import MAX_PRICE, MAX_SIZE, MIN_PRICE
+    from tickloom.operators import anomaly, windows
+
+    top = math.nextafter(MAX_PRICE, 0)
+    rows = [("A", i * 100_000, i, top, MAX_SIZE - 1 - (i % 7 if sizes == "mixed" else 0)) for i in range(500)]
+    rows += [("B", i * 100_000, i, MIN_PRICE if i % 2 else top, MAX_SIZE - 1 if i % 3 else 0) for i in range(500)]
+    t = ticks(spark, rows)
+    for hot in (None, 100):
+        opts = {"hot_rows": hot}
+        vwap = rolling.trailing_vwap(t, 60, **opts).filter("ticker = 'A'").collect()
+        assert all(r["vwap"] == pytest.approx(MAX_PRICE, rel=1e-12) for r in vwap)
+        assert all(r["vwap"] == pytest.approx(MAX_PRICE, rel=1e-12) for r in rolling.running_vwap(t, **opts).filter("ticker = 'A'").collect())
+        z = {r["seq"]: r["volume_zscore"] for r in rolling.zscore_prior(t, **opts).filter("ticker = 'A'").collect()}
+        for i in range(30, 500):
+            prior = [MAX_SIZE - 1 - (j % 7 if sizes == "mixed" else 0) for j in range(i - 19, i)]
+            base = [p - MAX_SIZE for p in prior]
+            m = sum(base) / 19
+            sd = math.sqrt(sum((b - m) ** 2 for b in base) / 18)
+            x = -1 - (i % 7 if sizes == "mixed" else 0)
+            assert z[i] == (pytest.approx((x - m) / sd, rel=1e-9) if sd else 0.0)
+        for f in (rolling.zscore_inclusive, rolling.vwap_deviation, rolling.trailing_mean_price, rolling.enrich, anomaly.features_7d, anomaly.features_6d):
+            assert f(t, **opts).count() == 1000
+    totals = windows.vwap_tumbling(t).filter("ticker = 'A'").collect()
+    assert sum(r["volume"] for r in totals) == sum(r[4] for r in rows if r[0] == "A")

@@ -19,8 +19,12 @@ def lexicon(spark):
 
 
 def by_hand(text):
-    toks = [t for t in (w.strip("'") for w in re.split(r"(?:(?!')[\W\d_])+", text.lower().replace("\u2019", "'"))) if t]
+    spelled = [t for t in (w.strip("'") for w in re.split(r"(?:(?!')[\W\d_])+", text.replace("\u2019", "'"))) if t]
+    toks, loud = [t.lower() for t in spelled], [t.isupper() for t in spelled]
+    mixed = 0 < sum(loud) < len(toks)
+    turn = toks.index("but") if "but" in toks else None
     words = {t: v for t, v, r in LEX if r == "word"}
+    lifts = {"very": 1, "barely": -1}
     s = pos = neg = 0
     charged = 0
     for i, t in enumerate(toks):
@@ -28,10 +32,13 @@ def by_hand(text):
             continue
         v = words[t] * 1000
         side = (v > 0) - (v < 0)
-        back = toks[max(0, i - 3) : i][::-1]
-        for weight, b in zip((1, 0.95, 0.9), back, strict=False):
-            v += round(side * weight * 293_000 * {"very": 1, "barely": -1}.get(b, 0))
-        v = round(v * -0.74) if any(b == "not" or b.endswith("n't") for b in back) else v
+        v += side * 733_000 * (loud[i] and mixed)
+        for weight, j in zip((1, 0.95, 0.9), range(i - 1, max(-1, i - 4), -1), strict=False):
+            if toks[j] in lifts:
+                v += round(side * weight * (293_000 * lifts[toks[j]] + 733_000 * (loud[j] and mixed)))
+        v = round(v * -0.74) if any(b == "not" or b.endswith("n't") for b in toks[max(0, i - 3) : i]) else v
+        if turn is not None and i != turn:
+            v *= 0.5 if i < turn else 1.5
         s += v
         charged += v != 0
         pos += v + 1_000_000 if v > 0 else 0
@@ -48,8 +55,9 @@ def by_hand(text):
 
 def test_sentiment_matches_hand_count(spark):
     r = random.Random(3)
-    vocab = ["good", "bad", "not", "very", "flat", "day", "the", "Good,", "NOT", "x1y", "barely", "don't", "isn\u2019t", "'good'", "bad!", "good?"]
-    texts = [" ".join(r.choice(vocab) for _ in range(r.randrange(0, 30))) for _ in range(60)] + ["", "...", "été good"]
+    vocab = ["good", "bad", "not", "very", "flat", "day", "the", "Good,", "NOT", "x1y", "barely", "don't", "isn\u2019t", "'good'", "bad!", "good?", "GOOD", "VERY", "BARELY", "DON'T"]
+    texts = [" ".join(r.choice([*vocab, *["but", "But"] * (i % 2)]) for _ in range(r.randrange(0, 30))) for i in range(90)]
+    texts += ["", "...", "été good", "GOOD BAD", "but", "good but bad", "VERY good", "good " * 20_000 + "but not VERY bad"]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     for limit in ("10MB", "-1"):  # broadcast, and the shuffled join for large lexicons
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
@@ -65,6 +73,14 @@ def test_sentiment_matches_hand_count(spark):
                 assert g["positive"] + g["neutral"] + g["negative"] == pytest.approx(1.0)
 
 
+def test_published_sentences(spark):
+    """A "but" turns a text, capitals weigh more only beside words without."""
+    texts = ["good but bad", "bad but good", "very good day", "VERY good day", "good day", "GOOD day", "GOOD DAY", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    c = [r["compound"] for r in sentiment.score(df, lexicon(spark)).orderBy("id").collect()]
+    assert c[0] < 0 < c[1] and c[4] < c[2] < c[3] and c[4] < c[5] and c[6] == c[4] and c[7] == 0.0
+
+
 def test_text_parts(spark):
     df = spark.createDataFrame([(" a ", " b "), ("a", None), ("", ""), (None, "x" * 300)], "headline string, summary string")
     assert [r["text"] for r in sentiment.news_text(df).collect()] == ["a b", "a", "x" * 300]
@@ -109,7 +125,49 @@ def test_planted_outliers_rank_first():
     model = iforest.grow(x, 100, 256, 1)
     s = iforest.score(x, *model, 256)
     assert set(np.argsort(s)[:5]) == set(range(5))
-    assert ((s < 0) & (s >= -1)).all()
+    assert ((s < 0) & (s >= -iforest.BILLION)).all()
+
+
+def test_samples_are_different_rows_and_draws_are_even():
+    states = iforest.mixed(np.int64(5), np.arange(200, dtype=np.int64))
+    for n, psi in ((256, 256), (5000, 256), (300, 256), (7, 7), (1, 1)):
+        rows = iforest.sampled(n, psi, states)
+        assert rows.min() >= 0 and rows.max() < n
+        assert all(len(set(r)) == psi for r in rows.tolist())
+    u = iforest.draw(states[:, None], np.arange(5000, dtype=np.int64)) / iforest.PRIME
+    assert abs(u.mean() - 0.5) < 0.002 and abs((u < 0.1).mean() - 0.1) < 0.002
+    assert abs(np.corrcoef(u[:, :-1].ravel(), u[:, 1:].ravel())[0, 1]) < 0.01
+    assert abs(np.corrcoef(u[:-1].ravel(), u[1:].ravel())[0, 1]) < 0.01
+
+
+def test_trees_split_their_samples():
+    """Every leaf's path length is its level plus what its rows still lack."""
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(500, 3)), 1)
+    x[:, 2] = 4.0  # never split on
+    feature, threshold, value = iforest.grow(x, 20, 64, 9)
+    assert (feature < 2).all()
+    for tree in range(20):
+        rows = {0: x[iforest.sampled(500, 64, iforest.mixed(np.int64(9), np.arange(20)))[tree]]}
+        for node in range(feature.shape[1]):
+            if node not in rows:
+                assert feature[tree, node] == -1 and value[tree, node] == 0
+                continue
+            level, f = int(np.log2(node + 1)), feature[tree, node]
+            if f < 0:
+                assert level == 6 or len(rows[node]) == 1 or (rows[node] == rows[node][0]).all()
+                assert value[tree, node] == level * iforest.BILLION + iforest.whole(iforest.average_path(np.array(len(rows[node]))))
+                continue
+            right = rows[node][:, f] > threshold[tree, node]
+            assert 0 < right.sum() < len(right)
+            rows[2 * node + 1], rows[2 * node + 2] = rows[node][~right], rows[node][right]
+
+
+@pytest.mark.parametrize("n", [1, 2, 20, 21, 999])
+def test_cut_off_is_a_percentile(n):
+    s = np.random.default_rng(n).integers(-(10**9), 0, n)
+    for share in (0.01, 0.05, 0.5):
+        assert iforest.cut_off(s, share) / 1000 == pytest.approx(np.percentile(s, 100 * share), rel=1e-12)
 
 
 SMALL = anomaly.Forest(window=400, interval=100, warmup=50, trees=25, sample=64, block=2)
@@ -151,15 +209,21 @@ def test_training_windows(spark):
     assert got == {(t, v): min(v * 100, 400) for t in "AB" for v in range(1, 8)}
 
 
-def test_saved_forest_scores_alike(spark, tmp_path):
-    v = vectors(spark)
-    anomaly.save(anomaly.fit(v, SMALL), str(tmp_path / "m"))
-    models = anomaly.load(spark, str(tmp_path / "m"))
-    assert models.count() == 2 * 7 * 25
-    last = anomaly.newest(models)
-    late = v.filter("ordinal > 700")
-    a = {(r["ticker"], r["seq"]): r["score"] for r in anomaly.score_with(late, last, SMALL, chunk=20).collect()}
-    b = {(r["ticker"], r["seq"]): r["score"] for r in anomaly.score(v, SMALL).filter("version = 7").collect()}
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
-    stranger = late.filter("ticker = 'A'").withColumn("ticker", F.lit("NEW"))
+def test_saved_versions_are_valid_in_their_time(spark, tmp_path):
+    v, root = vectors(spark), str(tmp_path / "m")
+    models = anomaly.fit(v, SMALL)
+    for part in (models.filter("version <= 3"), models.filter("version in (3, 4, 7)")):  # 5 and 6 are never saved
+        anomaly.save(part, root)
+    loaded = anomaly.load(spark, root)
+    assert loaded.count() == 2 * 5 * 25
+    cols = ["version", "raw_score", "score", "is_anomaly", "warming_up"]
+    got = {(r["ticker"], r["seq"]): tuple(r[c] for c in cols) for r in anomaly.score_with(v, loaded, SMALL).collect()}
+    want = {(r["ticker"], r["seq"]): tuple(r[c] for c in cols) for r in anomaly.score(v, SMALL).collect()}
+    assert got.keys() == want.keys()
+    for (t, i), g in got.items():
+        assert g[0] == (4 if i // 100 in (5, 6) else i // 100)
+        assert i // 100 in (5, 6) or g == want[t, i]
+    last = anomaly.newest(loaded)
+    assert {r["version"] for r in anomaly.score_with(v.filter("ordinal > 700"), last, SMALL).collect()} == {7}
+    stranger = v.withColumn("ticker", F.lit("NEW"))
     assert {r["warming_up"] for r in anomaly.score_with(stranger, last, SMALL).collect()} == {True}

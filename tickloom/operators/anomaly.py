@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import iforest
 from tickloom.functions.exact import notional, ratio
 from tickloom.operators import rolling
-from tickloom.operators.ordered import over_time
+from tickloom.operators.ordered import last_known, over_time
 
 FEATURES_7D = [
     "price",
@@ -140,11 +140,25 @@ def _blocks(df: DataFrame, forest: Forest) -> GroupedData:
     return copies.repartition(parts, "ticker", "_block").groupBy("ticker", "_block")
 
 
-def _fit(x: np.ndarray, ticker: str, version: int, forest: Forest):
+def fitted(x: np.ndarray, ticker: str, version: int, forest: Forest):
+    """A version's trees, their sample size and its cut-off."""
     psi = min(forest.sample, len(x))
-    model = iforest.grow(x, forest.trees, forest.sample, iforest.seed_of(forest.seed, ticker, version))
-    offset = float(np.percentile(iforest.score(x, *model, psi), 100.0 * forest.contamination))
-    return model, psi, offset
+    model = iforest.grow(x, forest.trees, forest.sample, iforest.seed_of(ticker, forest.seed, version))
+    return model, psi, iforest.cut_off(iforest.score(x, *model, psi), forest.contamination)
+
+
+def verdicts(raw: np.ndarray, offset: int) -> dict[str, np.ndarray]:
+    """What is stored of scores in billionths under a version's cut-off."""
+    above = raw * (iforest.CUT // iforest.BILLION) - offset
+    return {
+        "raw_score": raw / float(iforest.BILLION),
+        "score": above / float(iforest.CUT),
+        "is_anomaly": above < 0,
+        "warming_up": np.zeros(len(raw), dtype=bool),
+    }
+
+
+WARMING = {"raw_score": 0.0, "score": 0.0, "is_anomaly": False, "warming_up": True}
 
 
 def _versions(pdf: pd.DataFrame, forest: Forest) -> Iterator[tuple[int, np.ndarray, pd.DataFrame]]:
@@ -161,43 +175,40 @@ def _versions(pdf: pd.DataFrame, forest: Forest) -> Iterator[tuple[int, np.ndarr
         yield v, x[lo:mid], pdf.iloc[mid:hi]
 
 
+SCORED = "version bigint, raw_score double, score double, is_anomaly boolean, warming_up boolean"
+
+
+def scored_schema(forest: Forest) -> str:
+    """What scoring gives: the row, its features, and the verdict."""
+    features = "".join(f"{c} double, " for c in forest.features)
+    return f"ticker string, ts_us bigint, seq bigint, ordinal bigint, {features}{SCORED}"
+
+
 def score(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """Fit and score in one pass.
 
-    ``df`` has ticker, ts_us, seq, ordinal and the features, and may have a boolean
-    ``emit`` that limits which rows are scored. Adds version, raw_score, score (raw_score
-    above the version's cut-off), is_anomaly and warming_up. Rows before the first fit
-    are warming up: score 0 and no anomaly.
+    ``df`` has ticker, ts_us, seq, ordinal and the features. Adds version, raw_score, score
+    (raw_score above the version's cut-off), is_anomaly and warming_up. Rows before the
+    first fit are warming up: score 0 and no anomaly.
     """
     keep = [*ID, "ordinal", *forest.features]
-    has_emit = "emit" in df.columns
-    if has_emit:
-        keep.append("emit")
-    out = "ticker string, ts_us bigint, seq bigint, ordinal bigint, " + "".join(
-        f"{c} double, " for c in forest.features
-    )
-    out += "version bigint, raw_score double, score double, is_anomaly boolean, warming_up boolean"
+    out = scored_schema(forest)
     names = [c.split()[0] for c in out.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ticker = pdf["ticker"].iloc[0]
         parts = []
         for v, train, rows in _versions(pdf, forest):
-            if has_emit:
-                rows = rows[rows["emit"]]
             if not len(rows):
                 continue
             if v == 0 or v * forest.interval < forest.warmup:
-                parts.append(rows.assign(version=v, raw_score=0.0, score=0.0, is_anomaly=False, warming_up=True))
+                parts.append(rows.assign(version=v, **WARMING))
                 continue
-            model, psi, offset = _fit(train, ticker, v, forest)
+            model, psi, offset = fitted(train, ticker, v, forest)
             raw = iforest.score(rows[list(forest.features)].to_numpy(dtype=float), *model, psi)
-            s = raw - offset
-            parts.append(rows.assign(version=v, raw_score=raw, score=s, is_anomaly=s < 0, warming_up=False))
+            parts.append(rows.assign(version=v, **verdicts(raw, offset)))
         if not parts:
-            parts = [
-                pdf.iloc[:0].assign(version=0, raw_score=0.0, score=0.0, is_anomaly=False, warming_up=True)
-            ]
+            parts = [pdf.iloc[:0].assign(version=0, **WARMING)]
         return pd.concat(parts, ignore_index=True)[names]
 
     return _blocks(df.select(*keep), forest).applyInPandas(run, out)
@@ -205,7 +216,7 @@ def score(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
 
 MODEL = (
     "ticker string, version bigint, tree int, feature array<int>, threshold array<double>, "
-    "value array<double>, psi int, offset double"
+    "value array<bigint>, psi int, offset bigint"
 )
 
 
@@ -218,22 +229,31 @@ def fit(df: DataFrame, forest: Forest = Forest()) -> DataFrame:
         for v, train, _ in _versions(pdf, forest):
             if v == 0 or v * forest.interval < forest.warmup:
                 continue
-            (f, t, val), psi, offset = _fit(train, ticker, v, forest)
+            (f, t, val), psi, offset = fitted(train, ticker, v, forest)
             rows += [(ticker, v, i, f[i], t[i], val[i], psi, offset) for i in range(len(f))]
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in MODEL.split(", ")])
-        return out.astype({"version": "int64", "tree": "int32", "psi": "int32", "offset": "float64"})
+        return out.astype({"version": "int64", "tree": "int32", "psi": "int32", "offset": "int64"})
 
     keep = ["ticker", "ordinal", *forest.features]
     return _blocks(df.select(*keep), forest).applyInPandas(run, MODEL)
 
 
+def nodes(models: DataFrame) -> DataFrame:
+    """The forests node by node, in heap order: feature (-1 at a leaf), threshold, and the
+    leaf's path length in billionths."""
+    node = F.posexplode(F.arrays_zip("feature", "threshold", "value")).alias("node", "_n")
+    rows = models.select("ticker", "version", "tree", node).select("ticker", "version", "tree", "node", "_n.*")
+    return rows.filter((F.col("feature") >= 0) | (F.col("value") > 0))
+
+
 def save(models: DataFrame, root: str) -> None:
-    """Write forests, one folder per ticker."""
+    """Add forests to the saved ones, one folder per ticker."""
     models.write.mode("append").partitionBy("ticker").parquet(root)
 
 
 def load(spark, root: str) -> DataFrame:
-    return spark.read.schema(MODEL).parquet(root)
+    """The saved forests; one saved again (it is the same one) counts once."""
+    return spark.read.schema(MODEL).parquet(root).dropDuplicates(["ticker", "version", "tree"])
 
 
 def newest(models: DataFrame) -> DataFrame:
@@ -242,38 +262,35 @@ def newest(models: DataFrame) -> DataFrame:
     return models.join(last, ["ticker", "version"])
 
 
-def score_with(
-    df: DataFrame, models: DataFrame, forest: Forest = Forest(), chunk: int = 50_000
-) -> DataFrame:
-    """Score rows with saved forests, one version per ticker.
+def score_with(df: DataFrame, models: DataFrame, forest: Forest = Forest()) -> DataFrame:
+    """Score rows with saved forests, each with the version that was valid at its ordinal.
 
-    A ticker's rows are split into ``chunk``-row groups by ordinal and the forest (100
-    small rows) goes to each of them, so no group grows with the data. Tickers without a
-    forest are warming up.
+    That is the version due before it or, where that was never saved, the newest earlier
+    one that was. Rows are grouped by the version due, so a group has ``interval`` rows at
+    most and gets one forest (100 small rows). Rows without an earlier forest are warming up.
     """
     names = list(forest.features)
-    rows = df.withColumn("_chunk", F.floor(F.col("ordinal") / chunk))
-    wanted = rows.select(F.col("ticker").alias("ticker"), F.col("_chunk").alias("_chunk")).distinct()
-    spread = wanted.join(models, "ticker")
-    out = (
-        "ticker string, ts_us bigint, seq bigint, ordinal bigint, version bigint, raw_score double, "
-        "score double, is_anomaly boolean, warming_up boolean"
-    )
+    rows = df.select(*ID, "ordinal", *names, F.floor((F.col("ordinal") - 1) / forest.interval).cast("bigint").alias("_due"))
+    # New names for both keys, as the rows they come from are on the other side of the cogroup.
+    due = rows.select(F.col("ticker").alias("ticker"), F.col("_due").alias("ts_us")).distinct()
+    held = models.select("ticker", "version").distinct()
+    held = held.select("ticker", F.col("version").alias("ts_us"), F.lit(0).alias("seq"), "version")
+    valid = last_known(due, held, value="version", bucket_s=1)  # a million versions a bucket
+    valid = valid.filter("version IS NOT NULL").select("ticker", F.col("ts_us").alias("_due"), "version")
+    spread = valid.join(models, ["ticker", "version"])
+    out = f"ticker string, ts_us bigint, seq bigint, ordinal bigint, {SCORED}"
     cols = [c.split()[0] for c in out.split(", ")]
 
     def run(pdf: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if not len(model):
-            return pdf.assign(version=0, raw_score=0.0, score=0.0, is_anomaly=False, warming_up=True)[cols]
+            return pdf.assign(version=0, **WARMING)[cols]
         model = model.sort_values("tree")
         arrays = [np.stack(model[c].to_list()) for c in ("feature", "threshold", "value")]
         raw = iforest.score(pdf[names].to_numpy(dtype=float), *arrays, int(model["psi"].iloc[0]))
-        s = raw - float(model["offset"].iloc[0])
-        return pdf.assign(
-            version=int(model["version"].iloc[0]), raw_score=raw, score=s, is_anomaly=s < 0, warming_up=False
-        )[cols]
+        return pdf.assign(version=int(model["version"].iloc[0]), **verdicts(raw, int(model["offset"].iloc[0])))[cols]
 
-    left = rows.select(*ID, "ordinal", *names, "_chunk").groupBy("ticker", "_chunk")
-    return left.cogroup(spread.groupBy("ticker", "_chunk")).applyInPandas(run, out)
+    left = rows.groupBy("ticker", "_due")
+    return left.cogroup(spread.groupBy("ticker", "_due")).applyInPandas(run, out)
 
 
 def flagged(scored: DataFrame, forest: Forest = Forest()) -> DataFrame:

@@ -37,8 +37,8 @@ def hot_buckets(
 ) -> DataFrame | None:
     """The (key, bucket) pairs with more than ``hot_rows`` rows and the width to cut them to.
 
-    At most rows/hot_rows pairs can be that full (500,000 for 10^12 rows), which bounds
-    the broadcast of this table. The width follows from the busiest of 6,000 slots of the
+    At most rows/hot_rows pairs can be that full, which bounds the broadcast of this table:
+    20 MB for 10^12 rows. Raise ``hot_rows`` with the data beyond that. The width follows from the busiest of 6,000 slots of the
     bucket, so a burst of a few seconds is cut as well as an even stream. The second count
     reads rows of full buckets only; without any, Spark drops it at run time.
     """
@@ -134,7 +134,7 @@ def over_time(
     bucket_s: int = BUCKET_S,
     hot_rows: int | None = HOT_BUCKET_ROWS,
 ) -> DataFrame:
-    """Add trailing sums and row-frame values in one shuffle.
+    """Add trailing sums and row-frame values; full rows are shuffled once.
 
     ``measures`` are summed over the closed range [t - span, t] of the key for every
     span, giving ``<measure>_<span>``. ``row_exprs`` build columns from a window ordered

@@ -46,7 +46,7 @@ def vwap_deviation(df: DataFrame, span_s: int = 300, out: str = "vwap_deviation"
 
 def _spread(frame: WindowSpec, size: str) -> Column:
     """n * sum(x^2) - sum(x)^2 of whole numbers, in integers: in doubles it would cancel
-    where values are large and close. Holds for sizes up to 10^15."""
+    where values are large and close. Holds for sizes up to 10^13 and 99,999 rows."""
     whole = F.col(size).cast("decimal(16,0)")
     n = F.count(size).over(frame).cast("decimal(5,0)")
     s = F.sum(size).over(frame).cast("decimal(18,0)")
@@ -134,7 +134,7 @@ def momentum_ago(df: DataFrame, ago_s: int = 60, out: str = "momentum", **opts)
 
 def running_vwap(df: DataFrame, out: str = "vwap", **opts) -> DataFrame:
     """VWAP of everything up to and including the current tick."""
-    t = running(df, {"_pv": notional(), "_v": F.col("size")}, **opts)
+    t = running(df, {"_pv": notional(), "_v": F.col("size").cast("decimal(38,0)")}, **opts)
     return t.select(*df.columns, ratio(F.col("_pv"), F.col("_v")).alias(out))
 
 
@@ -189,7 +189,9 @@ def latency_pressure(
 
 
 def enrich(df: DataFrame, *, spans_s: Sequence[int] = (60, 300), **opts) -> DataFrame:
-    """All per-tick metrics of the live path in one shuffle.
+    """All per-tick metrics of the live path.
+
+    Full rows are shuffled once; what buckets hand on are aggregates of slim copies.
 
     Adds vwap_1min, vwap_5min, avg_price_5min, trade_count_60s, volume_zscore, momentum.
     """

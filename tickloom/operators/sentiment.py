@@ -1,10 +1,11 @@
 """Lexicon sentiment as a Spark job.
 
-Texts are split into tokens, tokens meet the lexicon in a broadcast join, and the hits
-are summed per text before anything is shuffled. The lexicon is the caller's table:
-``token, valence (thousandths), role`` with role word, negator, booster or dampener.
-
-Of the published rule, the shift at "but" and the weight of capitals are not built.
+Texts are split into tokens with their places, tokens meet the whole lexicon in one join,
+and what is left, the hits, is gathered per text in the order of places. Negations,
+boosters, capitals and a "but" are then found among a text's hits by their places. The
+lexicon is the caller's table: ``token, valence (thousandths), role`` with role word,
+negator, booster or dampener. A token listed several times as a word has its largest
+valence.
 """
 
 from __future__ import annotations
@@ -14,13 +15,20 @@ from pyspark.sql import functions as F
 
 # Fixed values of the published scoring rule (Hutto & Gilbert 2014): the factor of a
 # negation in thousandths; in millionths the shifts of a booster one, two and three words
-# back, and the emphasis of each of up to four "!", of two or three "?", and of more "?".
+# back, those of one in capitals on top, the weight of a word in capitals, and the emphasis
+# of each of up to four "!", of two or three "?", and of more "?"; the word that halves what
+# stands before it and adds half to what stands behind.
 NEGATION_FACTOR = -740
 BOOSTER_SHIFTS = (293_000, 278_350, 263_700)
+CAPITAL_SHIFTS = (733_000, 696_350, 659_700)
+CAPITALS = 733_000
 EXCLAMATION, EXCLAMATIONS = 292_000, 4
 QUESTION, QUESTIONS, MANY_QUESTIONS = 180_000, 3, 960_000
+CONTRAST, BEFORE_CONTRAST, AFTER_CONTRAST = "but", 1, 3
 ALPHA = 15
 LOOK_BACK = len(BOOSTER_SHIFTS)
+#: Sums are of halves of a millionth, so that halving keeps them whole.
+HALVES = 2
 
 
 def join_text(
@@ -40,13 +48,18 @@ def news_text(df: DataFrame, summary_chars: int | None = None) -> DataFrame:
     return df.withColumn("text", join_text(summary_chars=summary_chars)).filter(F.col("text") != "")
 
 
-def tokens(text: Column | str) -> Column:
-    """Words in lower case; an apostrophe within a word belongs to it."""
+def spelled(text: Column | str) -> Column:
+    """The words of a text as written; an apostrophe within a word belongs to it."""
     t = F.col(text) if isinstance(text, str) else text
-    words = F.split(F.replace(F.lower(t), F.lit("\u2019"), F.lit("'")), r"[^\p{L}']+")
+    words = F.split(F.replace(t, F.lit("\u2019"), F.lit("'")), r"[^\p{L}']+")
     return F.array_remove(F.transform(words, lambda w: F.trim(w, F.lit("'"))), "")
 
 
+def shouted(word: Column) -> Column:
+    """Is a word in capitals?"""
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
 def emphasis(text: Column | str) -> Column:
     """What exclamation and question marks add to a text's score, in millionths."""
     t = F.col(text) if isinstance(text, str) else text
@@ -55,6 +68,41 @@ def emphasis(text: Column | str) -> Column:
     return (F.least(shouts, F.lit(EXCLAMATIONS)) * EXCLAMATION + asked).cast("bigint")
 
 
+def by_token(lexicon: DataFrame) -> DataFrame:
+    """One row per token: valence if it is a word, whether it negates, and its lift."""
+    role = F.col("role")
+    lift = F.when(role == "booster", 1).when(role == "dampener", -1)
+    return lexicon.groupBy("token").agg(
+        F.max(F.when(role == "word", F.col("valence"))).alias("valence"),
+        F.bool_or(role == "negator").alias("neg"),
+        F.coalesce(F.max(lift), F.lit(0)).alias("lift"),
+    )
+
+
+def _charge(hits: Column, x: Column, i: Column, mixed: Column, contrast: Column) -> Column:
+    """What the hit ``x``, the i-th of its text, adds to the score, in halves of a millionth.
+
+    Hits have places of their own, so the three words before one are among the three hits
+    before it, if they are hits at all.
+    """
+    side = F.signum(x["valence"]).cast("bigint")
+    shift = F.when(x["caps"] & mixed, CAPITALS).otherwise(0).cast("bigint")
+    negated = F.lit(False)
+    for back in range(1, LOOK_BACK + 1):
+        earlier = F.get(hits, i - back)
+        gap = x["at"] - earlier["at"]
+        near = F.coalesce(gap <= LOOK_BACK, F.lit(False))
+        negated = negated | (near & earlier["neg"])
+        for k, (lift, capital) in enumerate(zip(BOOSTER_SHIFTS, CAPITAL_SHIFTS, strict=True), 1):
+            loud = F.when(earlier["caps"] & mixed, capital).otherwise(0)
+            shift = shift + F.when((gap == k) & (earlier["lift"] != 0), earlier["lift"] * lift + loud).otherwise(0)
+    charge = x["valence"] * 1000 + side * shift
+    # All the products are whole thousands.
+    charge = F.call_function("div", charge * F.when(negated, NEGATION_FACTOR).otherwise(1000), F.lit(1000))
+    weight = F.when(x["at"] < contrast, BEFORE_CONTRAST).when(x["at"] > contrast, AFTER_CONTRAST).otherwise(HALVES)
+    return charge * weight
+
+
 def score(
     df: DataFrame,
     lexicon: DataFrame,
@@ -64,76 +112,77 @@ def score(
 ) -> DataFrame:
     """Score ``text``: keys, carry, n_tokens, n_hits, raw_score, compound, positive, neutral, negative.
 
-    ``keys`` identify a text (dedupe first); ``carry`` columns ride along. Scores are
-    integers (millionths) until the last step, so they do not depend on row order.
-    How the lexicon is joined is left to adaptive execution: each token carries the words
-    before it, so rows are small either way.
+    ``keys`` identify a text (dedupe first); ``carry`` columns ride along. Scores are whole
+    halves of a millionth until the last step, so they do not depend on row order. How the
+    lexicon is joined is left to adaptive execution. A text's rows come from one map task,
+    which gathers them before the one shuffle.
     """
-    words = lexicon.filter(F.col("role") == "word").select("token", "valence")
-    lift = F.when(F.col("role") == "booster", 1).when(F.col("role") == "dampener", -1)
-    modifiers = lexicon.filter(F.col("role") != "word").groupBy("token").agg(
-        F.bool_or(F.col("role") == "negator").alias("neg"), F.coalesce(F.max(lift), F.lit(0)).alias("lift")
+    words = F.col("_words")
+    read = df.select(
+        *keys,
+        *carry,
+        spelled("text").alias("_words"),
+        emphasis("text").alias("_emphasis"),
     )
-
-    # One row per token with the words before it, plus one without a token so that texts
-    # without hits stay. Tokens outside the lexicon are dropped right after the first join,
-    # so the rest works on hits only.
-    toks = F.col("_toks")
-
-    def before(token: Column, at: Column) -> Column:
-        return F.struct(token.alias("token"), *[F.get(toks, at - i).alias(f"p{i}") for i in range(1, LOOK_BACK + 1)])
-
-    t = (
-        df.select(*keys, *carry, tokens("text").alias("_toks"), emphasis("text").alias("_emphasis"))
-        .select(
-            *keys,
-            *carry,
-            F.size(toks).cast("bigint").alias("_size"),
-            "_emphasis",
-            F.explode(F.transform(F.concat(toks, F.array(F.lit(None).cast("string"))), before)).alias("_t"),
-        )
-        .select(*keys, *carry, "_size", "_emphasis", "_t.*")
-        .join(words, "token", "left")
-        .filter(F.col("valence").isNotNull() | F.col("token").isNull())
-        .select(
-            *keys,
-            *carry,
-            F.when(F.col("token").isNull(), F.col("_size")).alias("n_tokens"),
-            F.when(F.col("token").isNull(), F.col("_emphasis")).alias("_emphasis"),
-            "valence",
-            *[f"p{i}" for i in range(1, LOOK_BACK + 1)],
-        )
+    loud = F.size(F.filter(words, shouted))
+    counted = read.select(
+        *keys,
+        *carry,
+        F.size(words).cast("bigint").alias("n_tokens"),
+        ((loud > 0) & (loud < F.size(words))).alias("_mixed"),
+        "_emphasis",
+        "_words",
+    )
+    # Counted before, so that no token's row carries all the words.
+    one = counted.select(*keys, *carry, "n_tokens", "_mixed", "_emphasis", F.posexplode_outer(words).alias("_at", "_word"))
+    token = F.lower("_word")
+    known = by_token(lexicon).withColumnRenamed("token", "_token")
+    # The first token of each text stays, whatever it is, so that texts without hits do too.
+    rows = one.join(known, token == F.col("_token"), "left").select(
+        *keys,
+        *carry,
+        "n_tokens",
+        "_mixed",
+        "_emphasis",
+        "_at",
+        "valence",
+        (F.coalesce("neg", F.lit(False)) | F.coalesce(token.endswith("n't"), F.lit(False))).alias("neg"),
+        F.coalesce("lift", F.lit(0)).cast("bigint").alias("lift"),
+        F.coalesce(shouted(F.col("_word")), F.lit(False)).alias("caps"),
+        F.when(token == CONTRAST, F.col("_at")).alias("_contrast"),
     )
-    for i in range(1, LOOK_BACK + 1):
-        mark = modifiers.select(F.col("token").alias(f"p{i}"), F.col("neg").alias(f"neg{i}"), F.col("lift").alias(f"lift{i}"))
-        t = t.join(mark, f"p{i}", "left")
+    hit = F.col("valence").isNotNull() | F.col("neg") | (F.col("lift") != 0)
+    first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+    rows = rows.filter(hit | first | F.col("_contrast").isNotNull())
+    found = F.when(hit, F.struct(F.col("_at").alias("at"), "valence", "neg", "lift", "caps"))
+    texts = rows.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in (*carry, "n_tokens", "_mixed", "_emphasis")],
+        F.min("_contrast").alias("_contrast"),
+        F.sort_array(F.collect_list(found)).alias("_hits"),
+    )
+    hits = F.col("_hits")
+    charged = F.transform(hits, lambda x, i: _charge(hits, x, i, F.col("_mixed"), F.col("_contrast")))
+    zero, point = F.lit(0).cast("bigint"), HALVES * 1_000_000
 
-    steps = range(1, LOOK_BACK + 1)
-    negated = F.lit(False)
-    shift = F.lit(0).cast("bigint")
-    for i in steps:
-        listed, contracted = F.col(f"neg{i}"), F.col(f"p{i}").endswith("n't")
-        negated = negated | F.coalesce(listed, F.lit(False)) | F.coalesce(contracted, F.lit(False))
-        shift = shift + F.coalesce(F.col(f"lift{i}"), F.lit(0)) * BOOSTER_SHIFTS[i - 1]
-    charge = F.col("valence") * 1000 + F.signum("valence").cast("bigint") * shift
-    # All the products are whole thousands.
-    micro = F.call_function("div", charge * F.when(negated, NEGATION_FACTOR).otherwise(1000), F.lit(1000))
-    t = t.select(*keys, *carry, "n_tokens", "_emphasis", micro.alias("_m"))
-
-    m, zero = F.col("_m"), F.lit(0).cast("bigint")
-    agg = t.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in carry],
-        F.sum("n_tokens").alias("n_tokens"),
-        F.count("_m").alias("n_hits"),
-        F.coalesce(F.sum("_m"), zero).alias("_sum"),
-        F.coalesce(F.sum("_emphasis"), zero).alias("_e"),
-        # Shares weigh each hit by its valence plus one, and each other token by one.
-        F.coalesce(F.sum(F.when(m > 0, m + 1_000_000)), zero).alias("_pos"),
-        F.coalesce(F.sum(F.when(m < 0, 1_000_000 - m)), zero).alias("_neg"),
-        F.count(F.when(m != 0, 1)).alias("_charged"),
+    def total(of) -> Column:
+        return F.aggregate("_charges", zero, lambda a, m: a + F.coalesce(of(m), zero))
+
+    # Shares weigh each hit by its charge plus one, and each other token by one.
+    sums = texts.select(
+        *keys, *carry, "n_tokens", (F.col("_emphasis") * HALVES).alias("_e"), F.filter(charged, lambda m: m.isNotNull()).alias("_charges")
+    ).select(
+        *keys,
+        *carry,
+        "n_tokens",
+        F.size("_charges").cast("bigint").alias("n_hits"),
+        "_e",
+        total(lambda m: m).alias("_sum"),
+        total(lambda m: F.when(m > 0, m + point)).alias("_pos"),
+        total(lambda m: F.when(m < 0, point - m)).alias("_neg"),
+        total(lambda m: F.when(m != 0, F.lit(1).cast("bigint"))).alias("_charged"),
     )
     e, pos, neg = F.col("_e"), F.col("_pos"), F.col("_neg")
-    agg = agg.select(
+    sums = sums.select(
         *keys,
         *carry,
         "n_tokens",
@@ -144,19 +193,19 @@ def score(
         (neg + F.when(neg > pos, e).otherwise(zero)).alias("_neg"),
     )
     s = F.col("raw_score").cast("double")
-    neu = (F.col("n_tokens") - F.col("_charged")) * 1_000_000
-    total = (F.col("_pos") + F.col("_neg") + neu).cast("double")
+    neu = (F.col("n_tokens") - F.col("_charged")) * point
+    whole = (F.col("_pos") + F.col("_neg") + neu).cast("double")
 
     def share(x: Column) -> Column:
-        return F.when(total > 0, x.cast("double") / total).otherwise(F.lit(0.0))
+        return F.when(whole > 0, x.cast("double") / whole).otherwise(F.lit(0.0))
 
-    return agg.select(
+    return sums.select(
         *keys,
         *carry,
         "n_tokens",
         "n_hits",
         "raw_score",
-        (s / F.sqrt(s * s + float(ALPHA) * 1e12)).alias("compound"),
+        (s / F.sqrt(s * s + float(ALPHA * point * point))).alias("compound"),
         share(F.col("_pos")).alias("positive"),
         share(neu).alias("neutral"),
         share(F.col("_neg")).alias("negative"),

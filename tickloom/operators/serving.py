@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.rules import sentiment_label, timestamp
+from tickloom.functions.rules import sentiment_label
 from tickloom.operators import keyed
 
 
@@ -94,14 +94,18 @@ def sentiment(
 
 
 def sentiment_summary(df: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Articles by label, mean compound and strong links per ticker."""
+    """Articles by label, mean compound and strong links per ticker.
+
+    The mean is of compounds rounded to billionths (halves up), which are summed as whole
+    numbers, so it does not depend on the order of rows.
+    """
     label = sentiment_label("compound", inclusive)
     strong = F.col("correlation_strength") == "strong" if "correlation_strength" in df.columns else F.lit(False)
     return df.groupBy("ticker").agg(
         F.count_if(label == "positive").alias("positive"),
         F.count_if(label == "neutral").alias("neutral"),
         F.count_if(label == "negative").alias("negative"),
-        (F.sum(F.col("compound").cast("decimal(20,18)")).cast("double") / F.count("*")).alias("avg_compound"),
+        (F.sum(F.floor(F.col("compound") * 1e9 + 0.5)).cast("double") / F.count("*") / 1e9).alias("avg_compound"),
         F.count_if(strong).alias("strong_correlations"),
     )
 
@@ -140,8 +144,3 @@ def prices(df: DataFrame, tickers: DataFrame, static: Mapping[str, tuple[float,
             F.when(live, "live").when(F.col("s_price").isNotNull(), "static").otherwise("default").alias("origin"),
         )
     )
-
-
-def with_times(df: DataFrame) -> DataFrame:
-    """``ts_us`` as a timestamp column as well, for readers that want one."""
-    return df.withColumn("ts", timestamp())

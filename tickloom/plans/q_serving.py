@@ -106,7 +106,7 @@ def sentiment_latest_n(spark, d):
     sql(
         "signals",
         """SELECT ticker, count(*) FILTER (compound >= 0.05) AS positive, count(*) FILTER (abs(compound) < 0.05) AS neutral,
-       count(*) FILTER (compound <= -0.05) AS negative, sum(compound::DECIMAL(20,18))::DOUBLE / count(*) AS avg_compound,
+       count(*) FILTER (compound <= -0.05) AS negative, sum(floor(compound * 1e9 + 0.5)::BIGINT)::DOUBLE / count(*) / 1e9 AS avg_compound,
        count(*) FILTER (correlation_strength = 'strong') AS strong_correlations
 FROM signals GROUP BY ticker""",
     )

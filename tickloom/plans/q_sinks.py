@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickloom.functions import rules
@@ -12,6 +14,11 @@ from tickloom.session import shared_folder
 from tickloom.sources import adapters as src
 from tickloom.sources import readers, schemas, sinks
 
+def _name(prefix: str) -> str:
+    """A fresh name in the catalogue."""
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 _BROKEN = "['price', 'ticker', 'timestamp', 'event_type', 'json'][(seq // 50) % 5 + 1]"
 _DATED = """strftime(make_timestamp(ts_us), '%Y') AS year, strftime(make_timestamp(ts_us), '%m') AS month,
        strftime(make_timestamp(ts_us), '%d') AS day, strftime(make_timestamp(ts_us), '%H') AS hour"""
@@ -35,7 +42,14 @@ def archive_scan_hour(spark, d):
 
 @query(sql("ticks", f"SELECT year, month, day, hour, count(*) AS n FROM (SELECT {_DATED} FROM ticks) GROUP BY ALL"))
 def archive_partitions(spark, d):
-    return sinks.dated(src.ticks(spark, d)).groupBy(*sinks.HOUR_PARTS).agg(F.count("*").alias("n"))
+    """Rows per hour of an archive that is a table of the catalogue."""
+    root, table = shared_folder(spark, "archive"), _name("archive")
+    sinks.write_archive(src.ticks(spark, d), root)
+    sinks.register(spark, table, root, schemas.TICK)
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(
+        *[F.regexp_extract("partition", f"{p}=([^/]+)", 1).alias(p) for p in sinks.HOUR_PARTS]
+    )
+    return listed.join(spark.table(table).groupBy(*sinks.HOUR_PARTS).agg(F.count("*").alias("n")), sinks.HOUR_PARTS, "left")
 
 
 @query(sql("ticks", "SELECT ticker, ts_us, seq, price, size FROM ticks WHERE seq % 3 <> 0"))
@@ -73,23 +87,18 @@ def upsert_latest(spark, d):
 @query(
     sql(
         "ticks",
-        """SELECT ticker, min(ts_us) AS first_us, max(ts_us) AS last_us, count(*) AS n, sum(price) AS price_sum
-FROM (SELECT ticker, ts_us, CASE WHEN seq % 5 = 0 THEN price + 1 ELSE price END AS price FROM ticks) GROUP BY ticker""",
+        """SELECT ticker, ts_us, seq, CASE WHEN seq % 5 = 0 THEN price + 1 ELSE price END AS price,
+       CASE WHEN seq % 5 = 0 THEN 2 ELSE 1 END::INTEGER AS version FROM ticks""",
     )
 )
 def upsert_table(spark, d):
-    """Two bulk puts into a day-partitioned table, and its content afterwards."""
-    root = shared_folder(spark, "quotes")
+    """Two bulk puts into a table of days, and its rows afterwards."""
+    root, table = shared_folder(spark, "quotes"), _name("quotes")
     t = src.ticks(spark, d).select("ticker", "ts_us", "seq", "price").withColumn("version", F.lit(1))
-    sinks.upsert(t, root, ["ticker", "ts_us", "seq"], ["version"])
+    sinks.upsert(t, table, root, ["ticker", "ts_us", "seq"], ["version"])
     again = t.filter(F.col("seq") % 5 == 0).withColumn("price", F.col("price") + 1).withColumn("version", F.lit(2))
-    sinks.upsert(again, root, ["ticker", "ts_us", "seq"], ["version"])
-    return spark.read.parquet(root).groupBy("ticker").agg(
-        F.min("ts_us").alias("first_us"),
-        F.max("ts_us").alias("last_us"),
-        F.count("*").alias("n"),
-        F.sum("price").alias("price_sum"),
-    )
+    sinks.upsert(again, table, root, ["ticker", "ts_us", "seq"], ["version"])
+    return spark.table(table).drop(*sinks.DAY_PARTS)
 
 
 @query(sql("ticks", "SELECT ticker, count(*) AS n, count(DISTINCT seq) AS distinct_n FROM ticks GROUP BY ticker"))
@@ -107,19 +116,46 @@ def append_new_table(spark, d):
     sql(
         "enriched",
         """SELECT ticker || '#' || strftime(make_timestamp(ts_us), '%Y-%m-%d-%H') AS pk, ts_us, price, size::DOUBLE AS volume,
-       vwap_5min, volume_zscore, momentum, trade_count_60s::DOUBLE AS trade_frequency, ts_us // 1000000 + 604800 AS ttl FROM enriched""",
+       vwap_5min, volume_zscore, momentum, trade_count_60s::DOUBLE AS trade_frequency, ts_us // 1000000 + 604800 AS ttl,
+       seq, CASE WHEN seq % 3 = 1 THEN 1 ELSE 2 END::INTEGER AS version FROM enriched""",
     )
 )
 def feature_rows(spark, d):
-    """Feature maps under their hour key, shown as columns."""
+    """Feature maps put under their hour key twice, shown as columns: a third of the rows
+    comes right at once, the others with a price of 0 at first, and both again."""
     e = rolling.enrich(src.ticks(spark, d))
     names = ["price", "volume", "vwap_5min", "volume_zscore", "momentum", "trade_frequency"]
     values = ["price", "size", "vwap_5min", "volume_zscore", "momentum", "trade_count_60s"]
     m = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(v).cast("double") for v in values]))
-    rows = e.select(
-        rules.hour_bucket_key().alias("pk"), "ts_us", m.alias("features"), rules.expires_at("features").alias("ttl")
-    )
-    return rows.select("pk", "ts_us", *[F.element_at("features", n).alias(n) for n in names], "ttl")
+    root, table = shared_folder(spark, "features"), _name("features")
+    right = F.col("seq") % 3 == 1
+    for version in (1, 2):
+        stale = F.map_concat(F.map_filter("features", lambda k, _: k != "price"), F.create_map(F.lit("price"), F.lit(0.0)))
+        rows = e.select(
+            rules.hour_bucket_key().alias("pk"),
+            "ts_us",
+            "seq",
+            m.alias("features"),
+            rules.expires_at("features").alias("ttl"),
+            F.when(right, 1).otherwise(version).alias("version"),
+        )
+        if version == 1:
+            rows = rows.withColumn("features", F.when(right, F.col("features")).otherwise(stale))
+        sinks.upsert(rows, table, root, ["pk", "ts_us", "seq"], ["version"])
+    return spark.table(table).select("pk", "ts_us", *[F.element_at("features", n).alias(n) for n in names], "ttl", "seq", "version")
+
+
+# A broken message as text, and its dead letter.
+_LETTER_TICKER = "CASE WHEN f = 'ticker' THEN lower(ticker) ELSE ticker END"
+_LETTERS = f"""(SELECT *, '{{"ticker":"' || {_LETTER_TICKER} || '","price":' || (CASE WHEN f = 'price' THEN -price ELSE price END)::VARCHAR
+         || ',"volume":' || size || ',"timestamp":"' || CASE WHEN f = 'timestamp' THEN 'yesterday' ELSE strftime(make_timestamp(ts_us), '%Y-%m-%dT%H:%M:%S.%fZ') END
+         || '","event_type":"' || CASE WHEN f = 'event_type' THEN 'halt' ELSE 'trade' END || '","sequence_number":' || seq || '}}' AS message
+      FROM (SELECT *, {_BROKEN} AS f FROM ticks WHERE seq % 50 = 0))"""
+_REASON = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in validate.REASONS.items())
+_LETTER = f"""CASE WHEN f = 'json' THEN message[1:length(message) - 7] ELSE message END AS original_message, CASE f {_REASON} END AS error_reason,
+       CASE WHEN f = 'json' THEN 'JsonError' ELSE 'ValidationError' END AS error_type, 'market.trades' AS topic, seq AS "offset",
+       (seq % 6)::INT AS "partition", {_LETTER_TICKER} AS ticker, 0::INT AS retry_count, ts_us + 1000000 AS first_failed_us,
+       ts_us + 1000000 AS last_failed_us, CASE WHEN f = 'json' THEN 'main' ELSE 'validation' END AS queue"""
 
 
 def _letters(spark, d):
@@ -136,19 +172,14 @@ def _letters(spark, d):
 @query(
     sql(
         "ticks",
-        f"""SELECT seq AS "offset", CASE WHEN f = 'json' THEN 'JsonError' ELSE 'ValidationError' END AS error_type,
-       (seq % 6)::INT AS "partition", 0::INT AS retry_count, ts_us + 1000000 AS first_failed_us, ts_us + 1000000 AS last_failed_us,
-       CASE WHEN f = 'json' THEN 'main' ELSE 'validation' END AS queue
-FROM (SELECT *, {_BROKEN} AS f FROM ticks WHERE seq % 50 = 0)""",
+        f"""SELECT {_LETTER} FROM {_LETTERS}""",
     )
 )
 def dlq_validation(spark, d):
     """Dead letters as stored in the queue folders."""
     root = shared_folder(spark, "dead-letters")
     sinks.write_dead_letters(_letters(spark, d), root)
-    return spark.read.schema(schemas.DEAD_LETTER + ", queue string").parquet(root).drop(
-        "original_message", "error_reason", "topic", "ticker"
-    )
+    return spark.read.schema(schemas.DEAD_LETTER + ", queue string").parquet(root)
 
 
 @query(
@@ -165,23 +196,17 @@ def dlq_depth(spark, d):
 @query(
     sql(
         "ticks",
-        """SELECT seq AS "offset", strftime(make_timestamp(ts_us + 1000000), '%Y') AS year, strftime(make_timestamp(ts_us + 1000000), '%m') AS month,
-       strftime(make_timestamp(ts_us + 1000000), '%d') AS day,
-       (CASE (seq // 50) % 5 WHEN 4 THEN 'part' WHEN 1 THEN lower(ticker) ELSE ticker END) || '_' || (ts_us + 1000000) // 1000000 AS name
-FROM ticks WHERE seq % 50 = 0""",
+        f"""SELECT {_LETTER}, strftime(make_timestamp(ts_us + 1000000), '%Y') AS year, strftime(make_timestamp(ts_us + 1000000), '%m') AS month,
+       strftime(make_timestamp(ts_us + 1000000), '%d') AS day, {_LETTER_TICKER} || '_' || (ts_us + 1000000) // 1000000 AS name
+FROM {_LETTERS}""",
     )
 )
 def dlq_archive(spark, d):
-    """Folder and name of each archived dead letter (the ticker of a cut message is still readable)."""
-    rows = deadletter.archive_rows(_letters(spark, d))
-    cut = F.col("error_type") == "JsonError"
-    return rows.select(
-        "offset",
-        "year",
-        "month",
-        "day",
-        F.when(cut, F.concat(F.lit("part_"), F.substring_index("name", "_", -1))).otherwise(F.col("name")).alias("name"),
-    )
+    """Dead letters as read back from their JSON archive by day."""
+    root = shared_folder(spark, "dead-archive")
+    sinks.archive_dead_letters(_letters(spark, d), root)
+    kept = schemas.DEAD_LETTER + ", queue string, name string, year string, month string, day string"
+    return spark.read.schema(kept).json(root)
 
 
 @query(

@@ -29,46 +29,52 @@ _VIEWS = {
   SELECT *, concat_ws(' ', nullif(trim(headline, ' '), ''), nullif(trim(summary, ' '), '')) AS text
   FROM news)""",
     "scored": """toks0 AS (
-  SELECT id, list_filter(list_transform(regexp_split_to_array(replace(lower(text), '\u2019', ''''), '[^\\p{L}'']+'), lambda x: trim(x, '''')), lambda x: x <> '') AS ts,
+  SELECT id, list_filter(list_transform(regexp_split_to_array(replace(text, '\u2019', ''''), '[^\\p{L}'']+'), lambda x: trim(x, '''')), lambda x: x <> '') AS ts,
          least(length(text) - length(replace(text, '!', '')), 4) * 292000::BIGINT
            + CASE WHEN q > 3 THEN 960000 WHEN q > 1 THEN q * 180000 ELSE 0 END AS e
   FROM (SELECT *, length(text) - length(replace(text, '?', '')) AS q FROM texts) WHERE text <> ''),
-toks AS (SELECT id, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM toks0),
+toks AS (SELECT id, lower(w) AS token, w = upper(w) AND w <> lower(w) AS caps, pos
+  FROM (SELECT id, unnest(ts) AS w, generate_subscripts(ts, 1) AS pos FROM toks0)),
+shape AS (
+  SELECT id, count(*) FILTER (caps) BETWEEN 1 AND count(*) - 1 AS mixed, min(pos) FILTER (token = 'but') AS turn FROM toks GROUP BY id),
 ctx AS (
-  SELECT id, token, pos,
-         lag(token, 1) OVER w AS p1, lag(token, 2) OVER w AS p2, lag(token, 3) OVER w AS p3
-  FROM toks WINDOW w AS (PARTITION BY id ORDER BY pos)),
+  SELECT id, token, pos, caps AND mixed AS loud, turn,
+         lag(token, 1) OVER w AS p1, lag(token, 2) OVER w AS p2, lag(token, 3) OVER w AS p3,
+         lag(caps AND mixed, 1) OVER w AS c1, lag(caps AND mixed, 2) OVER w AS c2, lag(caps AND mixed, 3) OVER w AS c3
+  FROM toks JOIN shape USING (id) WINDOW w AS (PARTITION BY id ORDER BY pos)),
 hits AS (
   SELECT id, CASE WHEN v IS NULL THEN NULL ELSE
-           (v * 1000 + sign(v)::BIGINT * (
-              CASE p1 WHEN 'by' THEN 293000 WHEN 'for' THEN -293000 ELSE 0 END
-              + CASE p2 WHEN 'by' THEN 278350 WHEN 'for' THEN -278350 ELSE 0 END
-              + CASE p3 WHEN 'by' THEN 263700 WHEN 'for' THEN -263700 ELSE 0 END))
-           * CASE WHEN regexp_matches(concat_ws(' ', p1, p2, p3), '(^| )(is|[^ ]*n''t)( |$)') THEN -740 ELSE 1000 END // 1000 END AS m
+           (v * 1000 + sign(v)::BIGINT * (CASE WHEN loud THEN 733000 ELSE 0 END
+              + CASE p1 WHEN 'by' THEN 293000 WHEN 'for' THEN -293000 ELSE 0 END + CASE WHEN c1 AND p1 IN ('by', 'for') THEN 733000 ELSE 0 END
+              + CASE p2 WHEN 'by' THEN 278350 WHEN 'for' THEN -278350 ELSE 0 END + CASE WHEN c2 AND p2 IN ('by', 'for') THEN 696350 ELSE 0 END
+              + CASE p3 WHEN 'by' THEN 263700 WHEN 'for' THEN -263700 ELSE 0 END + CASE WHEN c3 AND p3 IN ('by', 'for') THEN 659700 ELSE 0 END))
+           * CASE WHEN regexp_matches(concat_ws(' ', p1, p2, p3), '(^| )(is|[^ ]*n''t)( |$)') THEN -740 ELSE 1000 END // 1000
+           * CASE WHEN pos < turn THEN 1 WHEN pos > turn THEN 3 ELSE 2 END END AS m
   FROM (SELECT *, CASE token WHEN 'that' THEN 1500::BIGINT WHEN 'was' THEN -1200 WHEN 'with' THEN 800
                              WHEN 'from' THEN -900 END AS v FROM ctx)),
 plain AS (
   SELECT id, count(*) AS n_tokens, count(m) AS n_hits, coalesce(sum(m), 0)::BIGINT AS raw,
-         coalesce(sum(m + 1000000) FILTER (m > 0), 0)::BIGINT AS p0,
-         coalesce(sum(1000000 - m) FILTER (m < 0), 0)::BIGINT AS n0,
-         ((count(*) FILTER (m IS NULL OR m = 0)) * 1000000)::DOUBLE AS us
+         coalesce(sum(m + 2000000) FILTER (m > 0), 0)::BIGINT AS p0,
+         coalesce(sum(2000000 - m) FILTER (m < 0), 0)::BIGINT AS n0,
+         ((count(*) FILTER (m IS NULL OR m = 0)) * 2000000)::DOUBLE AS us
   FROM hits GROUP BY id),
 sums AS (
-  SELECT id, n_tokens, n_hits, raw + sign(raw)::BIGINT * e AS raw_score, us,
-         (p0 + CASE WHEN p0 > n0 THEN e ELSE 0 END)::DOUBLE AS ps, (n0 + CASE WHEN n0 > p0 THEN e ELSE 0 END)::DOUBLE AS ns
+  SELECT id, n_tokens, n_hits, raw + sign(raw)::BIGINT * 2 * e AS raw_score, us,
+         (p0 + CASE WHEN p0 > n0 THEN 2 * e ELSE 0 END)::DOUBLE AS ps, (n0 + CASE WHEN n0 > p0 THEN 2 * e ELSE 0 END)::DOUBLE AS ns
   FROM plain JOIN toks0 USING (id)),
 scored AS (
   SELECT t.id, t.ticker, t.ts_us, t.source, t.headline, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_hits, 0) AS n_hits,
          coalesce(raw_score, 0) AS raw_score,
-         coalesce(raw_score::DOUBLE / sqrt(raw_score::DOUBLE * raw_score::DOUBLE + 15.0::DOUBLE * 1e12), 0) AS compound,
+         coalesce(raw_score::DOUBLE / sqrt(raw_score::DOUBLE * raw_score::DOUBLE + 15.0::DOUBLE * 4e12), 0) AS compound,
          coalesce(ps / (ps + ns + us), 0) AS positive, coalesce(us / (ps + ns + us), 0) AS neutral,
          coalesce(ns / (ps + ns + us), 0) AS negative
   FROM texts t LEFT JOIN sums USING (id) WHERE t.text <> '')""",
     "zprior": """zprior AS (
   SELECT *, CASE WHEN n = 0 THEN 0.0 WHEN mn = mx THEN sign(size - mn)::DOUBLE
-            ELSE ((n * x - s) / n) / sqrt((n * ss - s * s) / (n * (n - 1.0))) END AS volume_zscore
+            ELSE ((n * x - s) / n) / sqrt(spread / (n * (n - 1.0))) END AS volume_zscore
   FROM (SELECT *, size::DOUBLE AS x, (count(size) OVER w)::DOUBLE AS n, (sum(size) OVER w)::DOUBLE AS s,
-               (sum(size * size) OVER w)::DOUBLE AS ss, min(size) OVER w AS mn, max(size) OVER w AS mx
+               ((count(size) OVER w) * (sum(size::HUGEINT * size) OVER w) - (sum(size) OVER w) * (sum(size) OVER w))::DOUBLE AS spread,
+               min(size) OVER w AS mn, max(size) OVER w AS mx
         FROM ticks
         WINDOW w AS (PARTITION BY ticker ORDER BY ts_us, seq ROWS BETWEEN 19 PRECEDING AND 1 PRECEDING)))""",
     "enriched": """enriched AS (

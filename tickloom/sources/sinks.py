@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -77,25 +78,36 @@ def append_new(
 
 
 def upsert(
-    incoming: DataFrame, root: str, keys: Sequence[str], version: Sequence[str], ts: str = "ts_us"
+    incoming: DataFrame, table: str, root: str, keys: Sequence[str], version: Sequence[str], ts: str = "ts_us"
 ) -> None:
-    """Put rows, the highest version per key wins. Only the days of the batch are rewritten.
+    """Put rows into a catalogue table of days, the highest version per key wins.
 
-    A key's rows must be of one day; put the time or the day into the key.
+    Only the days of the batch are rewritten, and into a new folder below ``root``; the
+    table's days are then pointed to it one by one. Whatever fails before that leaves the
+    table as it was, and a batch that failed in between is finished by putting it again.
+    Folders that no day points to any more may be removed once no reader needs them. A
+    key's rows must be of one day; put the time or the day into the key.
     """
     spark = incoming.sparkSession
     new = dated(incoming, DAY_PARTS, ts)
-    old = existing(spark, root, new.schema)
-    if old is not None:
-        days = new.select(*DAY_PARTS).distinct()
-        new = old.join(days, DAY_PARTS, "left_semi").unionByName(new)
-    (
-        keep_last(new, list(keys), list(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*DAY_PARTS)
-        .parquet(root)
-    )
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(DAY_PARTS)}) LOCATION '{root}/days'")
+    days = new.select(*DAY_PARTS).distinct()
+    old = spark.table(table).select(*new.columns).join(days, DAY_PARTS, "left_semi")
+    staged = f"{root}/puts/{uuid.uuid4().hex[:12]}"
+    keep_last(old.unionByName(new), list(keys), list(version)).write.partitionBy(*DAY_PARTS).parquet(staged)
+    _switch(spark, table, staged, days.orderBy(*DAY_PARTS).collect())  # a row a day
+
+
+def _switch(spark: SparkSession, table: str, staged: str, days: Sequence[Row]) -> None:
+    """Point days of a table to staged folders."""
+    for day in days:
+        spec = ", ".join(f"{p} = '{day[p]}'" for p in DAY_PARTS)
+        folder = staged + "".join(f"/{p}={day[p]}" for p in DAY_PARTS)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
 
 
 def write_dead_letters(letters: DataFrame, root: str) -> None:

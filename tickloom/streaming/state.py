@@ -1,11 +1,14 @@
-"""Per-ticker state for live enrichment.
+"""Per-ticker state of the stateful steps.
 
-One list of recent ticks per ticker: those of the longest span, and at least the rows a
-z-score looks back on. Each micro-batch of a ticker is enriched as arrays.
+``EnrichTicks`` keeps a list of recent ticks: those of the longest span, and at least the
+rows a z-score looks back on. Each micro-batch of a ticker is enriched as arrays.
+``ScoreAnomalies`` holds a ticker's forest until the next one is due, ``AsOf`` the newest
+value of each second until no article can ask for it any more.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import Any
 
@@ -13,6 +16,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickloom.functions import iforest
+from tickloom.operators import anomaly
+
 STATE = "ts_us bigint, seq bigint, price double, size bigint"
 METRICS = (
     "vwap_1min double, vwap_5min double, avg_price_5min double, trade_count_60s bigint, "
@@ -116,3 +122,140 @@ class EnrichTicks(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ScoreAnomalies(StatefulProcessor):
+    """Scores a ticker's feature rows with the forest it holds, refitting only when one is due.
+
+    State: how many events there were, the rows the next forest trains on (new ones are
+    appended; the list is only read, and cut to the window, at a refit) and the forest. Rows
+    are numbered as they come; within a micro-batch in time order.
+    """
+
+    def __init__(self, forest: anomaly.Forest):
+        self.forest = forest
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        columns = ", ".join(f"{c} double" for c in self.forest.features)
+        self._seen = handle.getValueState("seen", "n bigint")
+        self._rows = handle.getListState("rows", columns)
+        self._held = handle.getValueState(
+            "forest", "version bigint, psi int, offset bigint, feature binary, threshold binary, value binary"
+        )
+
+    def _read(self):
+        kept = self._held.get()
+        if kept is None:
+            return None
+        version, psi, offset, feature, threshold, value = kept
+        shape = (self.forest.trees, -1)
+        arrays = (
+            np.frombuffer(feature, np.int32).reshape(shape),
+            np.frombuffer(threshold, np.float64).reshape(shape),
+            np.frombuffer(value, np.int64).reshape(shape),
+        )
+        return version, arrays, psi, offset
+
+    def _fit(self, ticker: str, version: int, x: np.ndarray):
+        arrays, psi, offset = anomaly.fitted(x, ticker, version, self.forest)
+        feature, threshold, value = (np.ascontiguousarray(a).tobytes() for a in arrays)
+        self._held.update((version, psi, offset, feature, threshold, value))
+        return version, arrays, psi, offset
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        f, names = self.forest, list(self.forest.features)
+        new = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "seq"], ignore_index=True)
+        x = new[names].to_numpy(dtype=float)
+        seen = self._seen.get()
+        seen = 0 if seen is None else int(seen[0])
+        new.insert(3, "ordinal", np.arange(seen + 1, seen + len(new) + 1, dtype=np.int64))
+        held, earlier, parts, at = self._read(), None, [], 0
+        while at < len(new):
+            due = ((seen + at) // f.interval + 1) * f.interval
+            end = min(len(new), due - seen)
+            part = new.iloc[at:end]
+            if held is None:
+                parts.append(part.assign(version=(seen + at) // f.interval, **anomaly.WARMING))
+            else:
+                version, arrays, psi, offset = held
+                raw = iforest.score(x[at:end], *arrays, psi)
+                parts.append(part.assign(version=version, **anomaly.verdicts(raw, offset)))
+            at = end
+            if seen + at == due and due >= f.warmup:
+                if earlier is None:
+                    earlier = np.array([tuple(r) for r in self._rows.get()], dtype=float).reshape(-1, len(names))
+                held = self._fit(key[0], due // f.interval, np.concatenate([earlier, x[:at]])[-f.window :])
+        if earlier is None:
+            self._rows.appendList([tuple(r) for r in x.tolist()])
+        else:
+            kept = np.concatenate([earlier, x])[-f.window :]
+            self._rows.put([tuple(r) for r in kept.tolist()])
+        self._seen.update((seen + len(new),))
+        yield pd.concat(parts, ignore_index=True)[[c.split()[0] for c in anomaly.scored_schema(f).split(", ")]]
+
+    def close(self) -> None:
+        pass
+
+
+class AsOf(StatefulProcessor):
+    """Articles with the newest value of their ticker, sent out once the watermark is past them.
+
+    State: the newest value of each step of time, and the articles that wait. A value counts
+    from the end of its step on, an article's time is cut down to the step, so nothing later
+    than an article enters. Steps that no article can reach any more are removed.
+    """
+
+    OUT = "id bigint, ticker string, ts_us bigint, value double"
+
+    def __init__(self, tolerance_us: int, step_us: int):
+        self.tolerance_us, self.step_us = tolerance_us, step_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._newest = handle.getMapState("newest", "slot bigint", "at bigint, seq bigint, value double")
+        self._waiting = handle.getMapState("waiting", "at bigint, id bigint", "one boolean")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            ticks = part[~part["is_news"]].sort_values(["at", "seq"])
+            slots = -(-ticks["at"] // self.step_us)
+            last = ticks[~slots.duplicated(keep="last")]
+            for slot, at, seq, value in zip(slots[last.index], last["at"], last["seq"], last["value"], strict=True):
+                held = self._newest.getValue((int(slot),))
+                if held is None or (held[0], held[1]) < (at, seq):
+                    self._newest.updateValue((int(slot),), (int(at), int(seq), None if pd.isna(value) else float(value)))
+            news = part[part["is_news"]]
+            for at, i in zip(news["at"], news["id"], strict=True):
+                self._waiting.updateValue((int(at), int(i)), (True,))
+                self._handle.registerTimer(-(-int(at) // 1000))
+        self._forget(timerValues.getCurrentWatermarkInMs() * 1000)
+        yield self._rows([])
+
+    def _forget(self, mark: int) -> None:
+        """Remove the steps that no article can reach, neither one that waits nor one to come."""
+        oldest = min([mark, *(k[0] for k in self._waiting.keys())])
+        first = (oldest - self.tolerance_us) // self.step_us - 1
+        for slot in [s for (s,) in self._newest.keys() if s < first]:
+            self._newest.removeKey((slot,))
+
+    @staticmethod
+    def _rows(found: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(found, columns=["id", "ticker", "ts_us", "value"])
+        return out.astype({"id": "int64", "ticker": "object", "ts_us": "int64", "value": "float64"})
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = sorted(tuple(k) for k in self._waiting.keys() if k[0] <= mark)
+        held = sorted((k[0], tuple(v)) for k, v in self._newest.iterator()) if ready else []
+        slots, out = [s for s, _ in held], []
+        for at, i in ready:
+            n = bisect_right(slots, at // self.step_us)
+            newest = held[n - 1][1] if n else None
+            near = newest is not None and at - newest[0] <= self.tolerance_us
+            out.append((i, key[0], at, newest[2] if near else None))
+            self._waiting.removeKey((at, i))
+        self._forget(mark)
+        yield self._rows(out)
+
+    def close(self) -> None:
+        pass

@@ -2,24 +2,30 @@
 
 A tick stream has ticker, price, size, ts_us, seq and the event time ``ts``; a news
 stream has id, ticker, headline, summary, source, ts_us and ``ts``. Watermark delays say
-how late a row may be; later rows are dropped and show up in the query's progress as
-``numRowsDroppedByWatermark``.
+how late a row may be; windows drop later rows, and ``start_late_split`` in front of them
+keeps those as a table of their own.
+
+Two steps hand rows on from one micro-batch to the next in folders of their own
+(``start_ordered``, ``start_late_split``). A folder belongs to one batch; a batch that is
+repeated after a failure finds its last folder complete, or does its work again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from tickloom.functions.exact import exact, notional, ratio
 from tickloom.functions.rules import STRONG_SENTIMENT, UNUSUAL_Z, timestamp
-from tickloom.operators import anomaly, correlate, deadletter, rolling, sentiment, validate
+from tickloom.operators import anomaly, correlate, deadletter, keyed, sentiment, validate
 from tickloom.session import shared_folder
 from tickloom.sources import sinks
-from tickloom.streaming.state import OUTPUT, EnrichTicks
+from tickloom.streaming.state import OUTPUT, AsOf, EnrichTicks, ScoreAnomalies
 
 DELAY = "10 seconds"
 
@@ -50,11 +56,20 @@ def vwap(ticks: DataFrame, width_s: int = 60) -> DataFrame:
 
 
 def mean_price_hopping(ticks: DataFrame, width_s: int = 300, hop_s: int = 60) -> DataFrame:
-    g = ticks.groupBy("ticker", F.window("ts", f"{width_s} seconds", f"{hop_s} seconds"))
+    """Mean price over windows of ``width_s`` that start every ``hop_s``.
+
+    Rows are summed per hop; the hops are summed to windows by their own time, so no row is
+    copied and a ticker's state is a few sums per hop, however many ticks it has.
+    """
+    if hop_s <= 0 or width_s % hop_s:
+        raise ValueError("width_s must be a multiple of hop_s")
+    hops = ticks.groupBy("ticker", F.window("ts", f"{hop_s} seconds").alias("hop")).agg(
+        F.sum(exact("price")).alias("_s"), F.count("*").alias("_n")
+    )
+    wide = F.window(F.window_time("hop"), f"{width_s} seconds", f"{hop_s} seconds")
     return _edges(
-        g.agg(
-            (F.sum(exact("price")).cast("double") / F.count("*")).alias("avg_price"),
-            F.count("*").alias("trade_count"),
+        hops.groupBy("ticker", wide).agg(
+            (F.sum("_s").cast("double") / F.sum("_n")).alias("avg_price"), F.sum("_n").alias("trade_count")
         )
     )
 
@@ -144,30 +159,39 @@ def joined_windows(enriched: DataFrame, scored: DataFrame, *, strong_only: bool
     return _edges(out.filter("is_strong") if strong_only else out)
 
 
-def asof(news: DataFrame, enriched: DataFrame, value: str = "volume_zscore", tolerance_s: int = 60) -> DataFrame:
-    """News with the newest ``value`` of its ticker in the ``tolerance_s`` before it.
+def asof(
+    news: DataFrame, enriched: DataFrame, value: str = "volume_zscore", tolerance_s: int = 60, step_us: int = 1_000_000
+) -> DataFrame:
+    """Every article with the newest ``value`` of its ticker in the ``tolerance_s`` before
+    it, null without one, sent out once the watermark is past the article.
 
-    An inner join on time, then the newest match per article. ``with_unmatched`` adds
-    news without a match to the stored results.
+    Times of articles count in whole steps, by default seconds as feeds give them: a value
+    enters if it was there at the last full step. So a ticker's state is one value for each
+    step of tolerance and delay. Ticks are thinned to one per step in the map tasks.
     """
-    n = news.select("id", F.col("ticker").alias("n_ticker"), F.col("ts").alias("n_ts"))
-    t = enriched.select("ticker", "ts", "seq", value)
-    near = (
-        (F.col("n_ticker") == F.col("ticker"))
-        & (F.col("ts") <= F.col("n_ts"))
-        & (F.col("ts") >= F.col("n_ts") - F.expr(f"INTERVAL {tolerance_s} SECONDS"))
-    )
-    return (
-        n.join(t, near)
-        .groupBy("id", "ticker", F.window("n_ts", f"{tolerance_s} seconds"))
-        .agg(F.max_by(F.struct("n_ts", value), F.struct("ts", "seq")).alias("_m"))
-        .select("id", "ticker", F.unix_micros("_m.n_ts").alias("ts_us"), F.col(f"_m.{value}").alias(value))
+    n = news.select(
+        "ticker", "ts", F.lit(True).alias("is_news"), F.col("ts_us").alias("at"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit(None).cast("double").alias("value"), "id",
+    )
+    t = enriched.select(
+        "ticker", "ts", F.lit(False).alias("is_news"), F.col("ts_us").alias("at"), "seq",
+        F.col(value).alias("value"), F.lit(None).cast("bigint").alias("id"),
+    )
+
+    def thinned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b = b.sort_values(["at", "seq"], kind="stable")
+            slot = -(-b["at"] // step_us)
+            yield b[~pd.DataFrame({"t": b["ticker"], "s": slot}).duplicated(keep="last")]
+
+    both = n.unionByName(t.mapInPandas(thinned, t.schema))
+    out = both.groupBy("ticker").transformWithStateInPandas(
+        statefulProcessor=AsOf(tolerance_s * 1_000_000, step_us),
+        outputStructType=AsOf.OUT,
+        outputMode="Append",
+        timeMode="EventTime",
     )
-
-
-def with_unmatched(news: DataFrame, matched: DataFrame, value: str = "volume_zscore") -> DataFrame:
-    """The stored results of ``asof`` with the articles that had no match, their ``value`` null."""
-    return news.select("id", "ticker", "ts_us").join(matched.select("id", "ticker", value), ["id", "ticker"], "left")
+    return out.withColumnRenamed("value", value)
 
 
 def with_open_articles(
@@ -178,16 +202,35 @@ def with_open_articles(
     value: str = "volume_zscore",
     tolerance_s: int = 60,
 ) -> DataFrame:
-    """Every article of a finite stream, once: its stored match, one made in batch, or null.
+    """``matched`` with the articles that still waited when a finite stream ended.
 
-    ``asof`` sends an article out when the watermark is past its window and the tolerance;
-    later ones are matched here against ``enriched``, a table.
+    ``asof`` sends an article out when the watermark is past it; later ones are matched here
+    against ``enriched``, a table.
     """
     cols = ["id", "ticker", "ts_us"]
-    span = 2 * tolerance_s
     rest = news.select(*cols).join(matched.select("id", "ticker"), ["id", "ticker"], "left_anti")
-    late = correlate.asof_backward(since(rest, mark, span), since(enriched, mark, span + tolerance_s), [value], tolerance_s=tolerance_s)
-    return with_unmatched(news, matched.select(*cols, value).unionByName(late.select(*cols, value)), value)
+    late = correlate.asof_backward(
+        rest.filter(F.col("ts_us") > mark - 1_000), since(enriched, mark, tolerance_s + 1), [value], tolerance_s=tolerance_s
+    )
+    return matched.select(*cols, value).unionByName(late.select(*cols, value))
+
+
+def anomalies(features: DataFrame, forest: anomaly.Forest = anomaly.Forest()) -> DataFrame:
+    """Score a feature stream (ticker, ts_us, seq and the features) with held forests.
+
+    A ticker's forest stays in its state and is refitted when ``interval`` more events have
+    come, wherever that falls in a micro-batch; scores equal those of ``anomaly.score``.
+    """
+    return (
+        features.select(*anomaly.ID, *forest.features)
+        .groupBy("ticker")
+        .transformWithStateInPandas(
+            statefulProcessor=ScoreAnomalies(forest),
+            outputStructType=anomaly.scored_schema(forest),
+            outputMode="Append",
+            timeMode="None",
+        )
+    )
 
 
 def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -290,61 +333,106 @@ def start_split(
     return _launch(messages.sparkSession, writer)
 
 
-def start_anomalies(
-    features: DataFrame,
+def _folder(root: str, what: str, batch_id: int) -> str:
+    return f"{root}/{what}/batch={batch_id}"
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Was this folder written to its end?"""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _handed(spark: SparkSession, root: str, what: str, batch_id: int, schema: StructType) -> DataFrame | None:
+    """What the batch before handed on; None for the first batch."""
+    if batch_id == 0:
+        return None
+    folder = _folder(root, what, batch_id - 1)
+    if not _complete(spark, folder):
+        raise FileNotFoundError(f"{folder} is missing, and this batch goes on from it")
+    return spark.read.schema(schema).parquet(folder)
+
+
+def start_ordered(
+    ticks: DataFrame,
     root: str,
     checkpoint: str,
-    forest: anomaly.Forest = anomaly.Forest(),
+    operator: Callable[..., DataFrame],
     *,
+    span_s: int,
+    rows: int,
     trigger: dict,
+    bucket_s: int = 60,
+    hot_rows: int = 100_000,
     partitions: int | None = None,
 ) -> StreamingQuery:
-    """Score a feature stream, refitting each ticker's forest as its events add up.
+    """Run a time-ordered batch operator (one of ``rolling``) over a stream.
+
+    A micro-batch is worked on together with what was handed on: each ticker's ticks of the
+    last ``span_s`` seconds and its last ``rows`` ticks. The operator cuts a ticker's time
+    into buckets, and buckets of more than ``hot_rows`` ticks further, so a ticker with a
+    third of the ticks spreads over tasks; there is no per-ticker list. Results are under
+    ``root``/out (``ordered_stream`` reads them on). A tick that comes in a later batch than
+    its time is worked on with what is known then.
+    """
+    spark = ticks.sparkSession
+    cols = list(ticks.columns)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if _complete(spark, _folder(root, "handed", batch_id)):
+            return  # a repeated batch; its results may have been read already
+        batch.write.mode("overwrite").parquet(_folder(root, "in", batch_id))
+        new = spark.read.schema(batch.schema).parquet(_folder(root, "in", batch_id))
+        old = _handed(spark, root, "handed", batch_id, batch.schema)
+        both = new.withColumn("_new", F.lit(True))
+        if old is not None:
+            both = both.unionByName(old.withColumn("_new", F.lit(False)))
+        done = operator(both, bucket_s=bucket_s, hot_rows=hot_rows).filter("_new").drop("_new")
+        done.write.mode("overwrite").parquet(_folder(root, "out", batch_id))
+        both = both.drop("_new")
+        last = both.groupBy("ticker").agg((F.max("ts_us") - span_s * 1_000_000).alias("_from"))
+        recent = both.join(last, "ticker")
+        tail = keyed.latest_n(recent.filter(F.col("ts_us") < F.col("_from")), rows).select(*cols)
+        tail = tail.unionByName(recent.filter(F.col("ts_us") >= F.col("_from")).select(*cols))
+        tail.write.mode("overwrite").parquet(_folder(root, "handed", batch_id))
+
+    writer = ticks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return _launch(spark, writer, partitions)
+
+
+def ordered_stream(spark: SparkSession, root: str, schema: StructType | str, **options) -> DataFrame:
+    """What ``start_ordered`` or ``start_late_split`` wrote to ``root``, as a stream again."""
+    return spark.readStream.schema(schema).options(recursiveFileLookup=True, **options).parquet(root)
+
+
+def start_late_split(
+    ticks: DataFrame, root: str, checkpoint: str, *, delay_s: int = 10, trigger: dict, ts: str = "ts_us"
+) -> StreamingQuery:
+    """Fork a stream into rows on time and late rows, so that none is lost.
 
-    A micro-batch numbers its rows on from the last ones and scores them with the same
-    operator as a batch job, together with the ``recent`` rows that train the versions in
-    question. Those are handed on from batch to batch, at most window + interval rows per
-    ticker, so a batch never reads the whole history. Every folder belongs to one batch
-    and is overwritten when that batch is repeated.
+    A row is late if its time lies more than ``delay_s`` before the latest time of the
+    micro-batches before its own: the rows a window with that watermark delay might drop.
+    They are under ``root``/late, the others under ``root``/on_time.
     """
-    spark = features.sparkSession
-    names = list(forest.features)
-    row = [*anomaly.ID, "ordinal", *names]
+    spark = ticks.sparkSession
+    kind = StructType().add("mark", "long")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        def folder(what: str, of: int = batch_id) -> str:
-            return f"{root}/{what}/batch={of}"
-
-        # Written once: the stateful steps before must not run again for each use.
-        batch.select(*anomaly.ID, *names).write.mode("overwrite").parquet(folder("incoming"))
-        incoming = spark.read.parquet(folder("incoming"))
-        numbered = rolling.ordinals(incoming)
-        recent = sinks.existing(spark, folder("recent", batch_id - 1), numbered.select(*row).schema)
-        if recent is None and batch_id > 0:
-            raise FileNotFoundError(f"{folder('recent', batch_id - 1)} is missing, and event numbers go on from it")
-        if incoming.isEmpty():
-            # A batch that only moves the watermark hands the rows on.
-            handed = numbered.select(*row) if recent is None else recent
-            handed.write.mode("overwrite").parquet(folder("recent"))
+        if _complete(spark, _folder(root, "mark", batch_id)):
             return
-        if recent is not None:
-            seen = recent.groupBy("ticker").agg(F.max("ordinal").alias("_seen"))
-            numbered = numbered.join(seen, "ticker", "left").withColumn(
-                "ordinal", F.col("ordinal") + F.coalesce("_seen", F.lit(0).cast("bigint"))
-            )
-        numbered.select(*row).write.mode("overwrite").parquet(folder("features"))
-        rows = spark.read.parquet(folder("features")).withColumn("emit", F.lit(True))
-        if recent is not None:
-            rows = rows.unionByName(recent.withColumn("emit", F.lit(False)))
-        anomaly.score(rows, forest).write.mode("overwrite").parquet(folder("scores"))
-        last = rows.groupBy("ticker").agg(F.max("ordinal").alias("_last"))
-        kept = rows.join(last, "ticker").filter(
-            F.col("ordinal") > F.col("_last") - forest.window - forest.interval
-        )
-        kept.select(*row).write.mode("overwrite").parquet(folder("recent"))
-
-    writer = features.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
-    return _launch(features.sparkSession, writer, partitions)
+        batch.write.mode("overwrite").parquet(_folder(root, "in", batch_id))
+        new = spark.read.schema(batch.schema).parquet(_folder(root, "in", batch_id))
+        old = _handed(spark, root, "mark", batch_id, kind)
+        mark = None if old is None else old.first()["mark"]
+        late = F.lit(False) if mark is None else F.coalesce(F.col(ts) < mark, F.lit(False))
+        new.filter(~late).write.mode("overwrite").parquet(_folder(root, "on_time", batch_id))
+        new.filter(late).write.mode("overwrite").parquet(_folder(root, "late", batch_id))
+        least = F.lit(mark).cast("bigint")
+        seen = new.agg(F.greatest(F.max(ts) - delay_s * 1_000_000, least).alias("mark"))
+        seen.write.mode("overwrite").parquet(_folder(root, "mark", batch_id))
+
+    writer = ticks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return _launch(spark, writer)
 
 
 def run_once(df: DataFrame, name: str) -> DataFrame:
