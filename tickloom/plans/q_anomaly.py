@@ -86,9 +86,9 @@ SCALED = anomaly.Forest(features=tuple(anomaly.FEATURES_6D), window=1000, interv
 
 _MIXED = f"""WITH {MIXED_SQL},
 live AS (SELECT * FROM mixed WHERE kind <> 'dlq'),
-z AS (SELECT *, CASE WHEN n = 0 THEN 0.0 WHEN mn = mx THEN sign(size - mn)::DOUBLE ELSE ((n * x - s) / n) / sqrt(spread / (n * (n - 1.0))) END AS volume_zscore
+z AS (SELECT *, CASE WHEN n = 0 THEN 0.0 WHEN mn = mx THEN sign(size - mn)::DOUBLE ELSE ((n * x - s) / n) / sqrt(off / (n * (n - 1.0))) END AS volume_zscore
   FROM (SELECT *, size::DOUBLE AS x, (count(size) OVER w)::DOUBLE AS n, (sum(size) OVER w)::DOUBLE AS s,
-               ((count(size) OVER w) * (sum(size::HUGEINT * size) OVER w) - (sum(size) OVER w) * (sum(size) OVER w))::DOUBLE AS spread, min(size) OVER w AS mn, max(size) OVER w AS mx
+               ((count(size) OVER w) * (sum(size::HUGEINT * size) OVER w) - (sum(size) OVER w) * (sum(size) OVER w))::DOUBLE AS off, min(size) OVER w AS mn, max(size) OVER w AS mx
         FROM live WINDOW w AS (PARTITION BY ticker ORDER BY ts_us, seq ROWS BETWEEN 19 PRECEDING AND 1 PRECEDING)))
 SELECT ticker, ts_us, seq, kind, price, size, spread, volume_zscore,
        CASE WHEN lag(price) OVER wl > 0 THEN (price - lag(price) OVER wl) / (lag(price) OVER wl) * 100.0 ELSE 0.0 END AS momentum,
@@ -102,7 +102,7 @@ WINDOW w1 AS (PARTITION BY ticker ORDER BY ts_us RANGE BETWEEN 60000000 PRECEDIN
 
 # Mixed ticks as the feature table of a forest.
 _MIXED_FEATURES = _MIXED.strip().removeprefix("WITH ").replace(
-    "SELECT ticker, ts_us, seq, kind, price", "enriched_mix AS (SELECT ticker, ts_us, seq, kind, price"
+    "\nSELECT ticker, ts_us, seq, kind, price", ",\nenriched_mix AS (SELECT ticker, ts_us, seq, kind, price"
 ) + """),
 featured AS (
   SELECT ticker, ts_us, seq, price, size::DOUBLE AS volume, vwap_1min, volume_zscore, momentum,

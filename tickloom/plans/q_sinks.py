@@ -154,7 +154,7 @@ _LETTERS = f"""(SELECT *, '{{"ticker":"' || {_LETTER_TICKER} || '","price":' ||
 _REASON = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in validate.REASONS.items())
 _LETTER = f"""CASE WHEN f = 'json' THEN message[1:length(message) - 7] ELSE message END AS original_message, CASE f {_REASON} END AS error_reason,
        CASE WHEN f = 'json' THEN 'JsonError' ELSE 'ValidationError' END AS error_type, 'market.trades' AS topic, seq AS "offset",
-       (seq % 6)::INT AS "partition", {_LETTER_TICKER} AS ticker, 0::INT AS retry_count, ts_us + 1000000 AS first_failed_us,
+       (seq % 6)::INT AS "partition", CASE WHEN f <> 'json' THEN {_LETTER_TICKER} END AS ticker, 0::INT AS retry_count, ts_us + 1000000 AS first_failed_us,
        ts_us + 1000000 AS last_failed_us, CASE WHEN f = 'json' THEN 'main' ELSE 'validation' END AS queue"""
 
 
@@ -197,7 +197,7 @@ def dlq_depth(spark, d):
     sql(
         "ticks",
         f"""SELECT {_LETTER}, strftime(make_timestamp(ts_us + 1000000), '%Y') AS year, strftime(make_timestamp(ts_us + 1000000), '%m') AS month,
-       strftime(make_timestamp(ts_us + 1000000), '%d') AS day, {_LETTER_TICKER} || '_' || (ts_us + 1000000) // 1000000 AS name
+       strftime(make_timestamp(ts_us + 1000000), '%d') AS day, CASE WHEN f = 'json' THEN 'unknown' ELSE {_LETTER_TICKER} END || '_' || (ts_us + 1000000) // 1000000 AS name
 FROM {_LETTERS}""",
     )
 )
