@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tickloom.session import stored
 
-__all__ = ["SPACE", "WORD", "arrow_rows", "only", "ranked", "stored", "table", "text_of"]
+__all__ = ["SPACE", "WORD", "arrow_rows", "fresh", "only", "ranked", "stored", "table", "text_of"]
 
 #: The white space of all contracts, as characters and as a pattern of words in bytes.
 SPACE = " \t\n\x0b\x0c\r"
@@ -28,6 +28,13 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer if a column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null counting as empty."""
     return F.coalesce(F.col(column), F.lit(""))

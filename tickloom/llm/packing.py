@@ -21,6 +21,7 @@ table gives no pieces; repeated rows are packed as often as they occur.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -48,9 +49,10 @@ _KIND[128:] = _WIDE
 def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Ids of a text by the byte-level BPE vocabulary in ``path`` (a tokenizers JSON file).
 
-    Special tokens' strings in a text are ordinary text. The vocabulary is run by tiktoken,
-    which gives the same ids several times faster; a text it can't take goes through
-    the tokenizers library.
+    They are those of the tokenizers library as the file sets it up, so the string of an
+    added token in a text becomes that token's id. The vocabulary is run by tiktoken, which
+    gives the same ids several times faster; texts with such a string, and those it gives up
+    on, go through the tokenizers library.
     """
     import public_tokenizers
     import tiktoken
@@ -58,17 +60,19 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ()) if t.get("special")}
+    added = [t["content"] for t in spec.get("added_tokens", ())]
     # Byte-level vocabularies write each byte as one printable character.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+    ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    any_added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
 
     def encode(text: str) -> np.ndarray:
+        if any_added(text):
+            return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
         try:
             ids = fast.encode_ordinary(text)
         except Exception:  # noqa: BLE001  the fast library gives up on some very long words
@@ -198,10 +202,12 @@ def pack(
 
         encode = encoder(vocabulary)
         with open(vocabulary, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
-        sizes = np.ones(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():
-            sizes[i] = len(token)
+            spec = json.load(f)
+        # Bytes of each id: a byte is a character in the vocabulary, added tokens are plain text.
+        size_of = {i: len(token) for token, i in spec["model"]["vocab"].items()}
+        size_of |= {t["id"]: len(t["content"].encode()) for t in spec.get("added_tokens", ())}
+        sizes = np.ones(max(size_of) + 1, np.int64)
+        sizes[list(size_of)] = list(size_of.values())
         sequence = TaskContext.get().partitionId() << 40
         block: list[tuple] = []
         held = 0
