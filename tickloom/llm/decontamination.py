@@ -16,8 +16,8 @@ Items go through in blocks of ``BLOCK_WORDS`` words, so what tasks hold of the b
 bounded at any benchmark size. Documents never shuffle; only frequencies do.
 
 Defined cases: null texts have no words, items shorter than an n-gram match nothing,
-repeated items and documents are each judged, an empty benchmark or table contaminates
-nothing. Ties between items go to the smallest item id. ``clean`` keeps all columns.
+rows that repeat an item's id are one item, repeated documents and those with a null id
+are each judged, an empty benchmark or table contaminates nothing. Ties between items go to the smallest item id. ``clean`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import arrow_rows, only, stored, text_of, without
+from tickloom.llm.common import arrow_rows, fresh, only, stored, text_of, within
 
 _WORD = re.compile(r"[^\W_]+")
 GRAM = 3
@@ -70,9 +70,16 @@ class Items:
         vocabulary = sorted({w for _, ws in items for w in ws})
         self.number = {w: i for i, w in enumerate(vocabulary)}
         self.base = max(2, len(vocabulary))
-        if self.base**gram >= 1 << 63:
-            raise ValueError("a block has too many different words for this n-gram length")
+        #: By place in an n-gram: the strings of items up to there, where numbers would outgrow 63 bits.
+        self.tables: dict[int, np.ndarray] = {}
         self.ids = {i: np.array([self.number[w] for w in ws], np.int64) for i, ws in items}
+        span = 1
+        for k in range(gram):
+            if span * self.base >= 1 << 63:
+                parts = [self._strings(ws, k) for ws in self.ids.values()]
+                self.tables[k] = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int64)
+                span = max(1, len(self.tables[k]))
+            span *= self.base
         found = defaultdict(set)
         for i, ws in self.ids.items():
             for k in self.keys(ws).tolist():
@@ -83,14 +90,23 @@ class Items:
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
         """The n-grams as numbers; negative where a word is in no item."""
+        return self._strings(ids, self.gram)
+
+    def _strings(self, ids: np.ndarray, length: int) -> np.ndarray:
+        """The strings of ``length`` words at each place of an n-gram, as numbers."""
         n = len(ids) - self.gram + 1
         if n <= 0:
             return np.empty(0, np.int64)
         key, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for k in range(self.gram):
+        for k in range(length):
+            if k in self.tables:  # numbered anew, without what no item holds
+                at = np.searchsorted(self.tables[k], key)
+                at[at == len(self.tables[k])] = 0
+                known &= self.tables[k][at] == key
+                key = at
             part = ids[k : k + n]
             known &= part >= 0
-            key = key * self.base + part
+            key = np.where(known, key * self.base + part, 0)
         return np.where(known, key, -1)
 
     def find(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
@@ -120,24 +136,30 @@ def _passages(ids: np.ndarray, at: np.ndarray, reach: int) -> list[tuple[int, in
 
 
 def _scan(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
-    """Per document: the passages around known n-grams, as word numbers, and the n-grams."""
+    """Per row: the passages around known n-grams, as word numbers, and the n-grams."""
 
-    def row(doc_id, text):
+    def row(key, doc_id, text):
         found = items.find(text)
         if found is None:
-            return [(doc_id, None, None, None, None)]
+            return [(key, doc_id, None, None, None, None)]
         ids, at, which = found
         spans = _passages(ids, at, items.longest + items.gram)
         words = np.concatenate([ids[a:b] for a, b in spans]).astype("<i4").tobytes()
-        return [(doc_id, [x for s in spans for x in s], words, at.tolist(), which.tolist())]
+        return [(key, doc_id, [x for s in spans for x in s], words, at.tolist(), which.tolist())]
 
-    slim = only(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("doc_id"), text_of(f"`{text_col}`").alias("text"))
+    text = text_of(f"`{text_col}`")
+    slim = only(docs, id_col, text_col).select(_key(text).alias("_key"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     return arrow_rows(
-        slim, row, f"doc_id {kind}, spans array<int>, words binary, at array<int>, grams array<int>", flush=2_000
+        slim, row, f"_key bigint, doc_id {kind}, spans array<int>, words binary, at array<int>, grams array<int>", flush=2_000
     )
 
 
+def _key(text: Column) -> Column:
+    """What tells rows of one id (or of none) apart: rows alike in both are alike in all results."""
+    return F.xxhash64(text)
+
+
 def _frequencies(scanned: DataFrame, items: Items) -> np.ndarray:
     """The number of documents that hold each n-gram."""
     counted = scanned.select(F.explode(F.array_distinct("grams")).alias("g")).groupBy("g").count()
@@ -164,9 +186,9 @@ def matches(
     item_col: str = "item_id",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per document and block of items: doc_id, n_seeded (items that
-    share an n-gram with it), n_items (items that contaminate it), item_id, score (share of a
-    full copy), raw, end_word of the best alignment, contaminated."""
+    """One row per document row and block of items: _key (of the text), doc_id, n_seeded
+    (items that share an n-gram with it), n_items (items that contaminate it), item_id, score
+    (share of a full copy), raw, end_word of the best alignment, contaminated."""
     rows = only(benchmark, item_col, text_col).select(F.col(f"`{item_col}`").alias("i"), text_of(f"`{text_col}`").alias("t"))
     rows = rows.filter(F.col("i").isNotNull())
     size = rows.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
@@ -175,6 +197,7 @@ def matches(
     for k in range(max(1, blocks)):
         block = rows.filter(F.pmod(F.xxhash64("i"), F.lit(max(1, blocks))) == k).collect()
         part = _matches(docs, [(i, words_of(t)) for i, t in block], gram, min_share, min_words, id_col, text_col)
+        part = part.withColumn("_block", F.lit(k)) if blocks > 1 else part
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -189,7 +212,7 @@ def _matches(docs, rows, gram, min_share, min_words, id_col, text_col) -> DataFr
     df = _frequencies(scanned, items)
     counts = {i: Counter(ws.tolist()) for i, ws in items.ids.items()}
 
-    def row(doc_id, spans, words, at, grams):
+    def row(key, doc_id, spans, words, at, grams):
         places: dict[int, list[int]] = defaultdict(list)
         rarest: dict[int, int] = {}
         for p, g in zip(at or (), grams or (), strict=True):
@@ -197,7 +220,7 @@ def _matches(docs, rows, gram, min_share, min_words, id_col, text_col) -> DataFr
                 places[i].append(p)
                 rarest[i] = min(rarest.get(i, int(df[g])), int(df[g]))
         if not places:
-            return [(doc_id, 0, 0, None, 0.0, 0, None, False)]
+            return [(key, doc_id, 0, 0, None, 0.0, 0, None, False)]
         known = np.frombuffer(words, "<i4").astype(np.int64)
         offsets = np.cumsum([0] + [b - a for a, b in zip(spans[::2], spans[1::2], strict=True)])
         found = []
@@ -223,31 +246,39 @@ def _matches(docs, rows, gram, min_share, min_words, id_col, text_col) -> DataFr
         bad = [-s >= min_share or raw >= MATCH * min_words for s, _, raw, _ in found]
         order = [x for x, b in zip(found, bad, strict=True) if b] or found
         s, i, raw, end = order[0]
-        return [(doc_id, len(places), sum(bad), i, -s, raw, end, any(bad))]
+        return [(key, doc_id, len(places), sum(bad), i, -s, raw, end, any(bad))]
 
     kind = scanned.schema["doc_id"].dataType.simpleString()
     return arrow_rows(
         scanned,
         row,
-        f"doc_id {kind}, n_seeded bigint, n_items bigint, item_id bigint, score double, raw bigint,"
+        f"_key bigint, doc_id {kind}, n_seeded bigint, n_items bigint, item_id bigint, score double, raw bigint,"
         " end_word bigint, contaminated boolean",
     )
 
 
 def judged(found: DataFrame) -> DataFrame:
-    """One row per document from ``matches``: the block with the best item decides."""
+    """One row per document row from ``matches``: the block with the best item decides."""
     best = F.max_by(
         F.struct("item_id", "score", "raw", "end_word"),
         F.struct("contaminated", "score", (-F.col("item_id")).alias("i")),
     )
+    # A row comes once from each block; rows alike in id and text come as often as they are there.
+    block = F.row_number().over(Window.partitionBy("doc_id", "_key", "_block").orderBy(F.lit(0)))
+    if "_block" not in found.columns:
+        return found.select("doc_id", "contaminated", "n_items", "item_id", "score", "raw", "end_word")
     return (
-        found.groupBy("doc_id")
+        found.withColumn("_copy", block)
+        .groupBy("doc_id", "_key", "_copy")
         .agg(F.sum("n_items").alias("n_items"), F.max("contaminated").alias("contaminated"), best.alias("b"))
         .select("doc_id", "contaminated", "n_items", "b.*")
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without contaminated documents."""
-    found = matches(docs, benchmark, id_col=id_col, **how)
-    return without(docs, found.filter("contaminated").select("doc_id").distinct(), id_col)
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` without contaminated rows; a row without an id is judged by its text too."""
+    found = matches(docs, benchmark, id_col=id_col, text_col=text_col, **how).filter("contaminated")
+    who, which = fresh(docs, "_gone"), fresh(docs, "_gone_key")
+    gone = stored(found.select(F.col("doc_id").alias(who), F.col("_key").alias(which)).distinct(), "dropped")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(who)) & (_key(text_of(f"`{text_col}`")) == F.col(which))
+    return docs.join(within(gone, 24), same, "left_anti")
