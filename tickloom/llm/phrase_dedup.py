@@ -1,9 +1,9 @@
 """Substring dedup in words: repeated-phrase automata.
 
 ``repeats`` confirms which phrases (strings of ``GRAM`` words) recur across documents and
-leaves the passages around them in shards. Each shard compiles its confirmed phrases into
-an Aho-Corasick automaton and streams all its passages through it; that locates every
-occurrence and lines the passages up. Windows of ``LENGTH`` words at one offset from a
+deals the different passages around them to shards. Each shard compiles its confirmed
+phrases into an Aho-Corasick automaton and streams all its passages through it; that
+locates the phrases and lines the passages up. Windows of ``LENGTH`` words at one offset from a
 phrase are then compared as texts, and each gets the smallest document id it starts in. A
 word goes if a window over it also starts in a document with a smaller id.
 
@@ -129,7 +129,7 @@ def cut_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: s
         words = body.split(b" ")
         return [xxhash.xxh3_128_digest(b" ".join(words[i : i + length])) for i in range(len(words) - length + 1)]
 
-    how = {"shard_units": SHARD_WORDS} | how
+    how = {"shard_units": SHARD_WORDS, "through": True} | how
     spans = repeats.repeated(keyed, units_of, cut, _search(length, gram), windows, length, gram, True, **how)
     return repeats.attached(keyed, repeats.merged(spans))
 

@@ -6,7 +6,8 @@ mostly share one, and together they make a piece. Equal windows have equal ancho
 offsets, so a window can only repeat within the pieces of its anchor:
 
 * anchors that occur once are done with;
-* where all pieces of an anchor are alike, what holds for one holds for all their windows;
+* where all pieces of an anchor are alike, what holds for one holds for all their windows
+  (``through`` has one of them searched all the same);
 * only anchors with different pieces, those at the edges of a repeat, need their units
   compared. That is left to the operator's own search, in shards of anchors. An anchor with
   more than ``HOT`` different pieces is not searched in one shard: its windows are grouped
@@ -237,11 +238,13 @@ def repeated(
     earlier: bool,
     shard_units: int,
     hot: int = HOT,
+    through: bool = False,
 ) -> DataFrame:
     """_key, start, end: ranges of units covered by windows that repeat.
 
     With ``earlier``, a window must also start in a document of a smaller id; else it must
-    start anywhere else. ``search`` gets pieces of one shard of anchors (anchor, piece,
+    start anywhere else. With ``through``, anchors whose pieces are all alike are searched
+    as well, by one representative, instead of being decided by their digests. ``search`` gets pieces of one shard of anchors (anchor, piece,
     many, copies, first_id, body), which may come twice, and returns runs of windows
     [low, high) of a piece that repeat, with the smallest id they occur in.
     """
@@ -257,7 +260,7 @@ def repeated(
     reach = length - 1
     alike = occ.filter("not mixed")
     alike = alike.filter("_id > anchor_id") if earlier else alike
-    edge = occ.filter("mixed")
+    edge = occ if through else occ.filter("mixed")
     pieces = stored(
         edge.groupBy("anchor", "piece").agg(
             F.count("*").alias("copies"),
@@ -279,9 +282,10 @@ def repeated(
     runs = stored(searched if runs is None else searched.unionByName(runs), "runs")
     compared = edge.join(runs, ["anchor", "piece"])
     compared = compared.filter("_id > least") if earlier else compared
-    return alike.select("_key", F.col("first").alias("start"), (F.col("first") + F.col("many") + reach).alias("end")).unionByName(
-        compared.select("_key", (F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high") + reach).alias("end"))
-    )
+    found = compared.select("_key", (F.col("first") + F.col("low")).alias("start"), (F.col("first") + F.col("high") + reach).alias("end"))
+    if through:
+        return found
+    return alike.select("_key", F.col("first").alias("start"), (F.col("first") + F.col("many") + reach).alias("end")).unionByName(found)
 
 
 def _by_digest(docs: DataFrame, pieces: DataFrame, cut, windows) -> DataFrame:
