@@ -31,4 +31,4 @@ def test_stages_keep_columns_and_take_effect(spark):
 def test_one_query_for_each_operator():
     names = list(queries.load())
     assert "pipeline" in names
-    assert {int(n.split("_")[0][2:]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n.split("_")[0][2:]) for n in names if n.startswith("op")} == set(range(1, 14))

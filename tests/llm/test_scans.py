@@ -111,28 +111,84 @@ def test_base_matches_equal_the_patterns():
     assert disclosure.entities("1" * 200_000) == [] and disclosure.entities("a" * 200_000 + "@") == []
 
 
-def test_revealing_terms_follow_the_formula(texts, prose):
+def _revealed(rows, alpha=disclosure.ALPHA, min_docs=disclosure.MIN_DOCS):
+    """By the definition: spans of the terms that give an entity of their row away."""
+    held, words, spots = [], [], []
+    for _, t in rows:
+        spans = disclosure.entities(t or "")
+        held.append({(k, re.sub(r"[^0-9a-z@.]", "", (t or "")[a:b].lower()) if k != 2 else re.sub(r"\D", "", t[a:b])) for a, k, b in spans})
+        mine = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{2,}", t or "")]
+        words.append({w for w, _, _ in mine})
+        spots.append([(w, x, y) for w, x, y in mine if not any(a < y and x < b for a, _, b in spans)])
+    out = []
+    for es, mine in zip(held, spots, strict=True):
+        bad = set()
+        for e in es:
+            ne = sum(e in h for h in held)
+            for w in {w for w, _, _ in mine}:
+                net = sum(e in h and any(w == v for v, _, _ in s) for h, s in zip(held, spots, strict=True))
+                nt = sum(w in ws for ws in words)
+                bits = math.log2(len(rows) / ne)
+                if ne >= min_docs and net >= min_docs and bits > 0 and math.log2(len(rows) * net / (ne * nt)) / bits >= alpha:
+                    bad.add(w)
+        out.append([(x, y) for w, x, y in mine if w in bad])
+    return out
+
+
+def _personal(prose):
     rows = [(i, prose(i, 30)) for i in range(60)]
-    rows += [(100 + i, f"{prose(200 + i, 5)} mister Zorblax mail zo@x.org the end") for i in range(3)]
-    rows += [(110, "Zorblax alone"), (111, None), (112, "")] + [(120 + i, f"the end of {i}") for i in range(40)]
-    df = texts(rows, more={"base": F.lit(1), "term": F.lit("x"), "_row": F.lit(2)})
-    got = {r.doc_id: r for r in disclosure.sanitised(df).collect()}
+    rows += [(100 + i, f"Zorblax {prose(200 + i, 300)} mister mail zo@x.org the end, ZORBLAX") for i in range(3)]
+    rows += [(110, "Zorblax alone"), (111, None), (112, ""), (113, f"+49 30 1234567 and {prose(1, 20_000)} quuxly"), (114, "quuxly 4111 1111 1111 1111 or +49-30-1234567 zo@x.org")]
+    rows += [(115, "only here a@b.cd once")] + [(120 + i, f"the end of {i}") for i in range(40)]
+    return rows + [(130, "again zo@x.org mister"), (130, "again zo@x.org mister"), (None, "again zo@x.org mister")]
+
+
+def test_revealing_terms_follow_the_formula(texts, prose):
+    rows = _personal(prose)
+    df = texts(rows, more={"base": F.lit(1), "term": F.lit("x"), "_row": F.lit(2), "_key": F.lit(3), "entities": F.lit(4)})
+    got = sorted((str(r.doc_id), [(s.start, s.end) for s in r.terms], len(r.base)) for r in disclosure.sanitised(df).collect())
+    want = sorted((str(i), marks, len(disclosure.entities(t or ""))) for (i, t), marks in zip(rows, _revealed(rows), strict=True))
+    assert got == want
     text = dict(rows)
-    for i in (100, 101, 102):
-        assert [(s.kind, text[i][s.start : s.end]) for s in got[i].base] == [("email", "zo@x.org")]
-        n, ne = len(rows), 3
-        words = {text[i][s.start : s.end].lower() for s in got[i].terms}
-        near = [t for t, _, _ in disclosure._near(text[i], got[i].base[0].start, got[i].base[0].end, disclosure.REACH)]
-        for t in near:
-            net = sum(t in text[k].lower().split() for k in (100, 101, 102))
-            nt = sum(t in (x or "").lower().split() for x in text.values())
-            share = math.log2(n * net / (ne * nt)) / math.log2(n / ne)
-            assert (t in words) == (net >= 2 and share >= disclosure.ALPHA), t
-        assert "zorblax" in words and "the" not in words
-    assert all(not got[i].terms and not got[i].base for i in (110, 111, 112, 120))
+    marked = {i: {text[int(i)][a:b] for a, b in m} for i, m, _ in got if i != "None"}
+    assert {"Zorblax", "ZORBLAX"} <= marked["100"] and "quuxly" in marked["113"] and "the" not in marked["100"]
+    assert not marked["110"] and not marked["115"]
     assert disclosure.sanitised(texts([])).count() == 0
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_texts_with_terms_generalised_or_removed(texts, prose, monkeypatch, limit):
+    from tickloom.llm import common
+
+    if limit is not None:
+        monkeypatch.setattr(common.within, "__defaults__", (limit,))
+    rows = _personal(prose)
+    df = texts(rows, more={"_spans": F.lit(1), "_marked": F.lit("x")})
+    general = disclosure.cleaned(df)
+    assert general.columns == df.columns
+    got = sorted((str(r.doc_id), r.text) for r in general.collect() if r.text is not None)
+    marks = _revealed(rows)
+    for i, t in got:
+        assert not disclosure.entities(t), i
+    of = {i: (t, m) for (i, t), m in zip(rows, marks, strict=True)}
+    text = dict(got)
+    assert text["114"].startswith("<term> <card> or <phone> <email>") and text["100"].startswith("<term> ") and text["100"].endswith("<term>")
+    assert text["110"] == "Zorblax alone" and sum(r.text is None for r in general.collect()) == 1
+    removed = {str(r.doc_id): r.text for r in disclosure.cleaned(df, general=False).collect()}
+    t, m = of[101]
+    spans = sorted([(a, b) for a, _, b in disclosure.entities(t)] + m)
+    want, at = "", 0
+    for a, b in spans:
+        want, at = want + t[at:a], b
+    assert removed["101"] == want + t[at:] and "orblax" not in removed["101"]
+    assert len(got) + 1 == len(rows) and disclosure.cleaned(texts([])).count() == 0
+
+
+def test_replaced_spans_may_overlap():
+    assert disclosure.replaced("abcdefg", [(1, 4, "ip"), (2, 3, "term"), (3, 5, "card")], True) == "a<ip>fg"
+    assert disclosure.replaced("abcdefg", [(0, 1, "ip"), (1, 7, "term")], False) == ""
+
+
 def _table_score(item, passage):
     h = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
     best = 0
@@ -177,6 +233,43 @@ def test_copies_edits_and_clean_documents(spark, texts, prose, block):
     assert decontamination.clean(texts(["a b c d"]), benchmark.limit(0)).count() == 1
 
 
+@pytest.mark.parametrize("block", [1 << 20, 90])
+def test_rows_without_ids_and_repeated_rows_are_each_judged(spark, texts, prose, block):
+    items = [(i, prose(5000 + i, 40, 3000)) for i in range(6)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    leaked, clean = f"{prose(1, 30)} {items[0][1]}", prose(2, 60)
+    rows = [(None, leaked), (None, clean), (None, None), (1, leaked), (1, leaked), (1, clean), (2, items[0][1] + " " + items[3][1])]
+    df = texts(rows, more={"_key": F.lit("x"), "_gone": F.lit(1), "_block": F.lit(2)})
+    out = decontamination.clean(df, benchmark, block_words=block)
+    assert out.columns == df.columns
+    assert sorted(((str(r.doc_id), r.text) for r in out.collect()), key=str) == sorted([("None", clean), ("None", None), ("1", clean)], key=str)
+    got = decontamination.judged(decontamination.matches(df, benchmark, block_words=block)).collect()
+    assert sorted((str(r.doc_id), r.contaminated, r.n_items) for r in got) == [
+        ("1", False, 0), ("1", True, 1), ("1", True, 1), ("2", True, 2), ("None", False, 0), ("None", False, 0), ("None", True, 1),
+    ]
+
+
+@pytest.mark.parametrize("gram", [1, 2, 4, 5, 9])
+def test_any_length_of_seeds(spark, texts, prose, gram):
+    """60,000 different words, so that an n-gram's number would pass 63 bits from 4 words on."""
+    words = [f"w{i}x" for i in range(60_000)]
+    items = decontamination.Items([(0, words), (1, words[100:140] + words[:20])], gram)
+    assert items.base**gram < 1 << 63 or items.tables
+    where = {tuple(ws[k : k + gram]) for ws in (words, words[100:140] + words[:20]) for k in range(len(ws) - gram + 1)}
+    r = random.Random(gram)
+    text = []
+    while len(text) < 3000:
+        k = r.randrange(60_000)
+        text += [words[k : k + r.randrange(1, 12)], ["other"]][r.random() < 0.1]
+    found = items.find(" ".join(text))
+    at = set(found[1].tolist()) if found else set()
+    assert at == {k for k in range(len(text) - gram + 1) if tuple(text[k : k + gram]) in where}
+    number = {}
+    for k, which in zip(found[1].tolist(), found[2].tolist(), strict=True):
+        assert number.setdefault(which, tuple(text[k : k + gram])) == tuple(text[k : k + gram])
+    assert len(set(number.values())) == len(number)
+
+
 def test_edited_copies_and_excerpts_are_aligned(spark, texts, prose):
     items = [(i, prose(7000 + i, 40, 3000)) for i in range(4)] + [(4, prose(7004, 300, 3000)), (5, "of the best " + prose(7005, 30, 3000))]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")

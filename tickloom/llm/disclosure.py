@@ -1,23 +1,26 @@
 """PII by patterns, and sanitising of terms that give a protected entity away.
 
 Patterns find e-mail and IP addresses, card and phone numbers: the protected entities. The
-words around an entity (``reach`` words on each side) are terms. Over the corpus, n(e) and
-n(t) documents hold the entity and the term, n(e, t) hold them together, N there are. The
-entity carries -log2(n(e) / N) bits; the term reveals
+words of a document that holds one are terms. Over the corpus, n(e) and n(t) documents hold
+the entity and the term, n(e, t) hold them together, N there are. The entity carries
+-log2(n(e) / N) bits; the term reveals
 
     PMI(e, t) = log2(N n(e, t) / (n(e) n(t)))
 
 of them. A term that reveals at least ``alpha`` of them, in ``min_docs`` documents or more,
-is marked where it stands near the entity, to be removed or replaced by its kind
-(Sánchez and Batet 2016 call this C-sanitisation).
+is marked wherever it stands in a document with the entity (Sánchez and Batet 2016 call
+this C-sanitisation). ``sanitised`` gives the spans, ``cleaned`` the texts, in which
+entities and terms are generalised to their kind or removed.
 
 Counts are aggregates and joins; a frequent entity or word is combined in the map tasks,
 and joins of counts leave their side to adaptive execution. Only documents with an entity
-have rows before the last step.
+have rows before the last step. Before terms are counted over the whole corpus, those go
+that are too frequent already among documents with entities.
 
-Defined cases: null texts are empty, an empty table gives an empty result, repeated rows
-count as documents, terms are lower-case words (letters only, two or more of them), a
-document that holds an entity twice counts once.
+Defined cases: null texts are empty (and stay null in ``cleaned``), an empty table gives an
+empty result, repeated rows count as documents and are marked alike, terms are lower-case
+words (letters only, two or more of them), a document that holds an entity or a term twice
+counts once, terms inside an entity are not marked.
 """
 
 from __future__ import annotations
@@ -25,13 +28,13 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import arrow_rows, only, stored, text_of, within
+from tickloom.llm.common import arrow_rows, fresh, only, stored, text_of, within
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 8
 ALPHA = 0.8
 MIN_DOCS = 2
 
@@ -87,107 +90,143 @@ def entities(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _near(text: str, start: int, end: int, reach: int) -> list[tuple[str, int, int]]:
-    """The ``reach`` terms on each side of a span."""
-    out = []
-    for m in _TERM.finditer(text, end):
-        if len(out) == reach:
-            break
-        out.append((m.group().lower(), m.start(), m.end()))
-    before: list[tuple[str, int, int]] = []
-    width = 32 * reach
-    while True:
-        low = max(0, start - width)
-        # A term that the cut may have shortened is left out, unless the text starts there.
-        before = [(m.group().lower(), m.start(), m.end()) for m in _TERM.finditer(text, low, start) if not low or m.start() > low]
-        if len(before) >= reach or not low:
-            return before[-reach:] + out
-        width *= 4
-
-
-def found(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, base (spans as arrays) and near (entity, term, span)."""
-
-    def row(doc_id, text):
+def spots(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """All terms of a text outside of ``spans``, in lower case."""
+    merged: list[list[int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    out, k = [], 0
+    for m in _TERM.finditer(text):
+        x, y = m.span()
+        while k < len(merged) and merged[k][1] <= x:
+            k += 1
+        if k == len(merged) or y <= merged[k][0]:
+            out.append((m.group().lower(), x, y))
+    return out
+
+
+def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: _key (of its text), doc_id, base (spans as arrays), entities (as
+    digests) and, where there are some, spots (all terms with their spans)."""
+
+    def row(key, doc_id, text):
         spans = entities(text)
         marked = [(KINDS[k], a, b) for a, k, b in spans]
-        near = []
+        held = set()
         for a, k, b in spans:
             # The entity is only compared, so its value need not travel.
             value = text[a:b].lower() if k == 0 else _DIGITS.sub("." if k == 1 else "", text[a:b])
-            entity = hashlib.blake2b(f"{k}:{value}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
-            near += [(entity, t, x, y) for t, x, y in _near(text, a, b, reach)]
-            near.append((entity, None, a, b))
-        inside = [(a, b) for a, _, b in spans]
-        near = [n for n in near if n[1] is None or not any(a < n[3] and n[2] < b for a, b in inside)] if len(inside) < 64 else _clear(near, inside)
-        return [(doc_id, marked, near)]
-
-    slim = only(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("doc_id"), text_of(f"`{text_col}`").alias("text"))
+            held.add(hashlib.blake2b(f"{k}:{value}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest())
+        return [(key, doc_id, marked, sorted(held), spots(text, [(a, b) for a, _, b in spans]) if spans else [])]
+
+    text = text_of(f"`{text_col}`")
+    slim = only(docs, *dict.fromkeys([id_col, text_col])).select(
+        F.xxhash64(text).alias("_key"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")
+    )
     kind = slim.schema["doc_id"].dataType.simpleString()
     return arrow_rows(
         slim,
         row,
-        f"doc_id {kind}, base array<struct<kind:string,start:int,end:int>>,"
-        " near array<struct<entity:string,term:string,start:int,end:int>>",
+        f"_key bigint, doc_id {kind}, base array<struct<kind:string,start:int,end:int>>, entities array<string>,"
+        " spots array<struct<term:string,start:int,end:int>>",
+        flush=2_000,
     )
 
 
-def _clear(near: list[tuple], inside: list[tuple[int, int]]) -> list[tuple]:
-    """``near`` without terms that overlap a span, by search in the sorted spans."""
-    from bisect import bisect_left
-
-    ordered = sorted(inside)
-    starts = [a for a, _ in ordered]
-    ends, top = [], 0
-    for _, b in ordered:
-        top = max(top, b)
-        ends.append(top)
-
-    def free(x: int, y: int) -> bool:
-        k = bisect_left(starts, y)
-        return not k or ends[k - 1] <= x
-
-    return [n for n in near if n[1] is None or free(n[2], n[3])]
-
-
 def revealing(docs: DataFrame, hits: DataFrame, total: int, alpha: float, min_docs: int, text_col: str) -> DataFrame:
     """(entity, term) pairs beyond the disclosure threshold, with the share revealed.
 
-    ``hits`` has _row (a key of the document) and near.
+    ``hits`` has _row (a key of the row), entities and spots.
     """
-    flat = hits.select("_row", F.explode("near").alias("n")).select("_row", "n.entity", "n.term").distinct()
-    of_entity = flat.filter("term is null").groupBy("entity").agg(F.count("*").alias("ne"))
-    pairs = flat.filter("term is not null").groupBy("entity", "term").agg(F.count("*").alias("net"))
-    pairs = stored(pairs.filter(F.col("net") >= min_docs).join(of_entity.filter(F.col("ne") >= min_docs), "entity"), "pairs")
+    held = hits.select("_row", F.explode("entities").alias("entity"))
+    often = held.groupBy("entity").agg(F.count("*").alias("ne")).filter(F.col("ne") >= min_docs)
+    often = within(stored(often, "entities-often"), 160)
+    terms = F.array_distinct(F.transform("spots", lambda s: s["term"])).alias("terms")
+    of_row = hits.select("_row", "entities", terms)
+    near = of_row.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("near"))
+    pairs = of_row.select("terms", F.explode("entities").alias("entity")).join(often, "entity")
+    pairs = pairs.select("entity", "ne", F.explode("terms").alias("term")).groupBy("entity", "ne", "term").agg(F.count("*").alias("net"))
+    pairs = pairs.filter(F.col("net") >= min_docs)
+    bits = F.log2(F.lit(float(total)) / F.col("ne"))
+
+    def share(nt: Column) -> Column:
+        pmi = F.log2(F.lit(float(total)) * F.col("net") / (F.col("ne") * nt))
+        return F.when(bits > 0, pmi / bits).otherwise(F.lit(0.0))
+
+    # A term has at least as many documents as among the hits, and reveals no more than that says.
+    pairs = stored(pairs.join(near, "term").filter(share(F.col("near")) >= alpha), "pairs")
     # Broadcast while it is small, so that the words of the corpus need not shuffle.
     wanted = within(stored(pairs.select("term").distinct(), "terms"), 96)
     words = docs.select(F.array_distinct(F.split(F.lower(text_of(f"`{text_col}`")), r"[^\p{L}]+")).alias("w"))
     df = words.select(F.explode("w").alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("nt"))
-    pmi = F.log2(F.lit(float(total)) * F.col("net") / (F.col("ne") * F.greatest("nt", "net")))
-    bits = F.log2(F.lit(float(total)) / F.col("ne"))
-    share = F.when(bits > 0, pmi / bits).otherwise(F.lit(0.0))
-    return pairs.join(df, "term").select("entity", "term", share.alias("revealed")).filter(F.col("revealed") >= alpha)
+    nt = F.greatest(F.coalesce("nt", F.lit(0)), "near")
+    return pairs.join(df, "term", "left").select("entity", "term", share(nt).alias("revealed")).filter(F.col("revealed") >= alpha)
 
 
-def sanitised(
-    docs: DataFrame,
-    reach: int = REACH,
-    alpha: float = ALPHA,
-    min_docs: int = MIN_DOCS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def marked(
+    docs: DataFrame, alpha: float = ALPHA, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, base (its entities) and terms (spans that give one
-    away), both arrays of (kind, start, end) in order of start."""
-    rows = stored(found(docs, reach, id_col, text_col).withColumn("_row", F.monotonically_increasing_id()), "entities")
+    """Per row of ``docs``: _key (of its text), doc_id, base and terms."""
+    rows = stored(found(docs, id_col, text_col).withColumn("_row", F.monotonically_increasing_id()), "entities")
     total = rows.count()
-    hits = rows.filter(F.size("near") > 0)
-    bad = stored(revealing(docs, hits.select("_row", "near"), total, alpha, min_docs, text_col), "revealing")
-    near = hits.select("_row", F.explode("near").alias("n")).select("_row", "n.*").filter("term is not null")
+    hits = rows.filter(F.size("entities") > 0)
+    bad = stored(revealing(docs, hits, total, alpha, min_docs, text_col), "revealing")
+    # Rows with an entity that some term gives away, with the terms that do in any of its entities.
+    given = hits.select("_row", F.explode("entities").alias("entity")).join(bad.select("entity", "term"), "entity")
+    spot = hits.select("_row", F.explode("spots").alias("s")).select("_row", "s.*")
     span = F.struct(F.col("start"), F.lit("term").alias("kind"), F.col("end"))
-    terms = near.join(bad, ["entity", "term"]).groupBy("_row").agg(F.array_sort(F.collect_set(span)).alias("terms"))
-    return rows.join(terms, "_row", "left").select(
+    spans = spot.join(given.select("_row", "term").distinct(), ["_row", "term"])
+    spans = spans.groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+    return rows.join(spans, "_row", "left").select(
+        "_key",
         "doc_id",
         "base",
-        F.transform(F.coalesce("terms", F.array()), lambda t: F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end"))).alias("terms"),
+        F.transform(
+            F.coalesce("terms", F.array()),
+            lambda t: F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end")),
+        ).alias("terms"),
     )
+
+
+def sanitised(docs: DataFrame, **how) -> DataFrame:
+    """One row per document: doc_id, base (its entities) and terms (spans that give one
+    away), both arrays of (kind, start, end) in order of start."""
+    return marked(docs, **how).drop("_key")
+
+
+def replaced(text: str, spans: list[tuple[int, int, str]], general: bool) -> str:
+    """A text with its spans generalised to ``<kind>`` or removed; what overlaps is one span
+    of the kind that starts first."""
+    out, at = [], 0
+    for start, end, kind in sorted(spans):
+        if start >= at:
+            out += [text[at:start], f"<{kind}>" if general else ""]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def cleaned(docs: DataFrame, general: bool = True, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with entities and revealing terms generalised to their kind, or removed.
+
+    Only texts with something to replace are joined, by a key of their text: rows with the
+    same text and the same id are marked alike, and so are rows of one text, by all its marks.
+    """
+    spans = marked(docs, id_col=id_col, text_col=text_col, **how)
+    of, marks = fresh(docs, "_marked"), fresh(docs, "_spans")
+    spans = spans.select(F.col("_key").alias(of), F.concat("base", "terms").alias(marks)).filter(F.size(marks) > 0)
+    spans = stored(spans.dropDuplicates([of]), "marks")
+
+    @F.pandas_udf("string")
+    def rewritten(texts: pd.Series, found: pd.Series) -> pd.Series:
+        def one(text, spans):
+            return text if spans is None or text is None else replaced(text, [(s["start"], s["end"], s["kind"]) for s in spans], general)
+
+        return pd.Series([one(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
+
+    key = F.xxhash64(text_of(f"`{text_col}`"))
+    joined = docs.join(within(spans, 512), key == F.col(of), "left")
+    names = [rewritten(F.col(f"`{c}`"), F.col(marks)).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*names)
