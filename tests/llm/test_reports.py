@@ -127,15 +127,37 @@ def test_trie_counts_and_spills_whole_subtrees(burst):
     assert trie.held == 0 and not trie.root and total == want
 
 
-def test_runs_merge_over_batch_borders(spark, texts):
-    keys = [bytes([i % 3]) * 16 for i in range(3000)]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        runs = spark.createDataFrame([("en", bytearray(k), 1) for k in keys] + [("fr", bytearray(keys[0]), 4)], "lang string, key binary, n bigint")
-        got = {(r.lang, bytes(r.key)): r.n for r in collocations.merged(runs, 5).collect()}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == {("en", bytes([i]) * 16): 1000 for i in range(3)}
+@pytest.mark.parametrize(("limit", "run"), [(1, 7), (50, 7), (10**6, 20_000)])
+def test_runs_merge_in_the_order_of_first_keys(spark, texts, monkeypatch, limit, run):
+    """Runs of many tries, cut into pieces and merged a few keys at a time."""
+    monkeypatch.setattr(collocations, "MERGED", limit)
+    monkeypatch.setattr(collocations, "RUN", run)
+    r = random.Random(limit)
+    total, rows = Counter(), []
+    for _ in range(40):
+        trie = collocations.HatTrie(5)
+        for lang in ("de", "en"):
+            keys = [b"".join(bytes([r.randrange(1, 5)]) * 8 for _ in range(r.randint(2, 4))) for _ in range(60)]
+            trie.add(keys, [1] * 60)
+            total.update((lang, k) for k in keys)
+            for got, n in trie.spill(0):
+                rows += collocations.runs_of(lang, got, n, 3)
+    merges, order = {}, sorted(rows, key=lambda x: (x[:3], x[3]))
+    got = {}
+    for lang, part, size, first, keys, counts in order:
+        merge = merges.setdefault((lang, part, size), collocations.Merge(size, 2))
+        for k, n in zip(*merge.add(first, keys, counts), strict=True):
+            assert (lang, k) not in got
+            got[lang, k] = n
+        assert merge.held <= 2 * max(limit, 100) + run
+    for (lang, _, _), merge in merges.items():
+        for k, n in zip(*merge.finish(), strict=True):
+            assert (lang, k) not in got
+            got[lang, k] = n
+    assert got == {k: n for k, n in total.items() if n >= 2}
+    runs = spark.createDataFrame([(a, b, c, bytearray(d), bytearray(e), bytearray(f)) for a, b, c, d, e, f in rows],
+                                 "lang string, part int, size int, first binary, keys binary, counts binary")
+    assert {(x.lang, bytes(x.key)): x.n for x in collocations.merged(runs, 2).collect()} == got
 
 
 def test_scores_beyond_64_bits(spark, texts):

@@ -6,19 +6,21 @@ two parts it scores floor(1000 * f * n / (f(first) * f(rest))), and its lowest c
 
 1. Words are counted in tasks and merged by Spark. A word is known by its XXH64 from here
    on; a seed is used under which no two words of the table share a number.
-2. Pairs of neighbours are counted in buckets by their hash, a byte each that stops at 255.
-   A pair in a bucket with less than ``least`` occurrences is not frequent, and neither is
-   a phrase with such a pair in it.
+2. Phrases of known words are counted in buckets by their hash, a byte each that stops at
+   255. A phrase in a bucket with less than ``least`` occurrences is not frequent, and
+   neither is a longer one that holds it.
 3. ``HatTrie`` counts what is left in each task: a shallow trie over the first word ids
    whose leaves are hash containers of the remaining ids. A container that grows too large
    bursts into a branch with smaller ones. When the trie holds too many keys its largest
    subtrees are spilled whole, as runs in key order.
 4. ``merged`` deals runs to prefix partitions (a first word and a slice of the ids after it,
-   so that a frequent first word spreads), sorts them together and adds up equal keys in
-   one pass over the sorted stream, which holds one batch whatever the size of a partition.
+   so that a frequent first word spreads) and merges them there in the order of their first
+   keys; what lies before the next run's first key is done with, so a task holds what the
+   runs at one place have in common, whatever the size of a partition.
    Words and buckets reach the tasks as filters of bits of bounded size. A false hit only
    counts a key in vain, as the exact count decides. Where the corpus outgrows the buckets
-   and most of them are full, exact counts of pairs are made first and filter the rest.
+   and many of them are full, phrases are counted length by length, each filtered by the
+   exact counts of those one word shorter.
 5. Cuts, phrases inside longer ones and ranks are joins and aggregates over the frequent
    phrases; products are decimals.
 
@@ -29,29 +31,29 @@ no rows. Further columns of the input are not looked at.
 
 from __future__ import annotations
 
-import struct
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import arrow_rows, only, stored, text_of, within
+from tickloom.llm.common import Filter, arrow_rows, bit_filter, only, stored, text_of, within
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 ID = 8  # bytes of a word id
 #: A container with more keys bursts; a task holds so many keys; words it counts or knows at
 #: a time; words it works on at once.
 BURST, HELD, WORDS, CHUNK = 4_096, 600_000, 300_000, 1 << 20
-#: Bits of a filter for each entry, and in all (64 MB); pairs for each bucket, and buckets in all
-#: (64 MB in a task) and in a block that travels; the share of full ones beyond which pairs go first.
-BITS_PER_ENTRY, MAX_BITS = 16, 1 << 29
-PAIRS_PER_BUCKET, MAX_BUCKETS, BLOCK, FULL = 12, 1 << 26, 1 << 16, 0.1
+#: Phrases for each bucket, and buckets in all (64 MB in a task) and in a block that travels; the
+#: share of full ones beyond which phrases are counted length by length.
+PHRASES_PER_BUCKET, MAX_BUCKETS, BLOCK, FULL = 48, 1 << 26, 1 << 16, 0.1
+#: Words for each prefix partition, keys of a run that travel together, and keys merged at once.
+WORDS_PER_PREFIX, RUN, MERGED = 2_000_000, 20_000, 400_000
 
 _STOP = b"."  # stands between pieces, and is no word itself
 _LOWER = bytearray(range(256))
@@ -161,39 +163,8 @@ class Branch:
         return keys, numbers
 
 
-class Filter:
-    """A bit for the hash of each entry; the bits are a power of two."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.last = bits, len(bits) * 64 - 1
-
-    def __contains__(self, number: int) -> bool:
-        at = number & self.last
-        return bool(int(self.bits[at >> 6]) >> (at & 63) & 1)
-
-    def hold(self, numbers: np.ndarray) -> np.ndarray:
-        at = numbers & np.uint64(self.last)
-        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
-def bit_filter(numbers: DataFrame, count: int, max_bits: int = MAX_BITS) -> Filter:
-    """A filter of the one column of longs: bits are set per slot of 64 by Spark, and at
-    most ``max_bits`` / 64 slots reach the driver."""
-    size = 64
-    while size < min(max_bits, BITS_PER_ENTRY * count):
-        size *= 2
-    number = F.col(numbers.columns[0])
-    bit = number.bitwiseAND(63).cast("int")
-    slot = F.shiftright(number.bitwiseAND(size - 1), 6)
-    slots = numbers.groupBy(slot.alias("slot")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    got = slots.toArrow()
-    bits = np.zeros(size // 64, dtype=np.uint64)
-    bits[got.column("slot").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return Filter(bits)
-
-
-def pair_number(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One number of a language's pair of word ids, for buckets and filters."""
+def joined_number(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One number of a language's phrase: that of all its words but the last, and the last."""
     salt = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
     mixed = (first ^ salt ^ (second >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
     return mixed ^ (mixed >> np.uint64(32))
@@ -287,11 +258,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], known: Filter, seed: int) -> Iter
     yield from drained()
 
 
-def pair_filter(read: DataFrame, seed: int, words: Filter, total: int, least: int) -> tuple[Filter, float]:
-    """A filter of the pairs in buckets with ``least`` occurrences or more, for a corpus of
+def bucket_filter(read: DataFrame, seed: int, words: Filter, total: int, least: int, longest: int) -> tuple[Filter, float]:
+    """A filter of the phrases in buckets with ``least`` occurrences or more, for a corpus of
     ``total`` words, and the share of buckets that are."""
     size = BLOCK
-    while size < min(MAX_BUCKETS, total / PAIRS_PER_BUCKET):
+    while size < min(MAX_BUCKETS, total * (longest - 1) / PHRASES_PER_BUCKET):
         size *= 2
     shared = read.sparkSession.sparkContext.broadcast(words)
     mark = min(least, 255)
@@ -300,10 +271,13 @@ def pair_filter(read: DataFrame, seed: int, words: Filter, total: int, least: in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.uint8)
         for lang, place, numbers in _chunks(batches, shared.value, seed):
-            both = np.flatnonzero((place[:-1] != 0) & (place[1:] != 0))
-            bucket = pair_number(lang, numbers[place[both]], numbers[place[both + 1]]) & np.uint64(size - 1)
-            at, n = np.unique(bucket.astype(np.int64), return_counts=True)
-            counts[at] = np.minimum(counts[at] + n, 255)
+            known, number = place != 0, numbers[place]
+            whole, of = known, number
+            for length in range(2, longest + 1):
+                whole = whole[:-1] & known[length - 1 :]
+                of = joined_number(lang, of[:-1], number[length - 1 :])
+                at, n = np.unique((of[whole] & np.uint64(size - 1)).astype(np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, 255)
         blocks = counts.reshape(-1, BLOCK)
         yield from _batches(((int(i), blocks[i].tobytes()) for i in np.flatnonzero(blocks.any(axis=1))), schema, 64)
 
@@ -325,19 +299,19 @@ def pair_filter(read: DataFrame, seed: int, words: Filter, total: int, least: in
 
 
 def keys_of(
-    lang: str, place: np.ndarray, numbers: np.ndarray, pairs: Filter, low: int, high: int
+    lang: str, place: np.ndarray, numbers: np.ndarray, filters: dict[int, Filter], low: int, high: int
 ) -> Iterator[tuple[list[bytes], list[int]]]:
     """The different phrases of ``low`` to ``high`` words among places of words, as keys, and
-    how often each occurs."""
+    how often each occurs. ``filters`` are by length."""
     number = numbers[place]
-    joined = (place[:-1] != 0) & (place[1:] != 0)
-    joined &= pairs.hold(pair_number(lang, number[:-1], number[1:]))
     packed = number.astype(">u8").tobytes()
-    whole = joined  # at i: the words from i on are joined one by one
+    whole, of = place != 0, number  # at i: the words from i on may be a phrase, and its number
     known = place  # at i: the number, in this chunk, of the phrase one word shorter
     for length in range(2, high + 1):
-        if length > 2:
-            whole = whole[:-1] & joined[length - 2 :]
+        whole = whole[:-1] & whole[1:]  # both shorter phrases in it
+        of = joined_number(lang, of[:-1], number[length - 1 :])
+        if length in filters:
+            whole &= filters[length].hold(of)
         at = np.flatnonzero(whole)
         code = known[at] * len(numbers) + place[at + length - 1]
         _, first, number_of, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
@@ -347,86 +321,120 @@ def keys_of(
         known[at] = number_of
 
 
-def phrases(read: DataFrame, seed: int, words: Filter, pairs: Filter, lengths: tuple[int, int], held: int = HELD) -> DataFrame:
-    """lang, key, n: the runs of phrases of ``lengths`` words that the tasks' tries spill."""
-    shared = read.sparkSession.sparkContext.broadcast((words, pairs))
+#: A run: the keys of one length under a prefix partition, in order, with their counts.
+RUNS = pa.schema(
+    [("lang", pa.string()), ("part", pa.int32()), ("size", pa.int32()), ("first", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())]
+)
+
+
+def runs_of(lang: str, keys: list[bytes], counts: list[int], parts: int) -> Iterator[tuple]:
+    """Spilled subtrees as runs of each prefix partition."""
+    by_size: dict[int, tuple[list[bytes], list[int]]] = {}
+    for key, n in zip(keys, counts, strict=True):
+        held = by_size.setdefault(len(key), ([], []))
+        held[0].append(key)
+        held[1].append(n)
+    for size, (mine, numbers) in sorted(by_size.items()):
+        ids = np.frombuffer(b"".join(mine), ">u8").reshape(len(mine), -1).astype(np.uint64)
+        n = np.array(numbers, np.int64)
+        prefix = ids[:, 0].copy()
+        for k in range(1, min(3, ids.shape[1])):
+            prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + (ids[:, k] >> np.uint64(58))
+        part = ((prefix ^ (prefix >> np.uint64(31))) % np.uint64(parts)).astype(np.int32)
+        for p in np.unique(part).tolist():
+            at = np.flatnonzero(part == p)
+            at = at[np.lexsort(ids[at].T[::-1])]
+            for i in range(0, len(at), RUN):
+                rows = at[i : i + RUN]
+                packed = ids[rows].astype(">u8").tobytes()
+                yield lang, p, size // ID, packed[:size], packed, n[rows].tobytes()
+
+
+def phrases(
+    read: DataFrame, seed: int, words: Filter, filters: dict[int, Filter], lengths: tuple[int, int], parts: int, held: int = HELD
+) -> DataFrame:
+    """The runs (``RUNS``) of phrases of ``lengths`` words that the tasks' tries spill."""
+    shared = read.sparkSession.sparkContext.broadcast((words, filters))
     low, high = lengths
-    schema = pa.schema([("lang", pa.string()), ("key", pa.binary()), ("n", pa.int64())])
 
-    def runs(tries: dict[str, HatTrie], keep: int) -> Iterator[pa.RecordBatch]:
-        """Spilled subtrees, gathered to batches."""
+    def spilled(tries: dict[str, HatTrie], keep: int) -> Iterator[tuple]:
         for lang, trie in tries.items():
-            keys, numbers = [], []
-
-            def batch():
-                columns = [pa.array([lang], pa.string()).take(pa.array([0] * len(keys), pa.int32())), pa.array(keys, pa.binary()), pa.array(numbers, pa.int64())]  # noqa: B023
-                return pa.RecordBatch.from_arrays(columns, schema=schema)
-
+            keys, counts = [], []
             for more in trie.spill(keep):
                 keys += more[0]
-                numbers += more[1]
-                if len(keys) > 20_000:
-                    yield batch()
-                    keys, numbers = [], []
-            if keys:
-                yield batch()
+                counts += more[1]
+            yield from runs_of(lang, keys, counts, parts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, joined = shared.value
+        known, by_length = shared.value
         tries: dict[str, HatTrie] = {}
         for lang, place, numbers in _chunks(batches, known, seed):
             trie = tries.setdefault(lang, HatTrie())
-            for keys, n in keys_of(lang, place, numbers, joined, low, high):
+            for keys, n in keys_of(lang, place, numbers, by_length, low, high):
                 trie.add(keys, n)
             if sum(t.held for t in tries.values()) > held:
-                yield from runs(tries, held // (2 * len(tries)))
-        yield from runs(tries, 0)
-
-    return read.mapInArrow(count, "lang string, key binary, n bigint")
+                yield from _batches(spilled(tries, held // (2 * len(tries))), RUNS, 64)
+        yield from _batches(spilled(tries, 0), RUNS, 64)
+
+    return read.mapInArrow(count, "lang string, part int, size int, first binary, keys binary, counts binary")
+
+
+class Merge:
+    """Adds up the runs of one prefix partition, which come in the order of their first keys."""
+
+    def __init__(self, size: int, least: int):
+        self.size, self.least = size, least
+        self.keys, self.counts, self.held = [], [], 0
+
+    def add(self, first: bytes, keys: bytes, counts: bytes) -> tuple[list[bytes], list[int]]:
+        """Take a run in; gives the frequent keys that are done with."""
+        done = self.finish(first) if self.held > MERGED else ([], [])
+        self.keys.append(np.frombuffer(keys, ">u8").reshape(-1, self.size).astype(np.uint64))
+        self.counts.append(np.frombuffer(counts, np.int64))
+        self.held += len(self.counts[-1])
+        return done
+
+    def finish(self, before: bytes | None = None) -> tuple[list[bytes], list[int]]:
+        """The frequent keys below ``before``, or all; the rest stays, each key once."""
+        if not self.held:
+            return [], []
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.lexsort(keys.T[::-1])
+        keys, counts = keys[order], counts[order]
+        fresh = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
+        starts = np.flatnonzero(fresh)
+        keys, counts = keys[starts], np.add.reduceat(counts, starts)
+        packed, width = keys.astype(">u8").tobytes(), self.size * ID
+        end = len(keys)
+        if before is not None:
+            end = bisect_left(range(len(keys)), before, key=lambda i: packed[i * width : (i + 1) * width])
+        self.keys, self.counts, self.held = [keys[end:]], [counts[end:]], len(keys) - end
+        full = np.flatnonzero(counts[:end] >= self.least)
+        return [packed[i * width : (i + 1) * width] for i in full.tolist()], counts[full].tolist()
 
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
-    """The sum of each key over all runs, where it is ``least`` or more."""
-
-    def id_byte(i: int) -> Column:
-        return F.substring("key", i * ID + 1, 1)
+    """lang, key, n: the sum of each key over all runs, where it is ``least`` or more."""
+    schema = pa.schema([("lang", pa.string()), ("key", pa.binary()), ("n", pa.int64())])
 
-    dealt = runs.repartition("lang", F.substring("key", 1, ID), *[id_byte(i) for i in range(1, LONGEST)])
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        group, merge = None, None
+        for b in batches:
+            for row in zip(*b.columns, strict=True):
+                lang, part, size, first, keys, counts = (x.as_py() for x in row)
+                if group != (lang, part, size):
+                    if merge:
+                        yield from ((group[0], k, n) for k, n in zip(*merge.finish(), strict=True))
+                    group, merge = (lang, part, size), Merge(size, least)
+                yield from ((lang, k, n) for k, n in zip(*merge.add(first, keys, counts), strict=True))
+        if merge:
+            yield from ((group[0], k, n) for k, n in zip(*merge.finish(), strict=True))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # the key at the end of the batch before, which may go on
-        schema = pa.schema([("lang", pa.string()), ("key", pa.binary()), ("n", pa.int64())])
-
-        def out(langs, keys, ns):
-            columns = [pa.array(c, f.type) for c, f in zip((langs, keys, ns), schema, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
+        yield from _batches(found(batches), schema)
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lang, key, n = b.column(0), b.column(1), b.column(2).to_numpy()
-            fresh = np.ones(b.num_rows, dtype=bool)
-            if b.num_rows > 1:
-                same = pc.and_(pc.equal(key[1:], key[:-1]), pc.equal(lang[1:], lang[:-1]))
-                fresh[1:] = ~same.to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(fresh)
-            sums = np.add.reduceat(n, starts)
-            head = (lang[0].as_py(), key[0].as_py())
-            if last is not None:
-                if last[:2] == head:
-                    sums[0] += last[2]
-                elif last[2] >= least:
-                    yield out([last[0]], [last[1]], [last[2]])
-            end = int(starts[-1])
-            last = (lang[end].as_py(), key[end].as_py(), int(sums[-1]))
-            full = np.flatnonzero(sums[:-1] >= least)
-            if len(full):
-                at = pa.array(starts[full])
-                yield out(lang.take(at), key.take(at), sums[full])
-        if last is not None and last[2] >= least:
-            yield out([last[0]], [last[1]], [last[2]])
-
-    return dealt.sortWithinPartitions("key", "lang").mapInArrow(add, "lang string, key binary, n bigint")
+    dealt = runs.repartition("lang", "part", "size").sortWithinPartitions("lang", "part", "size", "first")
+    return dealt.mapInArrow(add, "lang string, key binary, n bigint")
 
 
 def frequent(
@@ -445,16 +453,20 @@ def frequent(
     known = stored(words.filter(F.col("n") >= least).select("lang", "id", "n", "word"), "known")
     known_words = bit_filter(known.select("id"), known.count())
     total = totals.agg(F.sum("n")).first()[0] or 0
-    known_pairs, full = pair_filter(read, seed, known_words, total, least)
+    parts = max(1, total // WORDS_PER_PREFIX)
+    buckets, full = bucket_filter(read, seed, known_words, total, least, longest)
 
     single = known.select("lang", _key(F.col("id")).alias("key"), "n")
-    if full <= FULL or longest < 3:
-        return known, totals, stored(single.unionByName(merged(phrases(read, seed, known_words, known_pairs, (2, longest)), least)), "phrases")
-    two = stored(merged(phrases(read, seed, known_words, known_pairs, (2, 2)), least), "pairs")
-    numbers = arrow_rows(two.select("lang", "key"), lambda lang, key: [(_signed(lang, key),)], "number bigint")
-    known_pairs = bit_filter(numbers, two.count())
-    more = merged(phrases(read, seed, known_words, known_pairs, (3, longest)), least)
-    return known, totals, stored(single.unionByName(two).unionByName(more), "phrases")
+    if full <= FULL:
+        filters = dict.fromkeys(range(2, longest + 1), buckets)
+        return known, totals, stored(single.unionByName(merged(phrases(read, seed, known_words, filters, (2, longest), parts), least)), "phrases")
+    found, filters = single, {2: buckets}
+    for length in range(2, longest + 1):
+        of = stored(merged(phrases(read, seed, known_words, filters, (length, length), parts), least), f"phrases-{length}")
+        numbers = arrow_rows(of.select("lang", "key"), lambda lang, key: [(_signed(lang, key),)], "number bigint")
+        filters[length] = bit_filter(numbers, of.count())
+        found = found.unionByName(of)
+    return known, totals, stored(found, "phrases")
 
 
 def _key(number: Column) -> Column:
@@ -462,10 +474,13 @@ def _key(number: Column) -> Column:
     return F.unhex(F.lpad(F.hex(number), 2 * ID, "0"))
 
 
-def _signed(lang: str, pair: bytes) -> int:
-    """The number of a pair's key, as Spark's signed one."""
-    first, second = (np.array([x], np.uint64) for x in struct.unpack(">QQ", pair))
-    return int(pair_number(lang, first, second).view(np.int64)[0])
+def _signed(lang: str, key: bytes) -> int:
+    """The number of a phrase's key, as Spark's signed one."""
+    ids = np.frombuffer(key, ">u8").astype(np.uint64)
+    of = ids[:1]
+    for k in range(1, len(ids)):
+        of = joined_number(lang, of, ids[k : k + 1])
+    return int(of.view(np.int64)[0])
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,11 +14,13 @@ from pyspark.sql.types import StructType
 
 from tickloom.session import stored
 
-__all__ = ["SPACE", "WORD", "arrow_rows", "fresh", "only", "ranked", "stored", "table", "text_of"]
+__all__ = ["SPACE", "WORD", "Filter", "arrow_rows", "bit_filter", "fresh", "only", "ranked", "stored", "table", "text_of"]
 
 #: The white space of all contracts, as characters and as a pattern of words in bytes.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Bits of a filter for each entry, and in all (64 MB).
+BITS_PER_ENTRY, MAX_BITS = 16, 1 << 29
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,7 +119,56 @@ def within(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id is in ``dropped`` (one id column, no repeats)."""
-    gone = stored(dropped.select(F.col(dropped.columns[0]).alias("_gone")), "dropped")
-    return docs.join(within(gone, 16), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+class Filter:
+    """A bit for the hash of each entry; the bits are a power of two. What is not in it is no
+    entry, what is in it may be one."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.last = bits, len(bits) * 64 - 1
+
+    def __contains__(self, number: int) -> bool:
+        at = number & self.last
+        return bool(int(self.bits[at >> 6]) >> (at & 63) & 1)
+
+    def hold(self, numbers: np.ndarray) -> np.ndarray:
+        at = numbers & np.uint64(self.last)
+        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bit_filter(numbers: DataFrame, count: int, max_bits: int = MAX_BITS) -> Filter:
+    """A filter of the one column of longs: bits are set per slot of 64 by Spark, and at
+    most ``max_bits`` / 64 slots reach the driver."""
+    size = 64
+    while size < min(max_bits, BITS_PER_ENTRY * count):
+        size *= 2
+    number = F.col(numbers.columns[0])
+    bit = number.bitwiseAND(63).cast("int")
+    slot = F.shiftright(number.bitwiseAND(size - 1), 6)
+    slots = numbers.groupBy(slot.alias("slot")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    got = slots.toArrow()
+    bits = np.zeros(size // 64, dtype=np.uint64)
+    bits[got.column("slot").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return Filter(bits)
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", limit: int = 64 << 20) -> DataFrame:
+    """``docs`` without the rows whose id is in ``dropped`` (one id column, no repeats).
+
+    Ids of up to ``limit`` bytes are broadcast. Beyond that their bits are, 64 MB at most:
+    rows that fail the bits pass straight through, and only the rest shuffle with their texts.
+    """
+    key = fresh(docs, "_gone")
+    gone = stored(dropped.select(F.col(dropped.columns[0]).alias(key)), "dropped")
+    count = gone.count()
+    same = F.col(f"`{id_col}`") == F.col(key)
+    if count * 16 <= limit:
+        return docs.join(F.broadcast(gone), same, "left_anti")
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(gone.select(F.xxhash64(key)), count))
+
+    @F.pandas_udf("boolean")
+    def listed(number: pd.Series) -> pd.Series:
+        return pd.Series(bits.value.hold(number.to_numpy().view(np.uint64)))
+
+    # The types must agree for the hashes to do so.
+    maybe = listed(F.xxhash64(F.col(f"`{id_col}`").cast(gone.schema[0].dataType)))
+    return docs.filter(~maybe).unionByName(docs.filter(maybe).join(gone, same, "left_anti"))
