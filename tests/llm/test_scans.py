@@ -309,6 +309,7 @@ def test_common_disguises_are_restored(spark, texts, prose):
     forms = {
         "m 0 r 0 n": 1, "such a m o r o n": 1, "s t u p i d c l o w n": 2, "$(um": 1, "@$$hole": 1, "stuupid": 1,
         "morronn": 1, "you-m0r0n": 1, "cl0wn!": 1, "m.o.r.o.n": 1, "st up id": 1,
+        "m    o    r    o    n": 1, "m\n\n\n\n0 \t  r - o    n": 1,
         "such a loose hole": 0, "i a such um": 0, "(um)": 0, "2019-10-05": 0,
     }
     rows += [(1000 + k, f"{prose(k, 20)} {t} {prose(k + 9, 20)}") for k, t in enumerate(forms)]
@@ -317,6 +318,16 @@ def test_common_disguises_are_restored(spark, texts, prose):
     assert {t: got[1000 + k] for k, t in enumerate(forms)} == forms
 
 
+def test_runs_of_any_length_are_searched_whole(spark, texts, prose):
+    """A word whose letters are apart and repeated, in runs of 13 to 5,000 characters."""
+    lm = toxicity.language_model(texts([f"{prose(i, 60)} a moron" for i in range(40)]))
+    scorer = toxicity.Scorer(lm, {"moron": 3.0, "clown": 2.0}, -1.0)
+    for w in (1, 2, 8, 17, 24, 36, 52, 121, 500):
+        run = " ".join(c for x in "moron" for c in x * w)
+        assert scorer(f"{prose(1, 30)} {run} {prose(2, 30)}")[1:] == (1, 1), w
+    assert scorer("455 1 2 3 4 5 6 7")[1] == 0
+
+
 def test_viterbi_keeps_blanks_and_all_states():
     r = random.Random(5)
     lm = np.array([r.random() * 9 for _ in range(36**4)], np.float32)

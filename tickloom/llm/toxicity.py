@@ -19,7 +19,9 @@ cover all documents, whole texts are scored.
 Defined cases: null and empty texts have no lexicon word and get the score of that; with
 no labels, or of one class only, every score is the smoothed share of toxic labels;
 documents labelled more than once count once, as toxic if any label says so; repeated
-rows are scored alike; tokens of digits only are numbers. ``clean`` keeps all columns.
+rows are scored alike; tokens of digits only are numbers. Letters are apart in pieces of one
+or two, at any distance and in runs of any length; a word cut into larger pieces is not
+searched for, as those are words of their own. ``clean`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -55,12 +57,11 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 COST_LOOKALIKE, COST_DROP, COST_REPEAT, COST_LITERAL = 1.5, 1.2, 0.8, 0.05
-#: Runs of short tokens longer than this are searched in parts that overlap.
-RUN, OVERLAP = 240, 80
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»‘’–—¡¿"
 _LOOKS = "".join(c for c in LOOKALIKES if not c.isalnum())
 _SHORT = rf"(?:[^\W_]|[{re.escape(_LOOKS)}])"
-_APART = re.compile(rf"(?<![^\W_]){_SHORT}{{1,2}}(?:[\s.\-_*]{{1,3}}{_SHORT}{{1,2}}){{2,}}(?![^\W_])")
+_APART = re.compile(rf"(?<![^\W_]){_SHORT}{{1,2}}(?:[\s.\-_*]++{_SHORT}{{1,2}}){{2,}}(?![^\W_])")
+_GAP = re.compile(r"\s{2,}")
 _TWICE = re.compile(r"([^\W\d_])\1")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 _PARTS = re.compile(r"[.\-_*,;:/]+")
@@ -123,10 +124,13 @@ def _code(c: str) -> int:
 def decode(noisy: str, lm: np.ndarray, whole: bool = False) -> str:
     """The likeliest letters behind a lower-case noisy part: Viterbi over its lattice.
 
-    A state is the last three codes; the best text for each state is kept. With ``whole``,
-    look-alikes stand for letters and are not dropped.
+    A state is the last three codes, and the last letter; the best way to each state is kept,
+    so the work is linear in the length. With ``whole``, look-alikes stand for letters and are not dropped.
     """
-    states: dict[tuple[int, str], tuple[float, str]] = {(0, ""): (0.0, "")}
+    # A state has its cost and the place of its last letter in ``path``, which leads back to
+    # the letters before it.
+    path: list[tuple[int, str]] = [(-1, "")]
+    states: dict[tuple[int, str], tuple[float, int]] = {(0, ""): (0.0, 0)}
     size = ALPHABET**CONTEXT
     for ch in noisy:
         looks = LOOKALIKES.get(ch, "")
@@ -134,24 +138,32 @@ def decode(noisy: str, lm: np.ndarray, whole: bool = False) -> str:
         edges += [(x, COST_LOOKALIKE) for x in looks]
         if ch.isspace():
             edges.append((" ", COST_LITERAL))
-        after: dict[tuple[int, str], tuple[float, str]] = {}
-        for (context, last), (cost, text) in states.items():
-            for letter, price in edges:
-                if letter:
-                    code = _code(letter)
-                    key = ((context * ALPHABET + code) % size, letter)
-                    new = (cost + price + float(lm[context * ALPHABET + code]), text + letter)
-                else:
-                    key, new = (context, last), (cost + price, text)
-                if key not in after or new < after[key]:
-                    after[key] = new
+        coded = [(x, _code(x), price) for x, price in edges if x]
+        dropped = [price for x, price in edges if not x]
+        after: dict[tuple[int, str], tuple[float, int, str]] = {}
+        for (context, last), (cost, at) in states.items():
+            for letter, code, price in coded:
+                key = ((context * ALPHABET + code) % size, letter)
+                new = cost + price + float(lm[context * ALPHABET + code])
+                if key not in after or new < after[key][0]:
+                    after[key] = (new, at, letter)
+            stays = [cost + price for price in dropped]
             if ch == last:  # the same letter written again
-                key, new = (context, last), (cost + COST_REPEAT, text)
-                if key not in after or new < after[key]:
-                    after[key] = new
-        states = after
-    ends = ((cost + float(lm[context * ALPHABET]), text) for (context, _), (cost, text) in states.items())
-    return min(ends)[1]
+                stays.append(cost + COST_REPEAT)
+            if stays and ((context, last) not in after or min(stays) < after[context, last][0]):
+                after[context, last] = (min(stays), at, "")
+        states = {}
+        for key, (cost, at, letter) in after.items():
+            if letter:
+                path.append((at, letter))
+                at = len(path) - 1
+            states[key] = (cost, at)
+    _, at = min((cost + float(lm[context * ALPHABET]), at) for (context, _), (cost, at) in states.items())
+    letters = []
+    while at > 0:
+        at, letter = path[at]
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def split(text: str) -> tuple[set[str], set[str]]:
@@ -172,9 +184,7 @@ def split(text: str) -> tuple[set[str], set[str]]:
             # Symbols at an edge may be letters or decoration.
             forms = {t, core, t.lstrip(_EDGE), t.rstrip(_EDGE), *_PARTS.split(t)}
             odd.update(f for f in forms if f and not f.isalpha() and not f.isdigit())
-    for m in _APART.finditer(low):
-        run = m.group(0)
-        odd.update(run[i : i + RUN] for i in range(0, max(1, len(run) - OVERLAP), RUN - OVERLAP))
+    odd.update(_GAP.sub(" ", m.group(0)) for m in _APART.finditer(low))
     return words, odd
 
 
