@@ -182,6 +182,22 @@ def dlq_validation(spark, d):
     return spark.read.schema(schemas.DEAD_LETTER + ", queue string").parquet(root)
 
 
+@query(
+    sql(
+        "ticks",
+        f"""SELECT queue, error_type, coalesce(ticker, 'unknown') AS ticker,
+       '{{"original_message":"' || replace(original_message, '"', '\\"') || '","error_reason":"' || error_reason || '","error_type":"' || error_type
+       || '","topic":"' || topic || '","offset":' || "offset" || ',"partition":' || "partition" || coalesce(',"ticker":"' || ticker || '"', '')
+       || ',"retry_count":' || retry_count || ',"first_failed_at":"' || strftime(make_timestamp(first_failed_us), '%Y-%m-%dT%H:%M:%S.%fZ')
+       || '","last_failed_at":"' || strftime(make_timestamp(last_failed_us), '%Y-%m-%dT%H:%M:%S.%fZ') || '"}}' AS body
+FROM (SELECT {_LETTER} FROM {_LETTERS})""",
+    )
+)
+def dlq_attributes(spark, d):
+    """Message bodies with the attributes a queue filters on."""
+    return deadletter.attributes(_letters(spark, d))
+
+
 @query(
     sql(
         "ticks",
