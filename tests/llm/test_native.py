@@ -75,6 +75,28 @@ def test_shards_do_not_depend_on_buckets_or_partitions(texts):
     assert sorted(one) == sorted(two) and sharding.interleave(texts([])).count() == 0
 
 
+def test_rows_without_ids_spread_over_buckets(texts):
+    rows = [(None, f"text {i}") for i in range(300)] + [(i, "t") for i in range(100)]
+    one = sharding.interleave(texts(rows, 1), rows_per_bucket=20).collect()
+    two = sharding.interleave(texts(rows, 5), rows_per_bucket=1000).collect()
+    key = lambda r: (str(r.doc_id), r.text_crc32, r.source, r.shard, r.slot)
+    assert sorted(map(key, one)) == sorted(map(key, two))
+    places = [r.shard for r in sorted(one, key=lambda r: (r.shard, r.slot)) if r.doc_id is None]
+    assert all(13 <= places.count(k) <= 22 for k in range(16))
+
+
+def test_logs_of_conversations_fold_to_their_rows(spark):
+    """Drafts, edits, regenerations and replies that were taken back leave no trace."""
+    from tickloom.llm import native
+
+    rows = [(1, 0, "user", "q?"), (1, 1, "assistant", "abc"), (1, 2, "user", None), (1, 3, "assistant", ""), (1, 3, "assistant", ""), (2, 0, None, "x")]
+    given = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("kind", F.lit("x"))
+    events = native.conversation_events(given)
+    assert {r.kind for r in events.collect()} == set(chat.EVENT_KINDS)
+    got = chat.fold(events).orderBy("conv_id", "position").collect()
+    assert [(r.conv_id, r.role, r.text) for r in got] == [(c, r or "", t or "") for c, _, r, t in rows]
+
+
 def _log(spark, rows):
     return spark.createDataFrame(rows, "conv_id bigint, seq bigint, kind string, message bigint, role string, text string")
 

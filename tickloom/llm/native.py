@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import chat, exact_dedup, packing, sharding
@@ -27,24 +27,41 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
     """Each row of ``conversations`` as the events that would have streamed it: a message
-    and its text in two deltas. Rows that repeat a turn are messages of their own."""
+    with a draft, then its text in two parts. What is no answer is edited to the first part,
+    and the second is a delta. An answer's draft gets a reply; it is regenerated, which takes
+    the reply back, and both parts are deltas. Rows that repeat a turn are messages of their own."""
     text = text_of()
     half = F.ceil(F.length(text) / 2).cast("int")
+    first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
     copy = F.row_number().over(_same_turn())
     rows = only(conversations, "conv_id", "turn", "role", "text").withColumn("copy", copy)
-    message = F.struct("turn", "copy")
-    parts = [
-        ("message", F.lit(None).cast("string")),
-        ("delta", F.substring(text, F.lit(1), half)),
-        ("delta", F.substring(text, half + 1, F.length(text))),
-    ]
-    events = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("step"), t.alias("part")) for i, (k, t) in enumerate(parts)])
-    return rows.select("conv_id", message.alias("message"), "role", F.explode(events).alias("e")).select(
+    own, reply = F.struct("turn", "copy"), F.struct("turn", (-F.col("copy")).alias("copy"))
+    nothing = F.lit(None).cast("string")
+
+    def log(*events: tuple[str, Column, Column, Column]) -> Column:
+        return F.array(
+            *[
+                F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("step"), of.alias("of"), role.alias("role"), part.alias("part"))
+                for i, (kind, of, role, part) in enumerate(events)
+            ]
+        )
+
+    begin = [("message", own, F.col("role"), nothing), ("delta", own, nothing, F.lit("a draft"))]
+    edited = log(*begin, ("edit", own, nothing, first), ("delta", own, nothing, second))
+    again = log(
+        *begin,
+        ("message", reply, F.lit("user"), F.lit("a reply to the draft")),
+        ("regenerate", own, nothing, nothing),
+        ("delta", own, nothing, first),
+        ("delta", own, nothing, second),
+    )
+    events = F.when(F.col("role") == "assistant", again).otherwise(edited)
+    return rows.select("conv_id", own.alias("_row"), F.explode(events).alias("e")).select(
         "conv_id",
-        F.struct("message", "e.step").alias("seq"),
+        F.struct("_row", "e.step").alias("seq"),
         "e.kind",
-        "message",
-        "role",
+        F.col("e.of").alias("message"),
+        "e.role",
         F.col("e.part").alias("text"),
     )
 
@@ -116,17 +133,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH hexed AS (
         SELECT doc_id, coalesce(source, '') AS source, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
-            string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(.)(.)', '\\2\\1', 'g'), '') AS nibbles,
-            ('0x' || substr(md5(concat_ws(':', 42, doc_id::VARCHAR)), 1, 15))::BIGINT AS u
+            string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(.)(.)', '\\2\\1', 'g'), '') AS nibbles
         FROM documents
-    ), slim AS (
-        SELECT doc_id, source, size, u, xor(4294967295::BIGINT, list_reduce(
+    ), summed AS (
+        SELECT doc_id, source, size, xor(4294967295::BIGINT, list_reduce(
             list_prepend(4294967295::BIGINT, list_transform(list_filter(nibbles, lambda x: x <> ''), lambda x: ('0x' || x)::BIGINT)),
             lambda c, x: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960,
                 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896,
                 3183342108][(xor(c, x) & 15) + 1])
         ))::BIGINT AS text_crc32
         FROM hexed
+    ), slim AS (
+        SELECT *, ('0x' || substr(md5(concat_ws(':', 42, coalesce(doc_id::VARCHAR, concat_ws(':', size, text_crc32)))), 1, 15))::BIGINT AS u
+        FROM summed
     ), ranked AS (
         SELECT *, row_number() OVER (PARTITION BY source ORDER BY u, doc_id, size, text_crc32) AS r,
             count(*) OVER (PARTITION BY source) AS n FROM slim

@@ -37,12 +37,15 @@ def interleave(
     """doc_id, source, size, text_crc32, shard, slot for every row of ``docs``."""
     n = docs.count()
     buckets = max(1, n // rows_per_bucket)
-    drawn = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(f"`{id_col}`").cast("string"))), 1, DIGITS)
+    size, crc = (F.octet_length(text_of(f"`{text_col}`")) + 1).cast("bigint"), F.crc32(text_of(f"`{text_col}`"))
+    # Rows without an id draw by their texts, so that they don't all fall into one bucket.
+    who = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat_ws(":", size.cast("string"), crc.cast("string")))
+    drawn = F.substring(F.md5(F.concat_ws(":", F.lit(seed), who)), 1, DIGITS)
     slim = only(docs, *dict.fromkeys([id_col, source_col, text_col])).select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("source"),
-        (F.octet_length(text_of(text_col)) + 1).cast("bigint").alias("size"),
-        F.crc32(text_of(text_col)).alias("text_crc32"),
+        size.alias("size"),
+        crc.alias("text_crc32"),
         F.conv(drawn, 16, 10).cast("bigint").alias("_u"),
     )
     by_draw = (F.col("_u") / F.lit(float(16**DIGITS)) * buckets).cast("bigint")
