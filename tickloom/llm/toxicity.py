@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -56,9 +55,12 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
+#: Tokens that a task remembers.
+TOKENS = 200_000
 COST_LOOKALIKE, COST_DROP, COST_REPEAT, COST_LITERAL = 1.5, 1.2, 0.8, 0.05
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…“”„«»‘’–—¡¿"
 _LOOKS = "".join(c for c in LOOKALIKES if not c.isalnum())
+_LOOKSET = frozenset(_LOOKS)
 _SHORT = rf"(?:[^\W_]|[{re.escape(_LOOKS)}])"
 _APART = re.compile(rf"(?<![^\W_]){_SHORT}{{1,2}}(?:[\s.\-_*]++{_SHORT}{{1,2}}){{2,}}(?![^\W_])")
 _GAP = re.compile(r"\s{2,}")
@@ -166,39 +168,61 @@ def decode(noisy: str, lm: np.ndarray, whole: bool = False) -> str:
     return "".join(reversed(letters))
 
 
-def split(text: str) -> tuple[set[str], set[str]]:
-    """The different words of a text, and its lower-case parts that may be disguised: with
-    white space, runs of short tokens; without, single tokens."""
-    low = text.lower()
-    words: set[str] = set()
-    odd: set[str] = set()
-    for t in set(low.split()):
-        core = t.strip(_EDGE)
-        if core.isalpha():
-            words.add(core)
-            if _TWICE.search(core):
-                odd.add(core)
-        elif core:
-            words.update(_WORD.findall(core))
-        if not t.isalpha():
-            # Symbols at an edge may be letters or decoration.
-            forms = {t, core, t.lstrip(_EDGE), t.rstrip(_EDGE), *_PARTS.split(t)}
-            odd.update(f for f in forms if f and not f.isalpha() and not f.isdigit())
-    odd.update(_GAP.sub(" ", m.group(0)) for m in _APART.finditer(low))
+def forms(token: str) -> tuple[list[str], list[str]]:
+    """The words of a lower-case token, and its forms that may be disguised."""
+    core = token.strip(_EDGE)
+    words: list[str] = []
+    odd: list[str] = []
+    if core.isalpha():
+        words.append(core)
+        if _TWICE.search(core):
+            odd.append(core)
+    elif core:
+        words += _WORD.findall(core)
+    if not token.isalpha():
+        # Symbols at an edge may be letters or decoration.
+        found = {token, core, token.lstrip(_EDGE), token.rstrip(_EDGE), *_PARTS.split(token)}
+        odd += [f for f in found if f and not f.isalpha() and not f.isdigit()]
     return words, odd
 
 
+def runs(low: str) -> set[str]:
+    """The runs of short tokens in a lower-case text, which may be words with letters apart."""
+    return {_GAP.sub(" ", m.group(0)) for m in _APART.finditer(low)}
+
+
 def squeezed(word: str) -> str:
     """A word with each repeated letter once; a disguise may have lost or added some."""
     return _REPEATED.sub(r"\1", word)
 
 
-def readable(part: str, squeezes: dict[str, str]) -> bool:
-    """Whether a path of the part's lattice may give a word with one of these squeezed forms."""
+def letter_bits(letters: str) -> int:
+    """A bit for each letter; letters beyond a to z share six more."""
+    out = 0
+    for c in letters:
+        code = _code(c)
+        out |= 1 << (code - 1 if 1 <= code <= 26 else 26 + code % 6)
+    return out
+
+
+def readable(part: str, shapes: list[tuple[int, str]], bits: dict[str, int]) -> bool:
+    """Whether a path of the part's lattice may give a word with one of these squeezed forms.
+
+    ``shapes`` has the forms after the bits of their letters; ``bits`` remembers those that a
+    character may stand for.
+    """
+    held = 0
+    for c in part:
+        if c not in bits:
+            bits[c] = letter_bits(c if c.isalpha() else LOOKALIKES.get(c, ""))
+        held |= bits[c]
+    fits = [form for need, form in shapes if need & held == need]
+    if not fits:
+        return False
     letters = squeezed("".join(filter(str.isalpha, part)))
     options = set(letters).union(*(LOOKALIKES.get(c, "") for c in set(part)))
     apart = any(c.isspace() for c in part)
-    for form in squeezes:
+    for form in fits:
         if options.issuperset(form):
             if apart:
                 return True
@@ -281,22 +305,50 @@ def learn(known: DataFrame) -> tuple[dict[str, float], float]:
 
 
 class Scorer:
-    """Scores texts; keeps what it has decoded."""
+    """Scores texts; keeps what it has read in tokens."""
 
     def __init__(self, lm: np.ndarray, weights: dict[str, float], base: float):
         self.weights, self.base = weights, base
         self.squeezes = {squeezed(w): w for w in weights}
 
+        shapes, bits = [(letter_bits(form), form) for form in self.squeezes], {}
+        self.readable = lambda part: readable(part, shapes, bits)
+
         def readings(part: str) -> tuple[str, ...]:
-            if not readable(part, self.squeezes):
+            if not self.readable(part):
                 return ()
             return tuple({decode(part, lm), decode(part, lm, whole=True)})
 
-        self.decoded = lru_cache(1 << 16)(readings)
+        self.decoded = readings
+        self.tokens: dict[str, tuple[set[str], set[str]] | None] = {}
+
+    def _read(self, token: str) -> tuple[set[str], set[str]] | None:
+        """The lexicon words a token shows, and those it hides; None for neither."""
+        core = token.strip(_EDGE)
+        if core.isalpha() and _LOOKSET.isdisjoint(token) and not self.readable(core):
+            # What is around the letters stands for none, so no form reads any better.
+            words, odd = [core], []
+        else:
+            words, odd = forms(token)
+        plain = self.weights.keys() & words
+        hidden = self.weights.keys() & restored(odd, self.decoded, self.squeezes) if odd else set()
+        if len(self.tokens) >= TOKENS:
+            self.tokens.clear()
+        self.tokens[token] = found = (plain, hidden) if plain or hidden else None
+        return found
 
     def __call__(self, text: str) -> tuple[float, int, int]:
-        words, odd = split(text)
-        hidden = restored(odd, self.decoded, self.squeezes) if odd and self.weights else set()
+        words: set[str] = set()
+        hidden: set[str] = set()
+        if self.weights:
+            low = text.lower()
+            known = self.tokens
+            for token in set(low.split()):
+                found = known[token] if token in known else self._read(token)
+                if found:
+                    words |= found[0]
+                    hidden |= found[1]
+            hidden |= restored(runs(low), self.decoded, self.squeezes)
         return posterior(words, hidden, self.weights, self.base)
 
 
