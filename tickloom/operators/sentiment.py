@@ -135,10 +135,10 @@ def score(
     )
     # Counted before, so that no token's row carries all the words.
     one = counted.select(*keys, *carry, "n_tokens", "_mixed", "_emphasis", F.posexplode_outer(words).alias("_at", "_word"))
-    token = F.lower("_word")
-    known = by_token(lexicon).withColumnRenamed("token", "_token")
+    one = one.withColumn("token", F.lower("_word"))
+    token = F.col("token")
     # The first token of each text stays, whatever it is, so that texts without hits do too.
-    rows = one.join(known, token == F.col("_token"), "left").select(
+    rows = one.join(by_token(lexicon), "token", "left").select(
         *keys,
         *carry,
         "n_tokens",
