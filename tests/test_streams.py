@@ -312,6 +312,34 @@ def test_asof_state_is_a_value_a_second():
     assert not handle.states["waiting"].held
 
 
+def test_asof_works_once_a_batch():
+    """500 articles that wait have one timer and are sent out by it; state is read once, not for each."""
+    handle, reads = _Handle(), []
+    step = AsOf(60 * S, S)
+    step.init(handle)
+    for name in ("newest", "waiting"):
+        held = handle.states[name]
+        for what in ("keys", "iterator"):
+            setattr(held, what, lambda f=getattr(held, what), n=name: reads.append(n) or f())
+    at = np.arange(500) * S
+    ticks_ = pd.DataFrame({"is_news": False, "at": at, "seq": at, "value": at.astype(float), "id": None})
+    news = pd.DataFrame({"is_news": True, "at": at[::-1], "seq": 0, "value": None, "id": np.arange(500)})
+    twice = pd.concat([news, news.tail(3)], ignore_index=True)
+    list(step.handleInputRows(("A",), iter([ticks_, twice]), handle))
+    assert handle.timers == {0} and sorted(reads) == ["newest", "waiting"]
+    got = []
+    for mark, timer in ((249_500, 250_000), (600_000, 250_000)):
+        handle.mark = mark
+        reads.clear()
+        got.append(pd.concat(step.handleExpiredTimer(("A",), handle, None)))
+        assert sorted(reads) == ["newest", "waiting"] and max(handle.timers) == timer
+    assert [len(g) for g in got] == [250, 250] and not handle.states["waiting"].held
+    out = pd.concat(got)
+    assert (out["value"] == out["ts_us"]).all() and (out["ts_us"] == (499 - out["id"]) * S).all()
+    again = pd.concat(step.handleExpiredTimer(("A",), handle, None))
+    assert not len(again) and len(handle.states["newest"].held) <= 65
+
+
 @pytest.mark.parametrize("hot_rows", [20, 100_000])
 def test_ordered_stream_equals_batch(spark, tmp_path, hot_rows):
     """One ticker with most rows, cut into buckets; the stream stops and goes on in between."""
