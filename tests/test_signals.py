@@ -81,6 +81,25 @@ def test_published_sentences(spark):
     assert c[0] < 0 < c[1] and c[4] < c[2] < c[3] and c[4] < c[5] and c[6] == c[4] and c[7] == 0.0
 
 
+def test_words_are_not_shuffled_to_a_small_lexicon(spark, monkeypatch):
+    """Words meet the lexicon where they are, even if Spark would not broadcast it by itself."""
+    given = [(i, t, f"s{i % 3}" if i % 4 else None) for i, t in enumerate(["a good but BAD day!", "not good", "", "nothing here", "good " * 40, None])]
+    texts = spark.createDataFrame(given, "id bigint, text string, source string")
+    words = spark.createDataFrame([("good", 1900, "word"), ("bad", -2500, "word"), ("not", 0, "negator")], "token string, valence bigint, role string")
+
+    def scored():
+        df = sentiment.score(texts, words, carry=("source",))
+        return df, sorted(df.collect(), key=lambda r: r["id"])
+
+    near, got = scored()
+    plan = near._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [(r["id"], r["source"]) for r in got] == [(i, s) for i, _, s in given]
+    monkeypatch.setattr(sentiment, "LEXICON_BYTES", 0)
+    far, same = scored()
+    assert "SortMergeJoin" in far._jdf.queryExecution().sparkPlan().toString() and same == got
+
+
 def test_text_parts(spark):
     df = spark.createDataFrame([(" a ", " b "), ("a", None), ("", ""), (None, "x" * 300)], "headline string, summary string")
     assert [r["text"] for r in sentiment.news_text(df).collect()] == ["a b", "a", "x" * 300]
