@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tickloom import session
 from tickloom.operators import anomaly, rolling, validate, windows
 from tickloom.sources import readers, schemas, sinks
 from tickloom.streaming import streams
@@ -480,6 +481,19 @@ def test_failed_upsert_loses_nothing(spark, tmp_path, monkeypatch, done):
     assert sorted(r["v"] for r in spark.table(table).collect()) == ["more", "new0", "new1", "old2"]
 
 
+def test_an_upsert_computes_its_batch_once_and_shuffles_finely(spark, tmp_path, monkeypatch):
+    """However few partitions the session asks for, adaptive execution merges from many."""
+    calls, asked = spark.sparkContext.accumulator(0), []
+    seen = F.udf(lambda x: (calls.add(1), x)[1], "double").asNondeterministic()
+    given = sinks.keep_last
+    monkeypatch.setattr(sinks, "keep_last", lambda *a: asked.append(spark.conf.get(session.INITIAL_PARTITIONS)) or given(*a))
+    t = ticks(spark, random_ticks(3, 200)).withColumn("version", F.lit(1)).withColumn("price", seen("price"))
+    sinks.upsert(t, "fine_puts", str(tmp_path), ["ticker", "ts_us", "seq"], ["version"])
+    sinks.upsert(t, "fine_puts", str(tmp_path), ["ticker", "ts_us", "seq"], ["version"])
+    assert calls.value == 400 and spark.table("fine_puts").count() == 200
+    assert min(map(int, asked)) >= 1000 and spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
 def test_dead_letter_archive_folders(spark, tmp_path):
     from tests.test_records import letters
 

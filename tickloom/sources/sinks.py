@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tickloom.functions.rules import timestamp
 from tickloom.operators.deadletter import archive_rows as dead_letter_archive_rows
 from tickloom.operators.keyed import insert_if_absent, keep_first, keep_last
+from tickloom.session import fine_shuffles
 
 HOUR_PARTS = ["year", "month", "day", "hour"]
 DAY_PARTS = ["year", "month", "day"]
@@ -87,16 +88,24 @@ def upsert(
     table as it was, and a batch that failed in between is finished by putting it again.
     Folders that no day points to any more may be removed once no reader needs them. A
     key's rows must be of one day; put the time or the day into the key.
+
+    The batch is written once below ``root``/new, so that it is computed once, and shuffles
+    are cut finely, so that a task's share does not grow with the batch or the days.
     """
     spark = incoming.sparkSession
     new = dated(incoming, DAY_PARTS, ts)
+    put = uuid.uuid4().hex[:12]
+    with fine_shuffles(spark):
+        new.write.parquet(f"{root}/new/{put}")
+    new = spark.read.schema(new.schema).parquet(f"{root}/new/{put}")
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(DAY_PARTS)}) LOCATION '{root}/days'")
     days = new.select(*DAY_PARTS).distinct()
     old = spark.table(table).select(*new.columns).join(days, DAY_PARTS, "left_semi")
-    staged = f"{root}/puts/{uuid.uuid4().hex[:12]}"
-    keep_last(old.unionByName(new), list(keys), list(version)).write.partitionBy(*DAY_PARTS).parquet(staged)
+    staged = f"{root}/puts/{put}"
+    with fine_shuffles(spark):
+        keep_last(old.unionByName(new), list(keys), list(version)).write.partitionBy(*DAY_PARTS).parquet(staged)
     _switch(spark, table, staged, days.orderBy(*DAY_PARTS).collect())  # a row a day
 
 
