@@ -29,7 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by similarities of 0.8 or more in 5-word shingles."""
+    """One document of each group linked by similarities of 0.8 or more in 5-word shingles, found
+    by vantage-point trees over SimHash fingerprints and confirmed by the shingles."""
     configure(spark)
     return near_copies.dedup(docs)
 

@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import near_copies
+from tickloom.llm import near_copies, simhash
 from tickloom.llm.common import without
 
 
@@ -55,6 +56,39 @@ def test_stage_keeps_what_all_pairs_keep(spark, texts, prose, monkeypatch, block
     assert out.columns == texts(rows[:1]).columns
 
 
+def test_stage_finds_its_pairs_by_fingerprints(spark, texts, prose, monkeypatch):
+    """Similar texts whose fingerprints lie beyond the radius are not links; without pairs the stage keeps all."""
+    base = prose(1, 200).split()
+    rows = [(i, " ".join(_near(random.Random(i), base, 2))) for i in range(12)]
+    assert near_copies.dedup(texts(rows)).count() == 1
+    monkeypatch.setattr(near_copies, "RADIUS", -1)
+    assert near_copies.dedup(texts(rows)).count() == 12
+
+
+def test_radius_holds_similar_sets():
+    """Pairs just at the threshold, of all sizes."""
+    r = np.random.default_rng(5)
+    for n in (4, 8, 16, 40, 200, 1000):
+        for _ in range(300):
+            both = r.integers(0, 1 << 63, n, dtype=np.uint64)
+            x = np.concatenate([both, r.integers(0, 1 << 63, n // 8, dtype=np.uint64)])
+            y = np.concatenate([both, r.integers(0, 1 << 63, n // 4 - n // 8, dtype=np.uint64)])
+            assert near_copies.similarity(np.unique(x), np.unique(y)) == 0.8
+            apart = (simhash.majority(x) ^ simhash.majority(y)).bit_count()
+            assert apart <= near_copies.RADIUS
+
+
+@pytest.mark.parametrize("radius", [2, 24])
+def test_vantage_point_search_gives_each_pair_once(monkeypatch, radius):
+    monkeypatch.setattr(simhash, "_BRUTE", 64)
+    r = np.random.default_rng(radius)
+    points = r.integers(0, 1 << 63, 150, dtype=np.uint64)
+    points[100:] = points[:50] ^ (np.uint64(1) << r.integers(0, 63, 50, dtype=np.uint64))
+    got = [(i, j) for a, b in simhash.near(points, np.ones(150, bool), radius) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    want = {(i, j) for i in range(150) for j in range(150) if int(points[i] ^ points[j]).bit_count() <= radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_null_ids_stay_and_empty_tables(texts, prose):
     same = prose(1, 50)
     assert near_copies.dedup(texts([(None, same), (None, same), (1, same), (2, same)])).count() == 3

@@ -55,7 +55,11 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
         parts = [b" ".join(words)]
     else:
         parts = map(b" ".join, zip(*[words[i:] for i in range(shingle)], strict=False))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 15):
         bits = np.unpackbits(hashes[i : i + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -147,10 +151,8 @@ def join_into(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             parent = parent[parent]
 
 
-def link(points: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """For each point the smallest index of a point linked to it, through pairs within
-    ``radius`` of which at least one is at home."""
-    parent = np.arange(len(points))
+def near(points: np.ndarray, home: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within ``radius`` by a vantage-point tree, as arrays of indices: one at home, and any."""
     todo = [(np.flatnonzero(home), np.arange(len(points)))]
     while todo:
         mine, theirs = todo.pop()
@@ -162,12 +164,20 @@ def link(points: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
             for k in range(0, len(theirs), step):
                 some = theirs[k : k + step]
                 a, b = np.nonzero(np.bitwise_count(points[mine][:, None] ^ points[some][None, :]) <= radius)
-                parent = join_into(parent, mine[a], some[b])
+                yield mine[a], some[b]
             continue
         v, mu = split
         d, e = distances(points[mine], v), distances(points[theirs], v)
         todo.append((mine[d <= mu], theirs[e <= mu + radius]))
         todo.append((mine[d > mu], theirs[e > mu - radius]))
+
+
+def link(points: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
+    """For each point the smallest index of a point linked to it, through pairs within
+    ``radius`` of which at least one is at home."""
+    parent = np.arange(len(points))
+    for i, j in near(points, home, radius):
+        parent = join_into(parent, i, j)
     return parent
 
 
