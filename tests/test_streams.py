@@ -2,6 +2,8 @@
 
 import json
 import random
+import uuid
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -11,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tickloom import session
 from tickloom.operators import anomaly, rolling, validate, windows
+from tickloom.plans.q_streams import SLICES, arriving
 from tickloom.sources import readers, schemas, sinks
 from tickloom.streaming import streams
-from tickloom.streaming.state import AsOf, ScoreAnomalies
+from tickloom.streaming.state import AsOf, CutAnomalies, EnrichTicks, ScoreAnomalies, score_pieces
 from tests.test_rolling import S, TICK, random_ticks, ticks
 from tests.test_signals import SMALL, vectors
 
@@ -259,6 +262,59 @@ def test_forest_is_held_until_one_is_due(spark, monkeypatch):
     assert dict(zip(got["seq"], got["score"], strict=True)) == want
 
 
+def test_forests_within_a_batch_are_left_to_other_tasks(spark, monkeypatch):
+    """A ticker's own task fits the forest it holds on; the others lie in pieces of fixed size."""
+    fits = []
+    given = anomaly.fitted
+    monkeypatch.setattr(anomaly, "fitted", lambda x, t, v, f: fits.append((v, len(x))) or given(x, t, v, f))
+    forest = replace(SMALL, block=2)
+    rows = vectors(spark, n=450).filter("ticker = 'A'").toPandas().sort_values("seq").drop(columns="ordinal")
+    handle, sent = _Handle(), []
+    for lo, hi in ((0, 430), (430, 450)):
+        step = CutAnomalies(forest)
+        step.init(handle)
+        sent += list(step.handleInputRows(("A",), iter([rows.iloc[lo:hi]]), handle))
+    assert fits == [(4, 400)]
+    parts = [list(score_pieces(forest)(iter([piece]))) for piece in reversed(sent)]  # in any order
+    assert sorted(fits) == [(1, 100), (2, 200), (3, 300), (4, 400)]
+    assert [len(p) for (p,) in reversed(parts)] == [100, 200, 100, 30, 20]
+    got = pd.concat([p for part in parts for p in part]).set_index("seq")
+    batch = anomaly.score(vectors(spark, n=450), SMALL).filter("ticker = 'A'").toPandas().set_index("seq").loc[got.index]
+    assert all((got[c] == batch[c]).all() for c in (*SCORES, "ordinal"))
+
+
+def test_recent_ticks_are_one_state_value():
+    """A busy ticker's last five minutes are not put into the state row by row."""
+    n, handle, out = 2000, _Handle(), []
+    t = pd.DataFrame({"ticker": "A", "ts_us": np.arange(n) * 100_000, "seq": np.arange(n), "price": 1.0 + np.arange(n) % 7, "size": np.arange(n) % 5})
+    for a in range(0, n, 500):
+        step = EnrichTicks()
+        step.init(handle)
+        out += list(step.handleInputRows(("A",), iter([t.iloc[a : a + 500]]), handle))
+    assert isinstance(handle.states["recent"], _Value) and len(handle.states["recent"].held) == 1
+    got, one = pd.concat(out, ignore_index=True), EnrichTicks()
+    one.init(fresh := _Handle())
+    pd.testing.assert_frame_equal(got, next(one.handleInputRows(("A",), iter([t]), fresh)))
+
+
+def test_slices_are_cut_in_one_pass(spark, tmp_path):
+    """The input is computed once, not once a slice, and all its rows arrive."""
+    folder = tmp_path / "passes"
+    folder.mkdir()
+
+    def noted(batches):
+        (folder / uuid.uuid4().hex).touch()
+        yield from batches
+
+    df = spark.range(0, 400, numPartitions=2).selectExpr("id", "if(id = 7, null, id) AS n").mapInPandas(noted, "id bigint, n bigint")
+    s = arriving(df, "passes", F.floor(F.col("n") / 60) - 1)
+    assert len(list(folder.iterdir())) == 2
+    q = streams.start(s, str(tmp_path / "out"), name="t_passes", trigger=ONCE)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) <= SLICES
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out/data")).collect()) == list(range(400))
+
+
 def asof_by_hand(news, ticks_, tolerance):
     out = {}
     for i, t, at in news:
